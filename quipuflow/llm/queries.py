@@ -7,12 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quipuflow.llm import encode, leakage, repetition, splitting, structdedup, survivor
+from quipuflow.llm import boilerplate, encode, leakage, markup, names, repetition, sentences, splitting, structdedup, survivor
 from quipuflow.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    return sentences.sentences(table(spark, d, "raw_pages"))
+
+
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
     items = splitting.items(table(spark, d, "interim_docs"), table(spark, d, "raw_pages"))
     cut = splitting.pieces(items, ["item_table", "item_key", "chunk_index"])
@@ -37,6 +41,18 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
     return survivor.survivors(table(spark, d, "triple_copies"), table(spark, d, "trust_levels"))
 
 
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    return names.variants(table(spark, d, "typed_triples"))
+
+
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    return boilerplate.articles(table(spark, d, "web_pages"))
+
+
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    return markup.clean_blocks(table(spark, d, "markup_pages")).select("page_id", "kind", "block_text")
+
+
 def p8_ids(spark: SparkSession, d: str) -> DataFrame:
     return encode.token_ids(table(spark, d, "documents"))
 
