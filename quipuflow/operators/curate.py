@@ -40,7 +40,7 @@ def unique_triples(df: DataFrame, margin: float = 0.05, ord_col: str = "ord", bl
         lambda k, x: F.when(~F.isnan(k["_c"]) & ~F.isnan(x["_c"]) & (x["_c"] > k["_c"] + F.lit(margin)), x).otherwise(k),
     )
     won = rising.select(kept["_o"].alias("_won"), F.get("r", F.lit(0))["_o"].alias("first_ord"))
-    return df.join(won, df[ord_col] == won["_won"]).drop("_won")
+    return df.drop("first_ord").join(won, F.col(ord_col) == F.col("_won")).drop("_won")
 
 
 def degrees(df: DataFrame) -> DataFrame:

@@ -25,6 +25,14 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8, **conf: s
     return builder.getOrCreate()
 
 
+def ship(spark: SparkSession) -> None:
+    """Lets Python workers that see this folder import the package; elsewhere it comes with --py-files."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = spark.sparkContext.environment
+    if root not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(x for x in (root, env.get("PYTHONPATH", "")) if x)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The folder of spark.checkpoint.dir; a temporary one only where the cluster names none."""
     sc = spark.sparkContext
