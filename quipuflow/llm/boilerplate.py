@@ -12,7 +12,7 @@ keys, so a host of a third of all pages is spread over many tasks; a host has fe
 each stands on a fixed share of its pages.
 
 A null or blank content has no article; neither has a page of frame only. A page without any frame is
-all article. Repeated pages vote once each. Extra columns are left out.
+all article. Pages of equal content vote once. Extra columns are left out.
 """
 
 from __future__ import annotations
@@ -142,15 +142,14 @@ def frame_paths(pages: DataFrame, host_share: float = HOST_SHARE, pooled_share:
     def score(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in frames:
             rows = []
-            for url, content in zip(pdf["url"], pdf["content"]):
+            for url, content, mark in zip(pdf["url"], pdf["content"], pdf["mark"]):
                 if content and content.strip():
                     host = host_of(url)
                     site = site_of(host)
-                    rows += [(host, p) for p in {path(x, site) for x in content.split("\n")} if p and len(p) <= 200]
-                    rows.append((host, ""))  # the page itself
-            yield pd.DataFrame(rows, columns=["host", "path"])
+                    rows += [(host, p, mark) for p in {"", *(path(x, site) for x in content.split("\n"))} if len(p) <= 200]  # '' stands for the page
+            yield pd.DataFrame(rows, columns=["host", "path", "page"])
 
-    votes = pages.mapInPandas(score, "host string, path string").groupBy("host", "path").agg(F.count("*").alias("n"))
+    votes = pages.withColumn("mark", F.xxhash64("content")).mapInPandas(score, "host string, path string, page long").distinct().groupBy("host", "path").agg(F.count("*").alias("n"))
     size = votes.where("path = ''").select("host", F.col("n").alias("pages"))
     votes = votes.where("path <> ''").join(size, "host")
     pooled = votes.groupBy("path").agg(F.sum("n").alias("all_n"), F.sum("pages").alias("all_pages"), F.count("*").alias("hosts"))

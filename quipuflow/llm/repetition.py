@@ -5,7 +5,7 @@ one Spark projection; no user function and no shuffle. The ratios: words that li
 of n words, repeated lines, symbols, stop words, and the length itself.
 
 A null or empty text has no words, so all its ratios are 0 and no rule that asks for at least some
-share marks it. Repeated rows are judged each by itself; extra columns pass through.
+share marks it. Repeated rows are judged each by itself; extra columns pass through, but for those named as a rule's.
 """
 
 from __future__ import annotations
@@ -127,6 +127,7 @@ def judge(df: DataFrame, rules: tuple[Rule, ...] = THRESHOLDS, text_col: str = "
     whole: give the exact shares everywhere; without, a share surely below its threshold may be 0.
     """
     shares = [ratio(F.col(f"`{text_col}`"), r, whole).alias(f"{r.name}_share") for r in rules]
-    keep = [F.col(f"`{c}`") for c in df.columns]
+    made = {x for r in rules for x in (r.name, f"{r.name}_share")}
+    keep = [F.col(f"`{c}`") for c in df.columns if c not in made]
     marks = [x for r in rules for x in (F.col(f"{r.name}_share"), (F.col(f"{r.name}_share") >= r.at_least).alias(r.name))]
     return df.select(*keep, *shares).select(*keep, *marks)
