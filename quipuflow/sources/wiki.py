@@ -3,8 +3,8 @@
     spark.dataSource.register(WikiSource)
     spark.read.format("wiki").option("mode", "members").option("categories", "A|B").load()
 
-mode members: titles of a category, with continuation; search: titles of a full-text search;
-pages: wiki text, extract, HTML and categories of titles. A partition is one category, query or
+mode members: titles of a category, with continuation; search: titles of a full-text search; index: the
+categories of the alphabetical index from a name on, as long as they contain it; pages: wiki text, extract, HTML and categories of titles. A partition is one category, query or
 block of titles. A failed request gives no rows of its partition's part and doesn't stop the others.
 
 The transport is a function of a URL that gives the decoded JSON; option transport names it as
@@ -14,6 +14,7 @@ module:function, so that tests and other clients need no network.
 from __future__ import annotations
 
 import importlib
+import itertools
 import json
 import time
 from collections.abc import Callable, Iterator
@@ -24,6 +25,7 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 PAUSE_S = 0.2
 SCHEMAS = {
     "members": "category string, position int, title string",
+    "index": "prefix string, position int, title string",
     "search": "query string, position int, title string",
     "pages": "title string, pageid long, url string, wikitext string, extract string, html string, categories array<string>",
 }
@@ -62,7 +64,7 @@ class WikiReader(DataSourceReader):
         self.limit = int(options.get("limit", "500"))
         self.pause = float(options.get("pause", str(PAUSE_S)))
         self.transport = options.get("transport", "quipuflow.sources.wiki:http")
-        key = {"members": "categories", "search": "queries", "pages": "titles"}[self.mode]
+        key = {"members": "categories", "index": "prefixes", "search": "queries", "pages": "titles"}[self.mode]
         self.values = [v for v in options.get(key, "").split("|") if v.strip()]
 
     def partitions(self) -> list[Part]:
@@ -85,6 +87,12 @@ class WikiReader(DataSourceReader):
                 name = value if ":" in value else f"Categoría:{value}"
                 r = self._ask(list="categorymembers", cmtitle=name, cmnamespace=0, cmlimit=n, **token)
                 found = r.get("query", {}).get("categorymembers", [])
+            elif self.mode == "index":
+                r = self._ask(list="allcategories", acfrom=value, aclimit=n, **token)
+                every = [{"title": x["category"]} for x in r.get("query", {}).get("allcategories", [])]
+                found = list(itertools.takewhile(lambda x: value.lower() in x["title"].lower(), every))
+                if len(found) < len(every):
+                    r.pop("continue", None)
             else:
                 r = self._ask(list="search", srsearch=value, srnamespace=0, srlimit=n, **token)
                 found = r.get("query", {}).get("search", [])

@@ -25,6 +25,8 @@ def fake(url):
         at = int(q.get("cmcontinue", 0))
         got = [{"title": f"T{i}"} for i in range(at, min(120, at + int(q["cmlimit"])))]
         return {"query": {"categorymembers": got}} | ({"continue": {"cmcontinue": at + len(got)}} if at + len(got) < 120 else {})
+    if q.get("list") == "allcategories":
+        return {"query": {"allcategories": [{"category": c} for c in ("Chile", "Chile antiguo", "China", "Chile otra vez")]}}
     if q.get("list") == "search":
         return {"query": {"search": [{"title": q["srsearch"].upper()}]}}
     if q.get("action") == "parse":
@@ -42,12 +44,11 @@ def test_jsonl_lines(spark, tmp_path):
 
 
 def test_wiki_source(spark):
-    spark.dataSource.register(WikiSource)
-    read = lambda **o: spark.read.format("wiki").options(transport="tests.test_sources_and_streaming:fake", pause="0", **o).load()
     read = lambda **o: WikiSource(o | {"transport": "test_sources_and_streaming:fake", "pause": "0"}).reader(None)
     every = lambda r: [x for p in r.partitions() for x in r.read(p)]
     assert len(every(read(mode="members", categories="A|rota|B", limit="70"))) == 140
     assert every(read(mode="search", queries="q")) == [("q", 0, "Q")]
+    assert every(read(mode="index", prefixes="Chile")) == [("Chile", 0, "Chile"), ("Chile", 1, "Chile antiguo")]
     assert every(read(mode="pages", titles="P|Nada")) == [("P", 7, "u", "'''w'''", "e", "<p>hola</p>", ["X"])]
     assert every(read(mode="members")) == []
     with pytest.raises(ValueError):
