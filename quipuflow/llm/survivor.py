@@ -24,7 +24,7 @@ FIELDS = ("head", "head_type", "tail")
 #: Words and signs that stand for absence, in lower case.
 ABSENT = ("null", "none", "nan", "nil", "na", "n/a", "n.a.", "s/d", "s/n", "s.d.", "unk", "unknown", "undefined", "missing", "desconocido", "desconocida", "sin datos", "sin dato", "no disponible", "ninguno", "ninguna", "tbd")
 #: Two-sign traces of UTF-8 read as Latin-1 or Windows-1252.
-MOJIBAKE = "[Â-ô][\u0080-¿ŒœŠšŸŽžƒˆ˜–—‘-„†-•…‰‹›€™]"
+MOJIBAKE = "[ÂÃ][\u0080-¿ŒœŠšŸŽžƒˆ˜–—‘-„†-•…‰‹›€™]"
 #: Signs of a value by which beginnings are joined; shorter values are looked up among all short prefixes.
 PREFIX = 12
 LOWEST = -1
