@@ -7,6 +7,7 @@ WS lists all signs that count as white space here.
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -24,6 +25,11 @@ COUNTRIES = (
 )
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body of a value that is computed once, however often the body uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def strip(c: Column) -> Column:
     """c without white space of any kind at its ends."""
     return F.regexp_replace(c, f"^{WS}+|{WS}+\\z", "")
@@ -57,10 +63,12 @@ def tokens(c: Column) -> Column:
 
 def normalize_entity(c: Column) -> Column:
     """Lower case, no accents, no function words unless it is one word or nothing else is left. Null gives null."""
-    low = strip_accents(F.lower(strip(c)))
-    parts = tokens(low)
-    kept = F.filter(parts, lambda w: ~w.isin(*STOP_WORDS))
-    return F.when(F.size(parts) <= 1, F.array_join(parts, " ")).when(F.size(kept) > 0, F.array_join(kept, " ")).otherwise(low)
+
+    def chosen(low: Column, parts: Column) -> Column:
+        kept = F.filter(parts, lambda w: ~w.isin(*STOP_WORDS))
+        return F.when(F.size(parts) <= 1, F.array_join(parts, " ")).otherwise(let(kept, lambda k: F.when(F.size(k) > 0, F.array_join(k, " ")).otherwise(low)))
+
+    return let(strip_accents(F.lower(strip(c))), lambda low: let(tokens(low), lambda parts: F.when(low.isNotNull(), chosen(low, parts))))
 
 
 def iso_date(c: Column) -> Column:

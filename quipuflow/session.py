@@ -50,3 +50,13 @@ def cut(df: DataFrame) -> DataFrame:
     """df behind a reliable checkpoint, so that a lost executor costs no recomputation from the start."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """df over at least as many partitions as there are cores.
+
+    Only an input of fewer partitions, which is small, is shuffled; for steps that cost far more than
+    reading their rows.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
