@@ -17,6 +17,8 @@ no sentences. Places are code points, 0-based, end exclusive, without white spac
 
 from __future__ import annotations
 
+import bisect
+import itertools
 import math
 import re
 from collections.abc import Iterator
@@ -26,6 +28,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quipuflow.session import spread
+
 SAMPLE_PAGES = 600
 #: Tokens that make up less than this share of all candidates aren't kept, so at most 1 / share are.
 LEAST_SHARE = 2e-6
@@ -69,41 +73,53 @@ def paragraphs(text: str) -> Iterator[tuple[int, int]]:
         at = m.end() if m else end
 
 
-def _depths(p: str) -> tuple[list[int], dict[int, int]]:
+_BRACKETS = re.compile("[" + re.escape("\"" + "".join(_PAIRS) + "".join(_PAIRS.values())) + "]")
+
+
+class _Depth:
     """How deep each place lies in quotes and brackets that are closed in the paragraph; opener of each closer."""
-    opener: dict[int, int] = {}
-    stack: list[tuple[str, int]] = []
-    straight = [i for i, c in enumerate(p) if c == '"']
-    for a, b in zip(straight[::2], straight[1::2]):
-        opener[b] = a
-    for i, c in enumerate(p):
-        if c in _PAIRS:
-            stack.append((_PAIRS[c], i))
-        elif any(c == x for x, _ in stack):
-            while stack:
-                want, at = stack.pop()
-                if want == c:
-                    opener[i] = at
-                    break
-    change = [0] * (len(p) + 1)
-    for b, a in opener.items():
-        change[a] += 1
-        change[b] -= 1
-    deep, out = 0, []
-    for x in change:
-        deep += x
-        out.append(deep)
-    return out, opener
+
+    def __init__(self, p: str):
+        self.opener: dict[int, int] = {}
+        stack: list[tuple[str, int]] = []
+        straight = -1
+        for m in _BRACKETS.finditer(p):
+            c, i = m[0], m.start()
+            if c == '"':
+                if straight >= 0:
+                    self.opener[i], straight = straight, -1
+                else:
+                    straight = i
+            elif c in _PAIRS:
+                stack.append((_PAIRS[c], i))
+            elif any(c == x for x, _ in stack):
+                while stack:
+                    want, at = stack.pop()
+                    if want == c:
+                        self.opener[i] = at
+                        break
+        edges = sorted([(a, 1) for a in self.opener.values()] + [(b, -1) for b in self.opener])
+        self.at = [e[0] for e in edges]
+        self.deep = list(itertools.accumulate(e[1] for e in edges))
+
+    def __getitem__(self, i: int) -> int:
+        k = bisect.bisect_right(self.at, i)
+        return self.deep[k - 1] if k else 0
+
+
+_NOT_TOKEN = frozenset(" \t\n\r\x0b\x0c\xa0\u2028\u2029\u3000\"'“”«»(（「『《[¿¡")
 
 
 def _before(p: str, at: int) -> str:
     """Token that ends at `at`, lower case; numbers by their shape."""
-    m = re.search(r"[^\s\"'“”«»(（「『《\[¿¡]+\Z", p[max(0, at - 24) : at])
-    t = m[0] if m else ""
-    if _script(t[-1:] or "a") == "wide":
+    a = at
+    while a > 0 and at - a < 24 and p[a - 1] not in _NOT_TOKEN:
+        a -= 1
+    t = p[a:at]
+    if t and _script(t[-1]) == "wide":
         t = t[-2:]
     t = t.lower()
-    return "0" * min(len(t), 5) if t.isdigit() else ("0.0" if re.fullmatch(r"[\d.,:/-]+", t) and t else t)
+    return "0" * min(len(t), 5) if t.isdigit() else ("0.0" if t[:1].isdigit() and re.fullmatch(r"[\d.,:/-]+", t) else t)
 
 
 def _after(p: str, at: int) -> str:
@@ -126,7 +142,8 @@ def _after(p: str, at: int) -> str:
 
 def candidates(p: str) -> Iterator[dict]:
     """Candidate boundaries inside a paragraph; the paragraph's end isn't one."""
-    deep, opener = _depths(p)
+    deep = _Depth(p)
+    opener = deep.opener
     for m in _CAND.finditer(p):
         end = m.end("tail")
         wide = m["mark"][-1] in _WIDE_MARK and (m["space"] is None)
@@ -238,6 +255,7 @@ class MaxEnt:
     def __init__(self):
         self.index: dict[str, int] = {}
         self.weight = np.zeros(0)
+        self.scores: dict[tuple, float] = {}  # of rows met, of which there are few different ones
 
     def fit(self, rows: list[list[str]], labels: list[int], rounds: int = 300, rate: float = 1.0, prior: float = 1e-4) -> "MaxEnt":
         for r in rows:
@@ -265,7 +283,10 @@ class MaxEnt:
         return self
 
     def score(self, row: list[str]) -> float:
-        return float(sum(self.weight[self.index[f]] for f in row if f in self.index))
+        key = tuple(row)
+        if key not in self.scores:
+            self.scores[key] = float(sum(self.weight[self.index[f]] for f in row if f in self.index))
+        return self.scores[key]
 
 
 def split(text: str | None, v: Vocabulary, model: MaxEnt) -> list[tuple[int, int]]:
@@ -305,7 +326,7 @@ def vocabulary(pages: DataFrame, text_col: str = "content", least_share: float =
             rows = [r for t in pdf["text"] if t for r in counts(t)]
             yield pd.DataFrame(rows, columns=["side", "token", "n", "edge"]).groupby(["side", "token"], as_index=False).sum()
 
-    votes = pages.select(F.col(text_col).cast("string").alias("text")).mapInPandas(run, "side string, token string, n long, edge long")
+    votes = spread(pages.select(F.col(text_col).cast("string").alias("text"))).mapInPandas(run, "side string, token string, n long, edge long")
     votes = votes.groupBy("side", "token").agg(F.sum("n").alias("n"), F.sum("edge").alias("edge")).where("n >= 2")
     rows = votes
     size = rows.agg(F.sum("n")).first()[0] or 0
@@ -330,5 +351,5 @@ def sentences(pages: DataFrame, id_col: str = "page_id", text_col: str = "conten
             rows = [(i, a, b) for i, t in zip(pdf["id"], pdf["text"]) for a, b in split(t, v, model)]
             yield pd.DataFrame(rows, columns=["id", "char_start", "char_end"])
 
-    src = pages.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    src = spread(pages.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")))
     return src.mapInPandas(run, f"id {kind}, char_start int, char_end int").withColumnRenamed("id", id_col)
