@@ -26,6 +26,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quipuflow.session import spread
+
 #: A path is frame on a host if it stands on this share of its pages, and on at least MIN_PAGES.
 HOST_SHARE, MIN_PAGES = 0.25, 3
 #: Or if it stands on this share of the pages of all hosts that have it, and on at least MIN_HOSTS.
@@ -161,7 +163,7 @@ def frame_paths(pages: DataFrame, host_share: float = HOST_SHARE, pooled_share:
 def articles(pages: DataFrame, id_col: str = "page_id", salts: int = SALTS) -> DataFrame:
     """(page_id, line_no) of the article's lines."""
     kind = pages.schema[id_col].dataType.simpleString()
-    src = pages.select(F.col(id_col).alias("id"), "title", "url", "content")
+    src = spread(pages.select(F.col(id_col).alias("id"), "title", "url", "content"))
     won = frame_paths(src.select("url", "content")).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^\s*(?:[A-Za-z][A-Za-z0-9+.\-]*:)?//([^/?#]+)", 1))
     rows = src.withColumn("host", host).withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(salts)).cast("int"))

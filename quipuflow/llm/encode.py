@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quipuflow.llm.flat import codes, groups
+from quipuflow.session import spread
 
 DEFAULT_PATH = "/opt/tokenizers/byte_bpe_50k.json"
 LETTER, NUMBER, SPACE, OTHER = 0, 1, 2, 3
@@ -247,5 +248,5 @@ def token_ids(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", pat
             lists = pa.ListArray.from_arrays(offsets, pa.array(ids, type=pa.int32()))
             yield pa.RecordBatch.from_arrays([batch.column(0), lists], names=["id", "ids"])
 
-    src = df.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    src = spread(df.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")))
     return src.mapInArrow(run, f"id {kind}, ids array<int>").withColumnRenamed("id", id_col)

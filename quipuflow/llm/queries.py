@@ -75,9 +75,6 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {
-        "p2_found": """
-            SELECT 'interim_docs' AS item_table, source AS item_key, CAST(i - 1 AS INTEGER) AS chunk_index
-              FROM (SELECT source, chunks, unnest(range(1, len(chunks) + 1)) AS i FROM interim_docs) WHERE length(chunks[i]) > 2048
-            UNION ALL SELECT 'raw_pages', CAST(page_id AS VARCHAR), CAST(-1 AS INTEGER) FROM raw_pages WHERE length(content) > 2048""",
-    }
+    from quipuflow.llm import oracles
+
+    return oracles.all_sql()

@@ -11,12 +11,13 @@ share marks it. Repeated rows are judged each by itself; extra columns pass thro
 from __future__ import annotations
 
 import unicodedata
-from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quipuflow.functions.text import let
+
 RUN = 8
 SHARE = 0.3
 #: Frequent words of the corpus's languages.
@@ -60,11 +61,6 @@ def words(text: Column) -> Column:
     return F.filter(F.split(low, r"[^\p{L}\p{N}]+"), lambda w: w != "")
 
 
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """body of a value that is computed once, also where nested lambdas use it."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def covered(starts: Column, n: int) -> Column:
     """Words covered by runs of n words that begin at starts, an ascending array."""
     return F.aggregate(
