@@ -21,6 +21,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quipuflow.functions.text import let
+
 FIELDS = ("head", "type", "tail")
 SALTS = 16
 
@@ -39,8 +41,12 @@ def leaf(value: Column) -> Column:
     """Letters, digits and accents of a value, in lower case; one form for either spelling of an accent."""
     pairs = F.create_map(*[F.lit(x) for kv in _composed().items() for x in kv])
     bare = F.regexp_replace(F.lower(value), r"[^\p{L}\p{N}\p{M}]+|[︀-️]+", "")
-    units = F.regexp_extract_all(bare, F.lit(r"\P{M}\p{M}*"), 0)
-    return F.when(bare.rlike(r"\p{M}"), F.array_join(F.transform(units, lambda u: F.coalesce(pairs[u], u)), "")).otherwise(bare)
+
+    def composed(t: Column) -> Column:
+        units = F.regexp_extract_all(t, F.lit(r"\P{M}\p{M}*"), 0)
+        return F.when(t.rlike(r"\p{M}"), F.array_join(F.transform(units, lambda u: F.coalesce(pairs[u], u)), "")).otherwise(t)
+
+    return let(bare, composed)
 
 
 def usable(normal: Column) -> Column:
@@ -74,7 +80,8 @@ def parsed_lines(lines: DataFrame, line_col: str = "line", id_col: str = "line_i
 
 def normalised(df: DataFrame, fields: tuple[str, ...] = FIELDS) -> DataFrame:
     """(id, root, canon): digest of the root and the normal form of each case; rows that are none are gone."""
-    df = df.select("id", *[leaf(F.col(f)).alias(f) for f in fields])
+    # exploding one struct keeps the filters from computing the leaves anew
+    df = df.select("id", F.explode(F.array(F.struct(*[leaf(F.col(f)).alias(f) for f in fields]))).alias("n")).select("id", "n.*")
     for f in fields:
         df = df.where(usable(F.col(f)))
     return df.select("id", root([digest(F.col(f), f) for f in fields]).alias("root"), F.concat_ws("\u001f", *fields).alias("canon"))
