@@ -92,6 +92,16 @@ def file_key(c: Column) -> Column:
     return F.regexp_replace(strip(F.regexp_replace(c, r"[^\p{L}\p{N}_\-\t-\r\x1c-\x20\x85\xa0  -     　]", "")), f"(?:-|{WS})+", "_")
 
 
+def url_quote(c: Column) -> Column:
+    """c for use in a URL; blanks as %20."""
+    return F.replace(F.url_encode(c), F.lit("+"), F.lit("%20"))
+
+
+def preview(c: Column, n: int = 100) -> Column:
+    """The first n characters, with dots if there are more."""
+    return F.when(F.length(c) > n, F.concat(F.substring(c, 1, n), F.lit("..."))).otherwise(c)
+
+
 def percent(part: Column, whole: Column) -> Column:
     """part in whole as "12.34%", rounded half to even; 0.00% of nothing."""
     return F.when(whole > 0, F.concat(F.format_string("%.2f", F.bround(part * 100.0 / whole, 2)), F.lit("%"))).otherwise(F.lit("0.00%"))

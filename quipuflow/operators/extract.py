@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quipuflow.functions.text import WS, strip
+from quipuflow.functions.text import WS, preview, strip
 
 #: Marks of the model's vocabulary that carry nothing.
 SPECIALS = ("<s>", "<pad>", "</s>", "tp_XX", "__en__")
@@ -123,6 +123,6 @@ def decoded(chunks: DataFrame, extractor: Extractor, batch: int = 64) -> DataFra
 
 def triples(decoded_chunks: DataFrame, shown: int = 100) -> DataFrame:
     """One row per triple with its provenance; chunk_text is the chunk's beginning."""
-    text = F.when(F.length("chunk") > shown, F.concat(F.substring("chunk", 1, shown), F.lit("..."))).otherwise(F.col("chunk"))
+    text = preview(F.col("chunk"), shown)
     rows = decoded_chunks.select("source_file", "chunk_index", text.alias("chunk_text"), "confidence", F.posexplode(parsed(F.col("decoded"))).alias("triple_index", "t"))
     return rows.select("t.*", "confidence", "source_file", "chunk_index", "chunk_text", "triple_index")

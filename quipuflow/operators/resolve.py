@@ -89,8 +89,11 @@ def _ratio(pairs: DataFrame, threshold: float) -> DataFrame:
     return pairs.select("block", "a", "b", "na", "nb", "jaccard").mapInPandas(run, "block string, a long, b long, similarity double")
 
 
-def similar(ents: DataFrame, threshold: float = THRESHOLD, window: int = WINDOW) -> tuple[DataFrame, DataFrame]:
-    """(positions, edges) of exact representatives: block, pos, entity, norm; block, a < b, similarity."""
+def candidates(ents: DataFrame, threshold: float = THRESHOLD, window: int = WINDOW) -> tuple[DataFrame, DataFrame]:
+    """(positions, pairs) of exact representatives: block, pos, entity, norm; block, a < b, na, nb, jaccard.
+
+    All pairs of a block, within the window, whose Jaccard index lets them reach the threshold.
+    """
     if threshold <= 0.4:
         raise ValueError("below 0.4 names without a common token could be similar; take a higher threshold")
     reps = exact_map(ents).where("entity = representative").select("entity", "norm")
@@ -109,7 +112,13 @@ def similar(ents: DataFrame, threshold: float = THRESHOLD, window: int = WINDOW)
     side = pos.select("block", "pos", "norm", toks.alias("toks"))
     met = met.join(side.select("block", F.col("pos").alias("a"), F.col("norm").alias("na"), F.col("toks").alias("ta")), ["block", "a"]).join(side.select("block", F.col("pos").alias("b"), F.col("norm").alias("nb"), F.col("toks").alias("tb")), ["block", "b"])
     j = F.size(F.array_intersect("ta", "tb")) / F.size(F.array_union("ta", "tb"))
-    return pos, _ratio(met.withColumn("jaccard", j).where(F.col("jaccard") >= need), threshold)
+    return pos, met.withColumn("jaccard", j).where(F.col("jaccard") >= need)
+
+
+def similar(ents: DataFrame, threshold: float = THRESHOLD, window: int = WINDOW) -> tuple[DataFrame, DataFrame]:
+    """(positions, edges) of exact representatives: block, pos, entity, norm; block, a < b, similarity."""
+    pos, pairs = candidates(ents, threshold, window)
+    return pos, _ratio(pairs, threshold)
 
 
 def leaders(edges: DataFrame) -> DataFrame:

@@ -247,4 +247,16 @@ def all_sql() -> dict[str, str]:
         "capped_per_group": "SELECT o_orderkey FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS n FROM orders) WHERE n <= 3",
         "merged_sources": """WITH a AS (SELECT DISTINCT metadata.title AS source FROM interim_docs WHERE metadata.title IS NOT NULL), h AS (SELECT DISTINCT title AS source FROM web_pages WHERE title IS NOT NULL)
             SELECT source, 'api' AS origin FROM a UNION ALL SELECT source, 'html' FROM h WHERE source NOT IN (SELECT source FROM a)""",
+        "similar_tokens": rf"""WITH r AS (SELECT norm, coalesce(nullif(substring(norm, 1, 1), ''), 'z') AS b, length(norm) AS n, list_distinct(list_filter(regexp_split_to_array(norm, '[^\p{{L}}\p{{N}}_]+'), lambda t: t <> '')) AS t
+              FROM (SELECT DISTINCT {norm('entity')} AS norm FROM ({ENTITIES}))),
+            p AS (SELECT x.norm AS na, y.norm AS nb, len(list_intersect(x.t, y.t)) AS i, len(x.t) + len(y.t) AS u FROM r x JOIN r y ON x.b = y.b AND (x.n < y.n OR (x.n = y.n AND x.norm < y.norm)) WHERE len(x.t) > 0 AND len(y.t) > 0)
+            SELECT na, nb, round(i / (u - i)::DOUBLE, 6) AS jaccard FROM p WHERE i / (u - i)::DOUBLE >= (0.85::DOUBLE - 0.4::DOUBLE) / 0.6::DOUBLE""",
+        "chosen_content": f"""SELECT page_id, CASE WHEN length(w) > 200 THEN w ELSE e END AS text FROM (SELECT m.page_id, {plain('m.content')} AS w, {squeeze(sub(sub('r.content', chr(92) + '[.*?' + chr(92) + ']', ' '), '==+ .*? ==+', ' '))} AS e
+            FROM markup_pages m LEFT JOIN raw_pages r USING (page_id))""",
+        "interim_documents": f"SELECT doc_id::VARCHAR AS source, count(*)::INTEGER AS num_chunks, max(length(text))::INTEGER AS text_length FROM ({chunk_sql()}) c JOIN documents USING (doc_id) WHERE length({strip('text')}) >= 100 GROUP BY doc_id",
+        "chunk_previews": f"""SELECT source AS source_file, CAST(i - 1 AS INTEGER) AS chunk_index, CASE WHEN length(chunks[i]) > 100 THEN substring(chunks[i], 1, 100) || '...' ELSE chunks[i] END AS shown
+            FROM (SELECT source, chunks, unnest(range(1, len(chunks) + 1)) AS i FROM interim_docs) WHERE {strip("coalesce(chunks[i], '')")} <> ''""",
+        "relation_percent": "SELECT type, printf('%.2f%%', round_even(n * 100.0::DOUBLE / sum(n) OVER (), 2)) AS share FROM (SELECT type, count(*) AS n FROM triples WHERE type IS NOT NULL GROUP BY type)",
+        "quoted_titles": "SELECT page_id, url_encode(title) AS quoted FROM raw_pages",
+        "relaxed_reasons": reasons_sql(CONFIGURED.relaxed(2.0)),
     }

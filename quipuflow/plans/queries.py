@@ -231,12 +231,49 @@ def merged_sources(spark, d):
     return files.merged_documents(html, api).select("source", "origin")
 
 
+def similar_tokens(spark, d):
+    """Pairs of names similar enough by their tokens to be compared in full."""
+    pairs = resolve.candidates(resolve.entities(triples(spark, d)), window=1_000_000)[1]
+    return pairs.select("na", "nb", F.round("jaccard", 6).alias("jaccard"))
+
+
+def chosen_content(spark, d):
+    """Wiki text where enough is left of it, else the extract."""
+    m = table(spark, d, "markup_pages").select("page_id", F.col("content").alias("wikitext"))
+    r = table(spark, d, "raw_pages").select("page_id", F.col("content").alias("extract"))
+    return m.join(r, "page_id", "left").select("page_id", clean.chosen_content(F.col("wikitext"), F.col("extract")).alias("text"))
+
+
+def interim_documents(spark, d):
+    docs = table(spark, d, "documents").withColumn("source", F.col("doc_id").cast("string"))
+    return pipeline.interim(docs, "source", "text", "api_clean").select("source", F.col("metadata.num_chunks").alias("num_chunks"), F.col("metadata.text_length").alias("text_length"))
+
+
+def chunk_previews(spark, d):
+    return segment.chunk_rows(table(spark, d, "interim_docs")).select("source_file", "chunk_index", text.preview(F.col("chunk")).alias("shown"))
+
+
+def relation_percent(spark, d):
+    n = reports.counts_by(triples(spark, d).where("type is not null"), "type")
+    return n.join(F.broadcast(n.agg(F.sum("n").alias("total")))).select("type", text.percent(F.col("n"), F.col("total")).alias("share"))
+
+
+def quoted_titles(spark, d):
+    return table(spark, d, "raw_pages").select("page_id", text.url_quote(F.col("title")).alias("quoted"))
+
+
+def relaxed_reasons(spark, d):
+    """The same rules with thresholds halved."""
+    return rules.explained(triples(spark, d), CONFIGURED.relaxed(2.0)).select("triple_id", F.array_join("reasons", ",").alias("reasons"))
+
+
 def queries() -> dict[str, Query]:
     fs = (
         triple_reasons, triple_reasons_configured, reason_histogram, strict_valid, normalized_entities, exact_entity_map, entity_resolution, unique_triples, unique_events,
         entity_degree, degree_summary, degree_histogram, connected_triples, distinct_triples, entity_report, relation_report, country_report, export_basic, export_extended,
         export_filtered, source_counts, category_counts, graph_nodes, quality_pipeline, quality_stats, iso_dates, file_names, clean_pages, clean_extracts, wikitext_plain,
         page_text, sentences, chunks, simple_chunks, interim_chunks, long_documents, pending_pages, parsed_lines, parsed_triples, take_while, capped_per_group, merged_sources,
+        similar_tokens, chosen_content, interim_documents, chunk_previews, relation_percent, quoted_titles, relaxed_reasons,
     )
     return {f.__name__: f for f in fs}
 
