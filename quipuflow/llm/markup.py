@@ -277,7 +277,7 @@ def visible(text: str, page: str) -> str:
     t = re.sub(r"\[(?:https?:)?//[^\s\]]+\]", "", t)
     t = re.sub(r"<(https?://[^>\s]+)>", r"\1", t)
     if "\\" in t:
-        t = re.sub(r"\{?\\(['`~^\"=.])\s*(?:\{\s*(\\?[a-zA-Z])\s*\}|(\\i(?![a-zA-Z])|[a-zA-Z]))\}?", _accent, t)
+        t = re.sub(r"\\(['`~^\"=.])\s*(?:\{\s*(\\?[a-zA-Z])\s*\}|(\\i(?![a-zA-Z])|[a-zA-Z]))", _accent, t)
         t = re.sub(r"\\(c|v)\{([a-zA-Z])\}", lambda m: unicodedata.normalize("NFC", m[2] + _ACCENTS[m[1]]), t)
         t = re.sub(r"\\href\{[^{}]*\}", "", t)
         t = re.sub(r"\\(?:url)\{([^{}]*)\}", r"\1", t)
@@ -287,6 +287,7 @@ def visible(text: str, page: str) -> str:
             if shorter == t:
                 break
             t = shorter
+        t = re.sub(r"(?<!\\)\{([^\W\d_])\}", r"\1", t)
         t = t.replace("\\\\", " ")
         t = re.sub(r"\\[,;:! ]", " ", t)
     if page == "tex":
@@ -299,17 +300,13 @@ def visible(text: str, page: str) -> str:
     t = re.sub(r"(?<![\w\\])_(?=[^\s_])([^_]+?)(?<=[^\s_])_(?!\w)", r"\1", t, flags=re.S)
     t = re.sub(r"~~(?=\S)(.+?)(?<=\S)~~", r"\1", t)
     t = re.sub(r"(`+)(.+?)\1", r"\2", t)
-    t = re.sub(r"\\([^\w\s])", r"\1", t)
+    t = re.sub(r"\\([^A-Za-z0-9\s])", r"\1", t)
     t = html.unescape(t)
     return squeezed(t)
 
 
 def _accent(m: re.Match) -> str:
-    letter = (m[2] or m[3]).lstrip("\\")
-    made = unicodedata.normalize("NFC", letter + _ACCENTS[m[1]])
-    whole = m[0]
-    # braces around the accent go with it, others stay
-    return ("" if not whole.startswith("{") or whole.endswith("}") else "{") + made + ("}" if whole.endswith("}") and not whole.startswith("{") and m[2] is None else "")
+    return unicodedata.normalize("NFC", (m[2] or m[3]).lstrip("\\") + _ACCENTS[m[1]])
 
 
 def squeezed(t: str) -> str:
