@@ -7,9 +7,9 @@ of it the highest trust, then the latest. Where a record of a layer has no usabl
 layer fills the gap, which is the same as layering only usable values, as done here.
 
 Each group is first reduced to its distinct values (partial aggregation), with the best record of
-each, so a group of a third of all rows costs its distinct values only. Beginnings are looked up by
-joins on prefixes, never by comparing a group's values in pairs. The skyline needs one record per
-trust level: levels are few and fixed.
+each, so a group of a third of all rows costs its distinct values only. Beginnings are found by
+sorting, in parts where a group has many values, never by comparing values in pairs. The skyline
+needs one record per trust level: levels are few and fixed.
 
 Ties in trust and time go to the smallest copy_id. A group without a usable value gives null. An
 unknown or null method counts as the lowest trust. Extra columns are left out.
@@ -17,7 +17,7 @@ unknown or null method counts as the lowest trust. Extra columns are left out.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 FIELDS = ("head", "head_type", "tail")
@@ -25,8 +25,8 @@ FIELDS = ("head", "head_type", "tail")
 ABSENT = ("null", "none", "nan", "nil", "na", "n/a", "n.a.", "s/d", "s/n", "s.d.", "unk", "unknown", "undefined", "missing", "desconocido", "desconocida", "sin datos", "sin dato", "no disponible", "ninguno", "ninguna", "tbd")
 #: Two-sign traces of UTF-8 read as Latin-1 or Windows-1252.
 MOJIBAKE = "[ÂÃ][\u0080-¿ŒœŠšŸŽžƒˆ˜–—‘-„†-•…‰‹›€™]"
-#: Signs of a value by which beginnings are joined; shorter values are looked up among all short prefixes.
-PREFIX = 12
+#: Groups of more distinct values than HOT are sorted in parts that share their first PREFIX signs.
+HOT, PREFIX = 1000, 12
 LOWEST = -1
 
 
@@ -40,32 +40,33 @@ def well_formed(v: Column) -> Column:
 
 
 def _values(copies: DataFrame, trust: DataFrame, fields: tuple[str, ...]) -> DataFrame:
-    """Distinct (group_id, field, value, trust) with the time and id of the best record."""
+    """Distinct (group_id, field, value) with the trust, time and id of the best record; null values too."""
     levels = trust.where(F.col("method").isNotNull()).groupBy("method").agg(F.max("trust").cast("int").alias("trust"))
     rows = copies.select("group_id", "copy_id", "method", "extracted_at", *fields).join(levels, "method", "left")
     long = rows.select(
         "group_id",
-        F.coalesce("trust", F.lit(LOWEST)).alias("trust"),
-        F.struct(F.col("extracted_at").alias("at"), (-F.col("copy_id")).alias("neg_id")).alias("rank"),
+        F.struct(F.coalesce("trust", F.lit(LOWEST)).alias("trust"), F.col("extracted_at").alias("at"), (-F.col("copy_id")).alias("neg_id")).alias("rank"),
         F.explode(F.array(*[F.struct(F.lit(i).alias("field"), F.col(f).cast("string").alias("value")) for i, f in enumerate(fields)])).alias("v"),
     )
-    return long.select("group_id", "v.field", "v.value", "trust", "rank").groupBy("group_id", "field", "value", "trust").agg(F.max("rank").alias("rank"))
+    return long.select("group_id", "v.field", "v.value", "rank").groupBy("group_id", "field", "value").agg(F.max("rank").alias("rank"))
 
 
-def _beginnings(values: DataFrame) -> DataFrame:
-    """(group_id, field, value): values that are mere beginnings of another of their field and group."""
-    own = values.where("value is not null and value <> ''").select("group_id", "field", "value").distinct()
-    head = F.substring("value", 1, PREFIX)
-    # long ones: sorted among those that share their first signs, a beginning stands right before an extension
-    from pyspark.sql import Window
+def _with_beginnings(values: DataFrame) -> DataFrame:
+    """values with cut: whether the value is a mere beginning of another of its field and group.
 
-    w = Window.partitionBy("group_id", "field", head).orderBy("value")
-    long = own.where(F.length("value") >= PREFIX).withColumn("next", F.lead("value").over(w)).where(F.col("next").startswith(F.col("value"))).select("group_id", "field", "value")
-    # short ones: equal to a proper prefix of another
-    most = F.least(F.length("value") - 1, F.lit(PREFIX - 1))
-    prefixes = own.where(F.length("value") > 1).select("group_id", "field", F.explode(F.transform(F.sequence(F.lit(1), most), lambda n: F.substring(F.col("value"), F.lit(1), n))).alias("value")).distinct()
-    short = own.where(F.length("value") < PREFIX).join(prefixes, ["group_id", "field", "value"], "left_semi")
-    return long.unionByName(short)
+    Sorted, a value stands right before one that it begins, if there is any. Groups of more than HOT
+    distinct values are sorted in parts that share their first signs; values shorter than those are
+    looked up among the prefixes of their group's values.
+    """
+    hot = values.groupBy("group_id", "field").agg(F.count("*").alias("n")).where(F.col("n") > HOT).select(F.col("group_id").alias("_g"), F.col("field").alias("_f"))
+    values = values.join(hot, F.col("group_id").eqNullSafe(F.col("_g")) & (F.col("field") == F.col("_f")), "left").withColumn("hot", F.col("_f").isNotNull()).drop("_g", "_f")
+    part = F.when(F.col("hot"), F.substring("value", 1, PREFIX)).otherwise(F.lit(""))
+    w = Window.partitionBy("group_id", "field", part).orderBy("value")
+    marked = values.withColumn("cut", F.coalesce(F.lead("value").over(w).startswith(F.col("value")), F.lit(False)))
+    crowd = values.where("hot and length(value) > 1").select("group_id", "field", F.explode(F.transform(F.sequence(F.lit(1), F.least(F.length("value"), F.lit(PREFIX)) - 1), lambda n: F.substring(F.col("value"), F.lit(1), n))).alias("value"))
+    crowd = crowd.distinct().select(F.col("group_id").alias("_g"), F.col("field").alias("_f"), F.col("value").alias("_v"))
+    same = F.col("group_id").eqNullSafe(F.col("_g")) & (F.col("field") == F.col("_f")) & (F.col("value") == F.col("_v")) & (F.length("value") < PREFIX)
+    return marked.join(crowd, same, "left").withColumn("cut", F.col("cut") | F.col("_v").isNotNull()).drop("_g", "_f", "_v")
 
 
 def skyline(candidates: Column) -> Column:
@@ -75,11 +76,9 @@ def skyline(candidates: Column) -> Column:
 
 def survivors(copies: DataFrame, trust: DataFrame, fields: tuple[str, ...] = FIELDS) -> DataFrame:
     """(group_id, fields): one row per group."""
-    values = _values(copies, trust, fields)
-    usable = values.where(well_formed(F.col("value"))).join(_beginnings(values), ["group_id", "field", "value"], "left_anti")
+    values = _with_beginnings(_values(copies, trust, fields))
+    offer = F.when(well_formed(F.col("value")) & ~F.col("cut"), F.struct(F.col("rank.at").alias("at"), F.col("rank.neg_id").alias("neg_id"), F.col("value").alias("value")))
     # one record per trust level, so the arrays are as long as there are levels
-    best = usable.groupBy("group_id", "field", "trust").agg(F.max(F.struct("rank", "value")).alias("b"))
-    front = best.groupBy("group_id", "field").agg(F.collect_list(F.struct("trust", "b.rank", "b.value")).alias("c"))
-    chosen = front.select("group_id", "field", F.array_max(skyline(F.col("c")))["value"].alias("value"))
-    wide = chosen.groupBy("group_id").agg(*[F.max(F.when(F.col("field") == i, F.col("value"))).alias(f) for i, f in enumerate(fields)])
-    return copies.select("group_id").distinct().join(wide, "group_id", "left")
+    best = values.groupBy("group_id", "field", F.col("rank.trust").alias("trust")).agg(F.max(offer).alias("b"))
+    layer = lambda i: F.collect_list(F.when((F.col("field") == i) & F.col("b").isNotNull(), F.struct("trust", F.struct("b.at", "b.neg_id").alias("rank"), F.col("b.value").alias("value"))))
+    return best.groupBy("group_id").agg(*[layer(i).alias(f) for i, f in enumerate(fields)]).select("group_id", *[F.array_max(skyline(F.col(f)))["value"].alias(f) for f in fields])

@@ -132,7 +132,10 @@ def plain_survivor(recs, trust, field):
     return max(ok, key=lambda r: (trust.get(r["method"], -1), r["extracted_at"], -r["copy_id"]))[field] if ok else None
 
 
-def test_survivors_as_brute_force(spark):
+@pytest.mark.parametrize("hot", [1000, 2])
+def test_survivors_as_brute_force(spark, monkeypatch, hot):
+    monkeypatch.setattr(survivor, "HOT", hot)
+    monkeypatch.setattr(survivor, "PREFIX", 6)
     rng = random.Random(1)
     pool = [None, "", "null", "s/d", "-", "Ana", "Ana María", "Ana Mar…", "Beto de la Cruz", "Beto de la C", "Beto de la Cruz Alta", "x"]
     trust = {"curator": 5, "web": 2, "api": 2}
