@@ -50,5 +50,5 @@ def windowed_counts(stream: DataFrame, time_col: str, by: str, width: str = "5 m
 
 
 def into_table(stream: DataFrame, path: str, checkpoint: str):
-    """Each micro-batch appended to a parquet table."""
-    return stream.writeStream.outputMode("update").option("checkpointLocation", checkpoint).foreachBatch(lambda df, _: df.write.mode("append").parquet(path))
+    """Each micro-batch appended to a parquet table; gives the running query."""
+    return stream.writeStream.outputMode("update").option("checkpointLocation", checkpoint).foreachBatch(lambda df, _: df.write.mode("append").parquet(path)).start()
