@@ -7,7 +7,7 @@ over all hosts, and the winning frame paths of a host go back to its pages, whic
 again: from the headline on, up to the first container of the frame, without the labels, dates,
 bylines, notices and links in between.
 
-Votes are counted with partial aggregation. Pages and the paths of their host are joined with salted
+Votes are counted by the paths' 64-bit keys, with partial aggregation. Pages and the paths of their host are joined with salted
 keys, so a host of a third of all pages is spread over many tasks; a host has few winning paths, as
 each stands on a fixed share of its pages.
 
@@ -23,6 +23,7 @@ from collections.abc import Iterator
 from urllib.parse import unquote
 
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -91,7 +92,7 @@ def _text_like(line: str) -> bool:
     return len(line) >= 25 and line.rstrip("»”\"') ")[-1:] in tuple(".!?…;") and " " in line
 
 
-def article(content: str | None, title: str | None, url: str | None, frame: set[str]) -> list[int]:
+def article(content: str | None, title: str | None, url: str | None, frame: set[int]) -> list[int]:
     """Numbers of the article's lines."""
     if not content or not content.strip():
         return []
@@ -100,7 +101,7 @@ def article(content: str | None, title: str | None, url: str | None, frame: set[
     bare = [x.strip() for x in lines]
     paths = [path(x, site) for x in lines]
     names = {_bare(t.strip()) for t in (title, slug_title(url)) if t and t.strip()}
-    framed = [bool(p) and p in frame for p in paths]
+    framed = [bool(p) and key(p) in frame for p in paths]
     start = next((i for i, x in enumerate(bare) if x and _bare(x) in names), None)
     if start is None:
         if any(re.match(r"(?i)error \d{3}\b", x) for x in bare):
@@ -138,22 +139,30 @@ def _notice(x: str) -> bool:
     return re.search(r"(?i)\bcookies?\b|tecnolog[ií]as de seguimiento|tu privacidad nos|sua privacidade", x) is not None
 
 
+def key(text: str) -> int:
+    """64-bit key of a path; votes carry keys, as paths are long."""
+    return xxhash.xxh64_intdigest(text) - (1 << 63)
+
+
 def frame_paths(pages: DataFrame, host_share: float = HOST_SHARE, pooled_share: float = POOLED_SHARE) -> DataFrame:
-    """(host, frame array<string>): the winning frame paths of each host."""
+    """(host, frame array<long>): keys of the winning frame paths of each host.
+
+    pages: host, url, content.
+    """
 
     def score(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in frames:
             rows = []
-            for url, content, mark in zip(pdf["url"], pdf["content"], pdf["mark"]):
+            for host, url, content, mark in zip(pdf["host"], pdf["url"], pdf["content"], pdf["mark"]):
                 if content and content.strip():
-                    host = host_of(url)
-                    site = site_of(host)
-                    rows += [(host, p, mark) for p in {"", *(path(x, site) for x in content.split("\n"))} if len(p) <= 200]  # '' stands for the page
+                    site = site_of(host_of(url))
+                    rows += [(host, key(p), mark) for p in {"", *(path(x, site) for x in content.split("\n"))}]  # '' stands for the page
             yield pd.DataFrame(rows, columns=["host", "path", "page"])
 
-    votes = pages.withColumn("mark", F.xxhash64("content")).mapInPandas(score, "host string, path string, page long").distinct().groupBy("host", "path").agg(F.count("*").alias("n"))
-    size = votes.where("path = ''").select("host", F.col("n").alias("pages"))
-    votes = votes.where("path <> ''").join(size, "host")
+    page = key("")
+    votes = pages.withColumn("mark", F.xxhash64("content")).mapInPandas(score, "host long, path long, page long").distinct().groupBy("host", "path").agg(F.count("*").alias("n"))
+    size = votes.where(F.col("path") == page).select("host", F.col("n").alias("pages"))
+    votes = votes.where(F.col("path") != page).join(size, "host")
     pooled = votes.groupBy("path").agg(F.sum("n").alias("all_n"), F.sum("pages").alias("all_pages"), F.count("*").alias("hosts"))
     pooled = pooled.where((F.col("all_n") >= F.col("all_pages") * pooled_share) & (F.col("hosts") >= MIN_HOSTS)).select("path", F.lit(True).alias("everywhere"))
     won = votes.join(pooled, "path", "left").where(((F.col("n") >= F.col("pages") * host_share) & (F.col("n") >= MIN_PAGES)) | F.col("everywhere"))
@@ -163,10 +172,10 @@ def frame_paths(pages: DataFrame, host_share: float = HOST_SHARE, pooled_share:
 def articles(pages: DataFrame, id_col: str = "page_id", salts: int = SALTS) -> DataFrame:
     """(page_id, line_no) of the article's lines."""
     kind = pages.schema[id_col].dataType.simpleString()
-    src = spread(pages.select(F.col(id_col).alias("id"), "title", "url", "content"))
-    won = frame_paths(src.select("url", "content")).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^\s*(?:[A-Za-z][A-Za-z0-9+.\-]*:)?//([^/?#]+)", 1))
-    rows = src.withColumn("host", host).withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(salts)).cast("int"))
+    host = F.xxhash64(F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^\s*(?:[A-Za-z][A-Za-z0-9+.\-]*:)?//([^/?#]+)", 1)))
+    src = spread(pages.select(F.col(id_col).alias("id"), "title", "url", "content", host.alias("host")))
+    won = frame_paths(src.select("host", "url", "content")).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    rows = src.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(salts)).cast("int"))
     rows = rows.join(won, ["host", "salt"], "left").select("id", "title", "url", "content", "frame")
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
