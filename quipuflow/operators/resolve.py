@@ -32,7 +32,7 @@ FRAGMENTS = ("de ", "del ", "la ", "el ", "los ", "las ")
 
 
 def name_score(e: Column) -> Column:
-    """How well a name represents its group."""
+    """How well a name represents its group. The points are fixed values."""
     low, n = F.lower(e), F.length(e)
     first = F.substring(e, 1, 1)
     score = F.when((e == low) & (e != F.upper(e)) & (n > 3), -20).otherwise(0)
