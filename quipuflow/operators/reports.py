@@ -6,12 +6,20 @@ Nulls: entities are stripped and blank ones left out; a null relation counts as
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from quipuflow.functions.text import country_of, strip
 
 
+@F.pandas_udf(StringType())
+def float_text(x: pd.Series) -> pd.Series:
+    """Doubles as Python prints them (0.0001, 1e-05, nan), which the JVM doesn't. A null comes in as NaN."""
+    return pd.Series([repr(v) for v in x.tolist()], dtype=object)
+
+
 def filtered(df: DataFrame, min_confidence: float | None = None, entity_types: list[str] | None = None, relations: list[str] | None = None, countries: list[str] | None = None) -> DataFrame:
     """Conjunction of the predicates given; an empty one is none. NaN has no confidence."""
     if min_confidence:
@@ -36,8 +44,11 @@ def basic(df: DataFrame) -> DataFrame:
 
 
 def extended(df: DataFrame) -> DataFrame:
+    """All triples with the eight columns; missing values are '', a confidence that is a double is printed as by Python."""
     names = (("head", "entidad"), ("head_type", "tipo_entidad"), ("type", "relacion"), ("tail", "valor"), ("tail_type", "tipo_valor"), ("confidence", "confianza"), ("source_file", "archivo_fuente"), ("chunk_index", "indice_chunk"))
-    return df.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(n) for c, n in names])
+    real = {c for c, kind in df.dtypes if kind == "double"}
+    shown = lambda c: F.when(F.col(c).isNotNull(), float_text(F.col(c))) if c in real else F.col(c).cast("string")
+    return df.select(*[F.coalesce(shown(c), F.lit("")).alias(n) for c, n in names])
 
 
 def entity_report(df: DataFrame, ord_col: str = "ord") -> DataFrame:

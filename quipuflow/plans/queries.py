@@ -109,9 +109,15 @@ def export_basic(spark, d):
 
 
 def export_extended(spark, d):
+    """Only the part that its SQL states, without confidences; export_extended_whole is the export."""
     return reports.extended(triples(spark, d).withColumn("confidence", F.lit(None).cast("double")))
 
 
+def export_extended_whole(spark, d):
+    """All eight columns of all triples; SQL prints doubles otherwise."""
+    return reports.extended(triples(spark, d))
+
+
 def export_filtered(spark, d):
     df = reports.filtered(triples(spark, d), 0.6, ["per", "org"], ["country", "spouse", "capital", "country of citizenship"], ["México", "perú", "Chile", "cuba"])
     return df.select("triple_id")
@@ -270,7 +276,7 @@ def relaxed_reasons(spark, d):
 def queries() -> dict[str, Query]:
     fs = (
         triple_reasons, triple_reasons_configured, reason_histogram, strict_valid, normalized_entities, exact_entity_map, entity_resolution, unique_triples, unique_events,
-        entity_degree, degree_summary, degree_histogram, connected_triples, distinct_triples, entity_report, relation_report, country_report, export_basic, export_extended,
+        entity_degree, degree_summary, degree_histogram, connected_triples, distinct_triples, entity_report, relation_report, country_report, export_basic, export_extended, export_extended_whole,
         export_filtered, source_counts, category_counts, graph_nodes, quality_pipeline, quality_stats, iso_dates, file_names, clean_pages, clean_extracts, wikitext_plain,
         page_text, sentences, chunks, simple_chunks, interim_chunks, long_documents, pending_pages, parsed_lines, parsed_triples, take_while, capped_per_group, merged_sources,
         similar_tokens, chosen_content, interim_documents, chunk_previews, relation_percent, quoted_titles, relaxed_reasons,

@@ -67,6 +67,17 @@ def test_reports_on_nothing_and_ties(spark):
     assert rows(reports.take_while(df, F.col("type") == "r", "ord"), "ord") == [(0,)]
 
 
+def test_extended_export_keeps_confidences(spark, tmp_path):
+    from quipuflow.plans import queries
+
+    cs = [None, float("nan"), float("inf"), 0.0, -0.0, 0.87, 0.1 + 0.2, 1.0, 0.001, 0.0001, 0.00012, 1e-05, 5e-324, 123456789.5, 1e16, 2e23]
+    df = spark.createDataFrame([(i, "h", "per", "r", None, "loc", c, "f", i) for i, c in enumerate(cs)], "triple_id long, head string, head_type string, type string, tail string, tail_type string, confidence double, source_file string, chunk_index int")
+    df.write.parquet(str(tmp_path / "triples.parquet"))
+    want = sorted(("h", "per", "r", "", "loc", "" if c is None else repr(c), "f", str(i)) for i, c in enumerate(cs))
+    assert sorted(map(tuple, reports.extended(df).collect())) == want
+    assert sorted(map(tuple, queries.queries()["export_extended_whole"](spark, str(tmp_path)).collect())) == want
+
+
 def test_parser(spark):
     cases = {
         "": [],
