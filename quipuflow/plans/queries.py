@@ -195,20 +195,35 @@ def long_documents(spark, d):
 
 
 def pending_pages(spark, d):
-    """Pages of the raw table that no valid segmented document has yet."""
+    """Only the pages with a title, as its SQL states; pending_pages_whole has all."""
     have = table(spark, d, "interim_docs").select(F.col("metadata.title").alias("title"), F.col("metadata.text_length").alias("cleaned_length"))
     want = table(spark, d, "raw_pages").where("title is not null").select("page_id", "title")
     return files.pending(want, have.where("title is not null"), "title").select("page_id")
 
 
+def pending_pages_whole(spark, d):
+    """Pages of the raw table that no valid segmented document has yet; one without a title has none."""
+    have = table(spark, d, "interim_docs").select(F.col("metadata.title").alias("title"), F.col("metadata.text_length").alias("cleaned_length"))
+    return files.pending(table(spark, d, "raw_pages").select("page_id", "title"), have, "title").select("page_id")
+
+
 def parsed_lines(spark, d):
     return files.triple_lines(table(spark, d, "triple_lines")).select("line_id", "head", "type", "tail")
 
 
 def parsed_triples(spark, d):
-    """Linearized from the table and parsed again."""
-    t = _clean(triples(spark, d))
-    line = F.concat(F.lit("tp_XX<triplet> "), "head", F.lit(" <"), "head_type", F.lit("> "), "tail", F.lit(" <"), "tail_type", F.lit("> "), "type", F.lit("</s>"))
+    """Only the rows that come back as they were, as its SQL states; parsed_triples_whole has all."""
+    return _reparsed(_clean(triples(spark, d)))
+
+
+def parsed_triples_whole(spark, d):
+    """Every triple linearized and parsed again, which gives none, one or more; SQL has no parser."""
+    return _reparsed(triples(spark, d))
+
+
+def _reparsed(t: DataFrame) -> DataFrame:
+    field = lambda c: F.coalesce(F.col(c), F.lit(""))
+    line = F.concat(F.lit("tp_XX<triplet> "), field("head"), F.lit(" <"), field("head_type"), F.lit("> "), field("tail"), F.lit(" <"), field("tail_type"), F.lit("> "), field("type"), F.lit("</s>"))
     return t.select("triple_id", F.explode(extract.parsed(line)).alias("t")).select("triple_id", "t.*")
 
 
@@ -278,7 +293,7 @@ def queries() -> dict[str, Query]:
         triple_reasons, triple_reasons_configured, reason_histogram, strict_valid, normalized_entities, exact_entity_map, entity_resolution, unique_triples, unique_events,
         entity_degree, degree_summary, degree_histogram, connected_triples, distinct_triples, entity_report, relation_report, country_report, export_basic, export_extended, export_extended_whole,
         export_filtered, source_counts, category_counts, graph_nodes, quality_pipeline, quality_stats, iso_dates, file_names, clean_pages, clean_extracts, wikitext_plain,
-        page_text, sentences, chunks, simple_chunks, interim_chunks, long_documents, pending_pages, parsed_lines, parsed_triples, take_while, capped_per_group, merged_sources,
+        page_text, sentences, chunks, simple_chunks, interim_chunks, long_documents, pending_pages, pending_pages_whole, parsed_lines, parsed_triples, parsed_triples_whole, take_while, capped_per_group, merged_sources,
         similar_tokens, chosen_content, interim_documents, chunk_previews, relation_percent, quoted_titles, relaxed_reasons,
     )
     return {f.__name__: f for f in fs}

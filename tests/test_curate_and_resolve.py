@@ -92,6 +92,61 @@ def test_parser(spark):
     assert got == cases | {None: None}
 
 
+def model_parser(text):
+    """The reference's parser of a linearized output, token by token."""
+    out, at, subj, rel, obj, obj_type, subj_type = [], "x", "", "", "", "", ""
+    made = lambda: out.append((subj.strip(), subj_type, rel.strip(), obj.strip(), obj_type))
+    for s in ("<s>", "<pad>", "</s>", "tp_XX", "__en__"):
+        text = text.replace(s, "")
+    for t in text.split():
+        if t in ("<triplet>", "<relation>"):
+            if rel != "":
+                made()
+            at, rel, subj = "t", "", ""
+        elif t.startswith("<") and t.endswith(">"):
+            if at in ("t", "o"):
+                if rel != "":
+                    made()
+                at, obj, subj_type = "s", "", t[1:-1]
+            else:
+                at, obj_type, rel = "o", t[1:-1], ""
+        elif at == "t":
+            subj += " " + t
+        elif at == "s":
+            obj += " " + t
+        elif at == "o":
+            rel += " " + t
+    if "" not in (subj, rel, obj, obj_type, subj_type):
+        made()
+    return out
+
+
+def test_every_triple_is_parsed_as_by_the_model(spark, tmp_path):
+    from quipuflow.plans import queries
+
+    parts = ["Ana", "A  B", " 'x' [1] (y/z) ", "a\u00a0b\u3000c\x1fd", "", None, "<triplet>", "<relation> C", "<per>", "<>", "< >", "<", "a<b>", "<s>x</s>", "__en__", "<tri<s>plet>", "tp_XX", "e\u0301\u200b"]
+    kinds = ["per", "loc", "org", "", None, "a b", "<x>", "s", "triplet"]
+    r = random.Random(1)
+    made = [tuple(r.choice(kinds if k in (1, 4) else parts) for k in range(5)) for _ in range(900)]
+    made += [(p, "per", "r", p, "loc") for p in parts] + [("A", k, "r", "B", k) for k in kinds]
+    df = spark.createDataFrame([(i, *m) for i, m in enumerate(made)], "triple_id long, head string, head_type string, type string, tail string, tail_type string")
+    df.write.parquet(str(tmp_path / "triples.parquet"))
+    got = rows(queries.queries()["parsed_triples_whole"](spark, str(tmp_path)), "triple_id", "head", "head_type", "type", "tail", "tail_type")
+    want = []
+    for i, (h, ht, rel, t, tt) in enumerate([[x or "" for x in m] for m in made]):
+        want += [(i, *x) for x in model_parser(f"tp_XX<triplet> {h} <{ht}> {t} <{tt}> {rel}</s>")]
+    assert got == sorted(want)
+    assert 0 < len({x[0] for x in want}) < min(len(made), len(want))  # some give none, some more than one
+
+
+def test_pages_without_a_title_are_pending(spark, tmp_path):
+    from quipuflow.plans import queries
+
+    spark.createDataFrame([(1, "x"), (2, "y"), (3, None)], "page_id long, title string").write.parquet(str(tmp_path / "raw_pages.parquet"))
+    spark.createDataFrame([(("x", 500),), (("y", 10),), ((None, 500),)], "metadata struct<title:string,text_length:int>").write.parquet(str(tmp_path / "interim_docs.parquet"))
+    assert rows(queries.queries()["pending_pages_whole"](spark, str(tmp_path))) == [(2,), (3,)]
+
+
 def test_extraction_with_a_stand_in(spark):
     docs = spark.createDataFrame([("d", ["Lima es capital de Perú y nada", " ", None])], "source string, chunks array<string>")
     got = rows(pipeline.extracted(docs, extract.PatternExtractor()), "head", "type", "tail", "source_file", "chunk_index", "triple_index")
