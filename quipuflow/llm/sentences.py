@@ -4,7 +4,8 @@ Candidate boundaries stand after the end marks of a script (with the quotes, bra
 that follow them) and, in Thai, at blanks. A maximum-entropy model decides each one from features of
 the neighbouring tokens: how often the corpus ends paragraphs with the token before and begins them
 with the token after, case, length, digits, script, quotation and brackets. The paragraph counts come
-from all texts, by partial aggregation.
+from all texts, by partial aggregation. Those of frequent tokens go to all tasks, those of the others are
+joined to the texts that hold them, so that no token goes without its counts.
 
 The model is trained here, on reliable boundaries of a bounded sample of pages (SAMPLE_PAGES):
 paragraph ends and candidates between frequent paragraph ends and beginnings are boundaries;
@@ -18,20 +19,21 @@ no sentences. Places are code points, 0-based, end exclusive, without white spac
 from __future__ import annotations
 
 import bisect
+import copy
 import itertools
 import math
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quipuflow.session import spread
+from quipuflow.session import cut, spread
 
 SAMPLE_PAGES = 600
-#: Tokens that make up less than this share of all candidates aren't kept, so at most 1 / share are.
+#: Tokens that make up less than this share of all candidates are joined to the texts; at most 1 / share go to all tasks.
 LEAST_SHARE = 2e-6
 #: A token never ends or begins a paragraph if that would have at most this chance by luck.
 LUCK = 1e-3
@@ -189,18 +191,34 @@ def counts(text: str) -> list[tuple[str, str, int, int]]:
 
 
 class Vocabulary:
-    """How often tokens stand at paragraph edges."""
+    """How often tokens stand at paragraph edges.
 
-    def __init__(self, rows: list[tuple[str, str, int, int]]):
+    totals: (times, times at an edge) of all tokens of a side, where rows aren't all.
+    """
+
+    def __init__(self, rows: list[tuple[str, str, int, int]], totals: dict[str, tuple[int, int]] | None = None):
         self.seen = {(s, t): (n, e) for s, t, n, e in rows}
+        self.more: dict[tuple[str, str], tuple[int, int]] = {}
         self.rate = {}
         for side in ("before", "after"):
-            n = sum(v[0] for k, v in self.seen.items() if k[0] == side)
-            e = sum(v[1] for k, v in self.seen.items() if k[0] == side)
+            if totals is None:
+                n, e = (sum(v[i] for k, v in self.seen.items() if k[0] == side) for i in (0, 1))
+            else:
+                n, e = totals.get(side, (0, 0))
             self.rate[side] = min(0.9, max(0.01, e / n)) if n else 0.2
 
+    def plus(self, rows: Iterable[tuple[str, str, int, int]]) -> "Vocabulary":
+        """The same with the counts of further tokens; rates stay."""
+        v = copy.copy(self)
+        v.more = {(s, t): (n, e) for s, t, n, e in rows}
+        return v
+
+    def least_never(self, side: str) -> int:
+        """Least times that a token without edges must be seen to stand as "never"."""
+        return math.ceil(math.log(LUCK) / math.log(1 - self.rate[side]) - 1e-9)
+
     def standing(self, side: str, token: str) -> str:
-        n, e = self.seen.get((side, token), (0, 0))
+        n, e = self.seen.get((side, token)) or self.more.get((side, token), (0, 0))
         # far fewer edges than the average token has
         if n and e <= n * self.rate[side] / 40 and n * math.log(1 - self.rate[side]) <= math.log(LUCK):
             return "never"
@@ -318,8 +336,8 @@ def train(texts: list[str], v: Vocabulary) -> MaxEnt:
     return MaxEnt().fit(rows, labels)
 
 
-def vocabulary(pages: DataFrame, text_col: str = "content", least_share: float = LEAST_SHARE) -> Vocabulary:
-    """Counts over all texts; tokens kept are at most 1 / least_share."""
+def tallies(pages: DataFrame, text_col: str = "content") -> DataFrame:
+    """(side, token, n, edge): the counts of all tokens over all texts."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in frames:
@@ -327,11 +345,46 @@ def vocabulary(pages: DataFrame, text_col: str = "content", least_share: float =
             yield pd.DataFrame(rows, columns=["side", "token", "n", "edge"]).groupby(["side", "token"], as_index=False).sum()
 
     votes = spread(pages.select(F.col(text_col).cast("string").alias("text"))).mapInPandas(run, "side string, token string, n long, edge long")
-    votes = votes.groupBy("side", "token").agg(F.sum("n").alias("n"), F.sum("edge").alias("edge")).where("n >= 2")
-    rows = votes
-    size = rows.agg(F.sum("n")).first()[0] or 0
-    rows = rows.where(F.col("n") >= size * least_share).collect()
-    return Vocabulary([(r.side, r.token, r.n, r.edge) for r in rows])
+    return votes.groupBy("side", "token").agg(F.sum("n").alias("n"), F.sum("edge").alias("edge"))
+
+
+def vocabulary(votes: DataFrame, least_share: float = LEAST_SHARE) -> tuple[Vocabulary, DataFrame | None]:
+    """Counts of frequent tokens, at most 1 / least_share, and the rows of the others; None if there are none.
+
+    Left out is only what changes no standing: tokens met at edges alone, of which no candidate asks, and
+    tokens without edges that are too few to stand as "never".
+    """
+    totals = {r.side: (r.n, r.edge) for r in votes.groupBy("side").agg(F.sum("n").alias("n"), F.sum("edge").alias("edge")).collect()}
+    bare = Vocabulary([], totals)
+    enough = F.when(F.col("side") == "before", bare.least_never("before")).otherwise(bare.least_never("after"))
+    used = votes.where((F.col("edge") < F.col("n")) & ((F.col("edge") > 0) | (F.col("n") >= enough)))
+    least = sum(n for n, _ in totals.values()) * least_share
+    frequent = used.where(F.col("n") >= least).collect()
+    v = Vocabulary([(r.side, r.token, r.n, r.edge) for r in frequent], totals)
+    # a token with an edge and a candidate is seen twice
+    return v, used.where(F.col("n") < least) if least > 2 else None
+
+
+def asked(text: str, v: Vocabulary) -> set[tuple[str, str]]:
+    """(side, token) of a text's candidates that aren't among the frequent ones."""
+    out = set()
+    for a, b in paragraphs(text):
+        for c in candidates(text[a:b]):
+            if not c["thai"]:
+                out |= {("before", c["before"] + c["mark"][:1]), ("after", c["after"])}
+    return out - v.seen.keys()
+
+
+def looked_up(texts: DataFrame, v: Vocabulary, rare: DataFrame) -> DataFrame:
+    """(key, more): the counts of the rarer tokens of each text of (key, text); a rare token joins few rows."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in frames:
+            rows = [(k, s, t) for k, text in zip(pdf["key"], pdf["text"]) for s, t in asked(text, v)]
+            yield pd.DataFrame(rows, columns=["key", "side", "token"])
+
+    wanted = texts.mapInPandas(run, "key binary, side string, token string")
+    return wanted.join(rare, ["side", "token"]).groupBy("key").agg(F.collect_set(F.struct("side", "token", "n", "edge")).alias("more"))
 
 
 def sample(pages: DataFrame, id_col: str, text_col: str, n: int) -> list[str]:
@@ -340,16 +393,26 @@ def sample(pages: DataFrame, id_col: str, text_col: str, n: int) -> list[str]:
     return [r.c for r in rows]
 
 
-def sentences(pages: DataFrame, id_col: str = "page_id", text_col: str = "content", sample_pages: int = SAMPLE_PAGES) -> DataFrame:
+def sentences(pages: DataFrame, id_col: str = "page_id", text_col: str = "content", sample_pages: int = SAMPLE_PAGES, least_share: float = LEAST_SHARE) -> DataFrame:
     """(page_id, char_start, char_end), one row per sentence."""
-    v = vocabulary(pages, text_col)
-    model = train(sample(pages, id_col, text_col, sample_pages), v)
+    v, rare = vocabulary(cut(tallies(pages, text_col)), least_share)
+    texts = sample(pages, id_col, text_col, sample_pages)
+    known = v
+    if rare is not None:
+        tokens = pages.sparkSession.createDataFrame(sorted(set().union(*(asked(t, v) for t in texts))), "side string, token string")
+        known = v.plus(tuple(r) for r in tokens.join(rare, ["side", "token"]).select("side", "token", "n", "edge").collect())
+    model = train(texts, known)
     kind = pages.schema[id_col].dataType.simpleString()
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in frames:
-            rows = [(i, a, b) for i, t in zip(pdf["id"], pdf["text"]) for a, b in split(t, v, model)]
+            more = pdf["more"] if "more" in pdf else itertools.repeat(None)
+            rows = [(i, a, b) for i, t, m in zip(pdf["id"], pdf["text"], more) for a, b in split(t, v if m is None else v.plus((x["side"], x["token"], x["n"], x["edge"]) for x in m), model)]
             yield pd.DataFrame(rows, columns=["id", "char_start", "char_end"])
 
     src = spread(pages.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")))
+    if rare is not None:
+        # equal texts ask for the same tokens, so the key is the text's digest
+        src = src.where("text <> ''").withColumn("key", F.unhex(F.sha2("text", 256)))
+        src = src.join(looked_up(src.select("key", "text"), v, rare), "key", "left").drop("key")
     return src.mapInPandas(run, f"id {kind}, char_start int, char_end int").withColumnRenamed("id", id_col)

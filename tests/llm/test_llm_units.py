@@ -49,6 +49,27 @@ def test_sentences_of_many_scripts(spark):
     assert rows(sentences.sentences(df.limit(0))) == []
 
 
+def test_no_token_goes_without_its_counts(spark):
+    r = random.Random(3)
+    ends = [f"{a}a" for a in "abcdefghkm"]
+    line = lambda: f"Vino el Qvt. Paz a la {r.choice(ends)}. El río va a la {r.choice(ends)}."
+    texts = ["\n\n".join(line() for _ in range(r.randint(1, 4))) for _ in range(60)]
+    texts += texts[:5] + [None, "", " "]
+    every = [x for t in texts if t for x in sentences.counts(t)]
+    summed = {k: (sum(x[2] for x in every if x[:2] == k), sum(x[3] for x in every if x[:2] == k)) for k in {x[:2] for x in every}}
+    v = sentences.Vocabulary([(*k, *c) for k, c in summed.items()])
+    assert v.standing("before", "qvt.") == "never"
+    df = spark.createDataFrame(list(enumerate(texts)), "page_id long, content string")
+    model = sentences.train(sentences.sample(df, "page_id", "content", 600), v)
+    want = sorted((i, a, b) for i, t in enumerate(texts) for a, b in sentences.split(t, v, model))
+    assert len(want) == 2 * sum(t.count("Qvt.") for t in texts if t)
+    for share in (0, 0.05, 1):  # all tokens go to all tasks, some, none
+        assert rows(sentences.sentences(df, least_share=share)) == want
+    none = sentences.Vocabulary([])
+    model = sentences.train([t for t in texts if t], none)
+    assert sorted((i, a, b) for i, t in enumerate(texts) for a, b in sentences.split(t, none, model)) != want
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.text(alphabet="aB. !?\n»«“”\"() 。ท3", max_size=60))
 def test_sentences_cover_all_but_white_space(t):
