@@ -65,16 +65,14 @@ def root(children: list[Column], ordered: bool = False) -> Column:
 
 
 def parsed_lines(lines: DataFrame, line_col: str = "line", id_col: str = "line_id", fields: tuple[str, ...] = FIELDS) -> DataFrame:
-    """(id, fields) of the lines that are one JSON object and nothing else."""
+    """(id, fields) of the lines that are one JSON object and nothing else; the parser goes 1,000 levels deep."""
     schema = T.StructType([T.StructField(f, T.StringType()) for f in (*fields, "_corrupt")])
     text = F.trim(F.regexp_replace(F.col(line_col), r"^[﻿\s]+|\s+$", ""))
     obj = F.from_json(text, schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
-    # one closing brace outside of strings ends the object: what is left without strings and inner braces is {...}
-    bones = F.regexp_replace(text, r'"(?:[^"\\]|\\.)*+"', '""')
-    flat = bones
-    for _ in range(3):  # objects and lists inside, up to three deep
-        flat = F.regexp_replace(flat, r"(?<=[:,\[\s])[\{\[][^\{\}\[\]]*[\}\]]", "0")
-    whole = flat.rlike(r"^\{[^\{\}]*\}$")
+    # from_json ignores what follows the object; inside of a list and of an object alike only a comma or nothing
+    # can follow, and no comma fits both, so a text that parses in either is one object, at any depth that is parsed
+    one = F.json_array_length(F.concat(F.lit("["), text, F.lit("]"))) == 1
+    whole = text.startswith("{") & one & F.json_object_keys(F.concat(F.lit('{"k":'), text, F.lit("}"))).isNotNull()
     return lines.select(F.col(id_col).alias("id"), obj.alias("o"), whole.alias("whole")).where("whole and o._corrupt is null").select("id", *[F.col(f"o.{f}").alias(f) for f in fields])
 
 

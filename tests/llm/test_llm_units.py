@@ -137,6 +137,14 @@ def test_copies(spark):
     assert rows(structdedup.copies(every.limit(0))) == []
 
 
+def test_lines_are_one_object_at_any_depth(spark):
+    deep = lambda n: '{"head":"a","x":' + '{"y":[' * n + "]}" * n + "}"
+    good = ['{"head":"a"}', ' {"head":"a", "x":"}] {\\""} ', *map(deep, (1, 2, 3, 4, 40, 400))]
+    bad = ["", "{", '[{"head":"a"}]', deep(5)[:-1], *[f'{{"head":"a"}}{x}' for x in ("x", " {}", "]", "} x", "] x", "}", ",", ',"k":1', ',{"k":1}', "],[", '},{"k":1')]]
+    df = spark.createDataFrame(list(enumerate(good + bad)), "line_id long, line string")
+    assert rows(structdedup.parsed_lines(df), "id", "head") == [(i, "a") for i in range(len(good))]
+
+
 def test_root_ignores_order(spark):
     d = [structdedup.digest(F.lit(x), x) for x in "abc"]
     got = spark.range(1).select(structdedup.root(d) == structdedup.root(d[::-1]), structdedup.root(d, True) == structdedup.root(d[::-1], True)).first()
