@@ -1,15 +1,20 @@
 """Problem 6: the article of a page, without what its site puts around and into it.
 
-The pages come as lines. Each line is a container; its generalised path is the line with digits,
-list marks and the site's name generalised, so that "© 2018 Sitio" of one page and "© 2021 Otro" of
-another site have one path. Every page scores its paths as present, Spark votes on them per host and
-over all hosts, and the winning frame paths of a host go back to its pages, which are then extracted
-again: from the headline on, up to the first container of the frame, without the labels, dates,
-bylines, notices and links in between.
-
-Votes are counted by the paths' 64-bit keys, with partial aggregation. Pages and the paths of their host are joined with salted
-keys, so a host of a third of all pages is spread over many tasks; a host has few winning paths, as
-each stands on a fixed share of its pages.
+The pages come as lines. Each line is a container. Its generalised paths are the line with digits,
+calendar words, list marks and the site's name generalised, and, where a sign parts a label from what
+it labels, the label alone ("etiquetas:", "| hace 0 horas"). Every page scores its containers: by
+punctuation, length, and whether text follows right after it, or after a heading. Spark adds the scores up per host and
+over all hosts. A path wins as frame where it stands on too many pages to be anyone's own text; a winning path
+after which text goes on is an insert, one after which none does closes the article. The winning
+paths go back to the pages of their host, which are then extracted again: from the headline to the
+first closing container, without the inserts.
+
+No list of labels is used; what is frame follows from the votes alone.
+
+The text is read once. What each page says of its lines (64-bit keys and flags) is kept in the
+checkpoint folder; votes and extraction read only that. Votes have partial aggregation. Pages and the
+paths of their host are joined with salted keys, so a host of a third of all pages is spread over
+many tasks; a host has few winning paths, as each stands on a fixed share of pages.
 
 A null or blank content has no article; neither has a page of frame only. A page without any frame is
 all article. Pages of equal content vote once. Extra columns are left out.
@@ -27,42 +32,44 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quipuflow.session import spread
+from quipuflow.session import cut, spread
 
 #: A path is frame on a host if it stands on this share of its pages, and on at least MIN_PAGES.
-HOST_SHARE, MIN_PAGES = 0.25, 3
-#: Or if it stands on this share of the pages of all hosts that have it, and on at least MIN_HOSTS.
-POOLED_SHARE, MIN_HOSTS = 0.15, 3
+HOST_SHARE, MIN_PAGES = 0.25, 5
+#: Or if it stands on more than this share of all pages, by more than SURE standard deviations, and on MIN_HOSTS hosts.
+POOLED_SHARE, SURE, MIN_HOSTS = 0.05, 2.0, 3
+#: A winning path is an insert if text follows right after it in at least this share of its places.
+OPENS = 0.15
 SALTS = 16
+#: Flags of a line.
+TEXT, TITLE, OPEN, BLANK = 1, 2, 4, 8
 
+#: Calendar words, without accents.
 _MONTH = "enero|febrero|marzo|abril|mayo|junio|julio|agosto|sep?tiembre|octubre|noviembre|diciembre|january|february|march|april|may|june|july|august|september|october|november|december"
-_DAY = "lunes|martes|mi[eé]rcoles|jueves|viernes|s[aá]bado|domingo|monday|tuesday|wednesday|thursday|friday|saturday|sunday"
-#: Lines inside an article that aren't part of it.
-INSERTS = re.compile(
-    rf"""^(?:
-      anuncio|publicidad|advertisement|sigue\ leyendo\b.*|contin[uú]a\ leyendo\b.*
-    | (?:compartir|imprimir|tuitear|enviar|guardar)(?:\ en\ redes)?(?:\s*[·|/,]?\s*(?:compartir|imprimir|tuitear|enviar|guardar|pdf|correo|\d+))+
-    | lectura\ de\ \d+\ min\w*|\d+\ min\w*\ de\ lectura
-    | (?:publicado|actualizado)\b.{{0,40}}\d.*|por\ la\ redacci[oó]n
-    | [^.|]{{1,60}}\|\s*hace\ \d+\ \w+|hace\ \d+\ \w+
-    | (?:{_DAY})(?:,?\ \d+)?(?:\ de)?\ (?:{_MONTH})(?:\ de\ \d+)?|\d+\ de\ (?:{_MONTH})(?:\ de\ \d+)?|\d+[/.-]\d+[/.-]\d+
-    | (?:relacionado|lea\ tambi[eé]n|vea\ tambi[eé]n|le\ puede\ interesar|m[aá]s\ informaci[oó]n|read\ also|related)\s*:.*
-    | (?:etiquetas|tags|temas|secci[oó]n|categor[ií]as?|foto|fuente|cr[eé]ditos?)\s*:.*
-    | [\w ]+(?:\s>\s[^>]+){{1,5}}
-    | an[uú]nciese\ aqu[ií]|d[eé]janos\ tu\ correo.*|suscr[ií]bete(?:\b.{{0,40}})?
-    )$""",
-    re.X | re.I,
-)
-#: Labels after which links, comments or the foot of a page follow.
-STOPS = re.compile(
-    r"^(?:comentarios?\s*\(\d*\)|comments?\s*\(\d*\)|responder|etiquetas|patrocinadores|[uú]ltimas\ noticias|te\ puede\ interesar|lo\ m[aá]s\ (?:le[ií]do|visto)|archivo\ por\ mes|bolet[ií]n\ semanal|s[ií]guenos\ en\ redes|volver\ arriba|t[eé]rminos\ de\ uso|pol[ií]tica\ de\ (?:privacidad|cookies)|aviso\ legal|todos\ los\ derechos\ reservados\.?|©.*|error\ \d{3}\b.*)$".replace("\\ ", " "),
-    re.I,
-)
-_BULLET = re.compile(r"^(?:[▸>*•·\-–»]\s+)+")
+_DAY = "lunes|martes|miercoles|jueves|viernes|sabado|domingo|monday|tuesday|wednesday|thursday|friday|saturday|sunday"
+_CALENDAR = re.compile(rf"\b(?:(?:{_MONTH})|({_DAY}))\b")
+_BULLET = re.compile(r"^[^\S\n]*(?:[▸>*•·\-–»][^\S\n]+)+|(?<=»[^\S\n])[▸>*•][^\S\n]+", re.M)
+_NUMBER = re.compile(r"\d+")
+_BLANKS = re.compile(r"[^\S\n]+")
+_LABEL = re.compile(r"\s*[:|>»·]")
+_END = (".", "!", "?", "…", ";")
+
+
+def _accents() -> dict[int, str | None]:
+    """Signs to their letters without marks; marks that stand alone to nothing."""
+    table: dict[int, str | None] = {i: None for i in range(0x300, 0x370)}
+    for i in range(0xC0, 0x2000):
+        d = unicodedata.normalize("NFD", chr(i))
+        if len(d) > 1:
+            table[i] = "".join(c for c in d if unicodedata.category(c) != "Mn")
+    return table
+
+
+_ACCENTS = _accents()
 
 
 def _bare(t: str) -> str:
-    return "".join(c for c in unicodedata.normalize("NFD", t.lower()) if unicodedata.category(c) != "Mn")
+    return t.lower().translate(_ACCENTS)
 
 
 def host_of(url: str | None) -> str:
@@ -75,12 +82,22 @@ def site_of(host: str) -> str:
     return re.sub(r"\d+$", "", parts[0]) if parts else ""
 
 
-def path(line: str, site: str) -> str:
-    """Generalised path of a line; '' for a blank one."""
-    t = _BULLET.sub("", _bare(line).strip())
-    t = re.sub(r"[▸>*•]\s+(?=\w)", "", t)
-    t = re.sub(r"\d+", "0", re.sub(r"\s+", " ", t))
-    return re.sub(rf"\b{re.escape(site)}\b", "<site>", t) if site else t
+def generalised(content: str, site: str) -> list[str]:
+    """Generalised path of each line; '' for a blank one."""
+    t = _BLANKS.sub(" ", _BULLET.sub("", _bare(content)))
+    t = _CALENDAR.sub(lambda m: "0day" if m[1] else "0month", _NUMBER.sub("0", t))
+    if site:
+        t = re.sub(rf"\b{re.escape(_bare(site))}\b", "0site", t)
+    return [x.strip() for x in t.split("\n")]
+
+
+def labels(path: str) -> tuple[str, str]:
+    """What a path begins with up to a sign that parts labels, and what it ends with from one on; '' where none is."""
+    m = _LABEL.search(path, 1)
+    if not m or m.end() > 60:
+        return "", ""
+    last = max(path.rfind(x) for x in "|·")
+    return path[: m.end()], path[last:] if last > 0 else ""
 
 
 def slug_title(url: str | None) -> str:
@@ -89,98 +106,134 @@ def slug_title(url: str | None) -> str:
 
 def _text_like(line: str) -> bool:
     """A sentence, rather than a link or a label."""
-    return len(line) >= 25 and line.rstrip("»”\"') ")[-1:] in tuple(".!?…;") and " " in line
+    return len(line) >= 25 and line.rstrip("»”\"') ")[-1:] in _END and " " in line
 
 
-def article(content: str | None, title: str | None, url: str | None, frame: set[int]) -> list[int]:
-    """Numbers of the article's lines."""
-    if not content or not content.strip():
-        return []
-    lines = content.split("\n")
-    site = site_of(host_of(url))
-    bare = [x.strip() for x in lines]
-    paths = [path(x, site) for x in lines]
+def key(text: str) -> int:
+    """64-bit key of a path; votes carry keys, as paths are long."""
+    return xxhash.xxh64_intdigest(text) - (1 << 63)
+
+
+_NONE = key("")
+
+
+def described(content: str, title: str | None, url: str | None) -> tuple[list[int], list[int], list[int], list[int]]:
+    """Of each line the keys of its path and of its labels, and its flags."""
+    raw = [x.strip() for x in content.split("\n")]
+    paths = generalised(content, site_of(host_of(url)))
     names = {_bare(t.strip()) for t in (title, slug_title(url)) if t and t.strip()}
-    framed = [bool(p) and key(p) in frame for p in paths]
-    start = next((i for i, x in enumerate(bare) if x and _bare(x) in names), None)
+    flags = []
+    # whether text follows, right away or after a heading; what stands before a colon makes a link or a comment of it
+    follows = after_next = False
+    for x, p in zip(reversed(raw), reversed(paths)):
+        if not x:
+            flags.append(BLANK)
+            continue
+        text, labelled = _text_like(x), labels(p)[0] != ""
+        flags.append((TEXT if text else 0) | (TITLE if _bare(x) in names else 0) | (OPEN if follows or after_next else 0))
+        after_next = follows and not text and not labelled
+        follows = text and not labelled
+    flags.reverse()
+    # a sentence isn't labelled by what stands before its colon
+    parted = [("", "") if f & (TEXT | BLANK) else labels(p) for p, f in zip(paths, flags)]
+    return [key(p) for p in paths], [key(a) for a, _ in parted], [key(b) for _, b in parted], flags
+
+
+def article(flags: list[int], inserts: list[bool], closing: list[bool], error: bool = False) -> list[int]:
+    """Numbers of the article's lines."""
+    n = len(flags)
+    frame = [a or b for a, b in zip(inserts, closing)]
+    start = next((i for i, f in enumerate(flags) if f & TITLE), None)
+    headline = start is not None
     if start is None:
-        if any(re.match(r"(?i)error \d{3}\b", x) for x in bare):
-            return []
-        start = next((i for i, x in enumerate(bare) if _text_like(x) and not framed[i] and not INSERTS.match(x) and not _notice(x)), None)
+        start = next((i for i, f in enumerate(flags) if f & TEXT and not frame[i]), None)
         if start is None:
             return []
         # a heading right above the first paragraph belongs to it, unless it is frame
-        while start and bare[start - 1] and not framed[start - 1] and not INSERTS.match(bare[start - 1]) and not STOPS.match(bare[start - 1]) and not any(framed[: start - 1]):
+        while start and not flags[start - 1] & BLANK and not frame[start - 1] and not any(frame[: start - 1]):
             start -= 1
     out = []
-    for i in range(start, len(lines)):
-        x = bare[i]
-        if not x:
+    for i in range(start, n):
+        if flags[i] & BLANK:
             continue
-        if i == start and _bare(x) in names:
+        if i == start and headline:
             out.append(i)
-            continue
-        nxt = next((k for k in range(i + 1, len(lines)) if bare[k]), None)
-        if INSERTS.match(x):
-            alone = nxt is not None and (re.match(r"(?i)an[uú]nciese aqu|d[eé]janos tu correo", bare[nxt]) is not None)
-            if alone or re.match(r"(?i)etiquetas\s*:", x):
-                break
-            continue
-        if STOPS.match(x) or (framed[i] and not (_text_like(x) and len(x) > 120)):
+        elif closing[i]:
             break
-        out.append(i)
-    if len(out) == 1 and _bare(bare[out[0]]) in names:
+        elif inserts[i]:
+            k = next((k for k in range(i + 1, n) if not flags[k] & BLANK), None)
+            if k is None or closing[k]:
+                break
+        else:
+            out.append(i)
+    if headline and len(out) == 1:
         # a headline over nothing: no article
-        return [] if any(framed) else out
+        return [] if any(frame) else out
     return out
 
 
-def _notice(x: str) -> bool:
-    return re.search(r"(?i)\bcookies?\b|tecnolog[ií]as de seguimiento|tu privacidad nos|sua privacidade", x) is not None
+LINES = "id {}, host long, mark long, path array<long>, label array<long>, tail array<long>, flag array<int>"
 
 
-def key(text: str) -> int:
-    """64-bit key of a path; votes carry keys, as paths are long."""
-    return xxhash.xxh64_intdigest(text) - (1 << 63)
+def lines_of(pages: DataFrame, id_col: str) -> DataFrame:
+    """(id, host, mark of the content, path, label, tail, flag): what each page says of its lines."""
+    kind = pages.schema[id_col].dataType.simpleString()
+    host = F.xxhash64(F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^\s*(?:[A-Za-z][A-Za-z0-9+.\-]*:)?//([^/?#]+)", 1)))
+    src = pages.where(F.col("content").rlike(r"\S")).select(F.col(id_col).alias("id"), host.alias("host"), F.xxhash64("content").alias("mark"), "title", "url", "content")
 
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in frames:
+            said = [described(c, t, u) for c, t, u in zip(pdf["content"], pdf["title"], pdf["url"])]
+            out = pdf[["id", "host", "mark"]].copy()
+            for k, name in enumerate(("path", "label", "tail", "flag")):
+                out[name] = [x[k] for x in said]
+            yield out
 
-def frame_paths(pages: DataFrame, host_share: float = HOST_SHARE, pooled_share: float = POOLED_SHARE) -> DataFrame:
-    """(host, frame array<long>): keys of the winning frame paths of each host.
+    return spread(src).mapInPandas(run, LINES.format(kind))
 
-    pages: host, url, content.
-    """
 
-    def score(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in frames:
-            rows = []
-            for host, url, content, mark in zip(pdf["host"], pdf["url"], pdf["content"], pdf["mark"]):
-                if content and content.strip():
-                    site = site_of(host_of(url))
-                    rows += [(host, key(p), mark) for p in {"", *(path(x, site) for x in content.split("\n"))}]  # '' stands for the page
-            yield pd.DataFrame(rows, columns=["host", "path", "page"])
-
-    page = key("")
-    votes = pages.withColumn("mark", F.xxhash64("content")).mapInPandas(score, "host long, path long, page long").distinct().groupBy("host", "path").agg(F.count("*").alias("n"))
-    size = votes.where(F.col("path") == page).select("host", F.col("n").alias("pages"))
-    votes = votes.where(F.col("path") != page).join(size, "host")
-    pooled = votes.groupBy("path").agg(F.sum("n").alias("all_n"), F.sum("pages").alias("all_pages"), F.count("*").alias("hosts"))
-    pooled = pooled.where((F.col("all_n") >= F.col("all_pages") * pooled_share) & (F.col("hosts") >= MIN_HOSTS)).select("path", F.lit(True).alias("everywhere"))
-    won = votes.join(pooled, "path", "left").where(((F.col("n") >= F.col("pages") * host_share) & (F.col("n") >= MIN_PAGES)) | F.col("everywhere"))
-    return won.groupBy("host").agg(F.collect_list("path").alias("frame"))
-
-
-def articles(pages: DataFrame, id_col: str = "page_id", salts: int = SALTS) -> DataFrame:
+def frame_paths(said: DataFrame, host_share: float = HOST_SHARE, pooled_share: float = POOLED_SHARE) -> DataFrame:
+    """(host, inserts array<long>, closing array<long>): keys of the winning frame paths of each host.
+
+    said: rows of lines_of.
+    """
+    once = said.select("host", "mark", "path", "label", "tail", "flag").dropDuplicates(["host", "mark"])
+    # each path of a page once, with whether text follows its first place; the key of '' stands for the page
+    line = F.explode(F.arrays_zip("path", "label", "tail", F.transform("flag", lambda f: f.bitwiseAND(OPEN)).alias("open")))
+    each = once.select("host", "mark", line.alias("x")).select("host", "mark", (F.col("x.open") > 0).cast("int").alias("open"), F.explode(F.array_distinct(F.array("x.path", "x.label", "x.tail", F.lit(_NONE)))).alias("path"))
+    seen = each.groupBy("host", "mark", "path").agg(F.count("*").alias("places"), F.sum("open").alias("opens"))
+    votes = seen.groupBy("host", "path").agg(F.count("*").alias("n"), F.sum("places").alias("places"), F.sum("opens").alias("opens"))
+    page = F.col("path") == _NONE
+    size = votes.where(page).select("host", F.col("n").alias("pages"))
+    votes = votes.where(~page).join(size, "host")
+    return _won(votes, size, host_share, pooled_share)
+
+
+def _won(votes: DataFrame, size: DataFrame, host_share: float, pooled_share: float) -> DataFrame:
+    every = size.agg(F.coalesce(F.sum("pages"), F.lit(0)).alias("all_pages"))
+    pooled = votes.groupBy("path").agg(F.sum("n").alias("all_n"), F.sum("places").alias("all_places"), F.sum("opens").alias("all_opens"), F.count("*").alias("hosts"))
+    least = F.col("all_pages") * pooled_share + SURE * F.sqrt(F.col("all_pages") * pooled_share * (1 - pooled_share))
+    pooled = pooled.join(every).where((F.col("all_n") >= least) & (F.col("hosts") >= MIN_HOSTS)).select("path", "all_places", "all_opens")
+    won = votes.join(pooled, "path", "left").where(((F.col("n") >= F.col("pages") * host_share) & (F.col("n") >= MIN_PAGES)) | F.col("all_places").isNotNull())
+    insert = F.coalesce("all_opens", "opens") >= OPENS * F.coalesce("all_places", "places")
+    return won.groupBy("host").agg(F.collect_list(F.when(insert, F.col("path"))).alias("inserts"), F.collect_list(F.when(~insert, F.col("path"))).alias("closing"))
+
+
+def articles(pages: DataFrame, id_col: str = "page_id", salts: int = SALTS, host_share: float = HOST_SHARE, pooled_share: float = POOLED_SHARE) -> DataFrame:
     """(page_id, line_no) of the article's lines."""
     kind = pages.schema[id_col].dataType.simpleString()
-    host = F.xxhash64(F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^\s*(?:[A-Za-z][A-Za-z0-9+.\-]*:)?//([^/?#]+)", 1)))
-    src = spread(pages.select(F.col(id_col).alias("id"), "title", "url", "content", host.alias("host")))
-    won = frame_paths(src.select("host", "url", "content")).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    rows = src.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(salts)).cast("int"))
-    rows = rows.join(won, ["host", "salt"], "left").select("id", "title", "url", "content", "frame")
+    said = cut(lines_of(pages, id_col))
+    won = frame_paths(said, host_share, pooled_share).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    rows = said.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(salts)).cast("int"))
+    rows = rows.join(won, ["host", "salt"], "left").select("id", "path", "label", "tail", "flag", "inserts", "closing")
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in frames:
-            out = [(i, n) for i, t, u, c, f in zip(pdf["id"], pdf["title"], pdf["url"], pdf["content"], pdf["frame"]) for n in article(c, t, u, set() if f is None else set(f))]
+            out = []
+            for i, paths, heads, tails, flags, ins, clo in zip(pdf["id"], pdf["path"], pdf["label"], pdf["tail"], pdf["flag"], pdf["inserts"], pdf["closing"]):
+                a, b = (set() if x is None else set(x.tolist()) for x in (ins, clo))
+                threes = list(zip(paths.tolist(), heads.tolist(), tails.tolist()))
+                out += [(i, n) for n in article(flags.tolist(), [x in a or y in a or z in a for x, y, z in threes], [x in b or y in b or z in b for x, y, z in threes])]
             yield pd.DataFrame(out, columns=["id", "line_no"])
 
     return rows.mapInPandas(run, f"id {kind}, line_no int").withColumnRenamed("id", id_col)

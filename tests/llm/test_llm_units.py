@@ -240,6 +240,26 @@ def test_articles(spark):
         got.setdefault(i, []).append(n)
     assert got == {**{i: [3, 5, 7, 8, 10] for i in range(5)}, 12: [0, 1]}
     assert rows(boilerplate.articles(df.limit(0))) == []
+    # without the votes of its host a page keeps its frame
+    alone = {}
+    for i, n in rows(boilerplate.articles(df, host_share=2.0)):
+        alone.setdefault(i, []).append(n)
+    assert all(alone[i][:1] == [3] and len(alone[i]) > 8 for i in range(5)) and alone[12] == [0, 1]
+
+
+def test_votes_over_hosts_tell_inserts_from_what_closes():
+    """A label before text is an insert, the same share of pages with another one before links closes the article."""
+    assert boilerplate.labels("etiquetas: a, b") == ("etiquetas:", "") and boilerplate.labels("ana paz | hace 0 horas") == ("ana paz |", "| hace 0 horas")
+    assert boilerplate.generalised("▸ Ángel\u0301 12\n\nMartes de MARZO\nsitio dos", "dos") == ["angel 0", "", "0day de 0month", "sitio 0site"]
+    text, title = boilerplate.TEXT, boilerplate.TITLE
+    flags = [0, title, 0, text, text, 0, 0]
+    off = [False] * 7
+    at = lambda *k: [i in k for i in range(7)]
+    assert boilerplate.article(flags, off, off) == [1, 2, 3, 4, 5, 6]
+    assert boilerplate.article(flags, at(2), at(0, 5)) == [1, 3, 4]
+    assert boilerplate.article(flags, at(2, 4), at(5)) == [1, 3]  # an insert right before what closes
+    assert boilerplate.article([title, 0], off, at(1)) == [] and boilerplate.article([title], off[:1], off[:1]) == [0]
+    assert boilerplate.article([0, 0], off[:2], off[:2]) == []
 
 
 # 7 markup
