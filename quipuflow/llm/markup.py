@@ -1,14 +1,18 @@
 """Problem 7: HTML, Markdown, wiki text and LaTeX as clean blocks.
 
-A page is taken apart into leaf blocks: regions whose source is kept as it stands (code, formulas),
-regions that give nothing (comments, scripts, heads, templates, notes), and the text between block
-tags, line prefixes and blank lines. The kind of each leaf is decided by a linear-chain conditional
-random field over the page's leaves, with features of their tags and prefixes, their text, the
-languages of the page and of the leaf, decoded by Viterbi; then signs of markup inside the leaf are
-taken away.
-
-The field is trained here on a bounded sample of pages (SAMPLE_PAGES), whose leaves are labelled by
-their unambiguous tags and prefixes.
+A page becomes a tree: elements, environments and list levels hold leaf blocks, which are regions
+whose source is kept as it stands (code, formulas) and the text between block tags, line prefixes and
+blank lines. Regions that give nothing (comments, scripts, heads, templates, notes) are taken out
+before. The kind of each leaf is decided by a linear-chain conditional random field over the page's
+leaves, decoded by Viterbi, from its tag or prefix, its ancestors, the shape of its text, and the gaps
+and tags around it; then signs of markup inside the leaf are taken away.
+
+The field is trained here on a bounded sample of pages (SAMPLE_PAGES). A leaf is labelled if its tag has one meaning in all
+four languages (<h2>, \\section, == ==, <li>, <p>, fences and the like). Leaves whose sign means
+different things ("##" is a heading or a nested item) are left without a label, and the field is
+trained on the likelihood of the labelled ones with those summed out. Each page is learnt twice, once
+with its own tags withheld, so that ancestors, shape, gaps and neighbours have to tell the kind from
+evidence that isn't the label; they decide where the sign does not.
 
 A null or blank content has no blocks; a page without markup gives its paragraphs. Repeated pages
 are treated alike. Extra columns are left out.
@@ -20,7 +24,7 @@ import html
 import re
 import unicodedata
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -42,7 +46,7 @@ _RAW = re.compile(
   | (?P<dd>\$\$(?P<dbody>.+?)\$\$)
   | (?P<br>\\\[(?P<bbody>.+?)\\\])
   | (?P<math><math\b[^>]*>(?P<mbody>.*?)</math\s*>)
-  | (?P<gone><!--.*?(?:-->|\Z)|<(?P<gt>script|style|head|title|noscript|figure|table|gallery|template)\b[^>]*>.*?</(?P=gt)\s*>|^__[A-Z]+__[ \t]*$)
+  | (?P<gone><!--.*?(?:-->|\Z)|<(?P<gt>script|style|head|title|noscript|figure|gallery|template)\b[^>]*>.*?</(?P=gt)\s*>|^__[A-Z]+__[ \t]*$)
     """,
     re.X | re.S | re.M | re.I,
 )
@@ -60,8 +64,10 @@ _MARK = {"h": "\ue010", "li": "\ue011", "p": "\ue012"}
 class Leaf:
     prefix: str
     text: str
-    kind: str | None = None  # known from the region it stands in
-    deco: list[str] = field(default_factory=list)
+    region: bool = False  # whether the source is kept as it stands
+    gap: bool = True  # whether a blank line or a tag stands before it
+    closed: bool = False  # whether signs like its prefix's end it
+    path: tuple[str, ...] = ()  # its ancestors, outermost first
 
 
 def languages(text: str) -> dict[str, int]:
@@ -112,23 +118,81 @@ def _without_links(text: str) -> str:
     return text
 
 
+_WORDS = {  # patterns that are used on all pages, compiled once
+    "tex_line": re.compile(r"^[ \t]*%.*$\n?", re.M),
+    "tex_rest": re.compile(r"(?<!\\)%[^\n]*"),
+    "tex_head": re.compile(r"^\\(?:documentclass|usepackage|title|author|date|maketitle|tableofcontents|bibliography\w*|newcommand)\b.*$", re.M),
+    "tex_env": re.compile(r"\\(begin|end)\{(itemize|enumerate|description|quote|quotation|center|figure|table)\*?\}(?:\[[^\]]*\])?"),
+    "tex_item": re.compile(r"\\item\b(?:\[[^\]]*\])?"),
+    "template": re.compile(r"\{\{[^{}]*\}\}"),
+    "ref": re.compile(r"<ref\b[^<>]*/>|<ref\b[^<>]*>.*?</ref\s*>|<sup\b[^>]*class=[\"']?reference[^>]*>.*?</sup\s*>|</?references\b[^>]*>|</?nowiki>", re.S | re.I),
+    "note": re.compile(r"^[ \t]*\[\^[^\]\s]+\]:.*$|\[\^[^\]\s]+\]|!\[[^\]]*\]\([^)]*\)", re.M),
+    "tag": re.compile(r"<(/?)(h[1-6]|li|dt|dd|p|blockquote|ul|ol|dl|div|section|article|body|html|main|table|tr|td|th|hr|br)\b[^>]*>", re.I),
+    "para": re.compile(r"(\n[ \t]*\n)"),
+    "place": re.compile(rf"{_PUA}(\d+){_PUA}"),
+    "under": re.compile(r"-{3,}|={3,}"),
+    "rule": re.compile(r"[-*_=~]{3,}|\{\||\|\}"),
+}
+_RAW_SIGNS = re.compile(r"```|~~~|<(?:pre|syntaxhighlight|source|math|script|style|head|title|noscript|figure|gallery|template|!--)|\\begin\{|\$\$|\\\[|^__[A-Z]", re.I | re.M)
+_PUSH, _POP = "\ue020", "\ue021"
+_OWN = re.compile(r"[\ue000\ue010-\ue012\ue020\ue021]")
+_CONTINUES = frozenset(("text", "<p>", "<li>", "<h>", "\\item", "-", "1.", ">", "* ", "+"))
+
+
+def _tag(m: re.Match) -> str:
+    """Block tags as marks: leaves by their tag, containers by an entry of the path."""
+    close, name = m[1], m[2].lower()
+    if name == "br":
+        return " "
+    if not close:
+        if name[0] == "h" and name[1:].isdigit():
+            return f"\n\n{_MARK['h']}"
+        if name in ("li", "dt", "dd"):
+            return f"\n\n{_MARK['li']}"
+        if name == "p":
+            return f"\n\n{_MARK['p']}"
+    if name in ("ul", "ol", "dl", "div", "section", "article", "body", "html", "main", "table", "blockquote"):
+        mark = f"\n\n{_POP if close else _PUSH}{name}\n\n"
+        return mark + _MARK["p"] if name == "blockquote" and not close else mark
+    return "\n\n"
+
+
+def _plain_tex(text: str, page: str) -> str:
+    """Text of a page with TeX signs without its preamble, comments, notes and captions."""
+    if m := re.search(r"\\begin\{document\}", text):
+        text = text[m.end() :]
+    text = re.sub(r"\\end\{document\}.*", "", text, flags=re.S)
+    if "%" in text:
+        text = _WORDS["tex_line"].sub("", text)
+        # a percent sign begins a comment where the text itself is LaTeX
+        parts = _WORDS["para"].split(text)
+        for i in range(0, len(parts), 2):
+            if "%" in parts[i] and (page == "tex" or (_LANGS["tex"].search(parts[i]) and _strongest(languages(parts[i])) == "tex")):
+                parts[i] = _WORDS["tex_rest"].sub("", parts[i])
+        text = "".join(parts)
+    text = _WORDS["tex_head"].sub("", text)
+    text = _without_commands(text, "cite[pt]?|footnote|label|ref|includegraphics|caption|index")
+    text = _WORDS["tex_env"].sub(lambda m: f"\n\n{_PUSH if m[1] == 'begin' else _POP}{m[2]}\n\n", text)
+    return _WORDS["tex_item"].sub(lambda m: "\n\\item ", text)
+
+
 def leaves(content: str) -> tuple[list[Leaf], str]:
     """Leaf blocks of a page, in order, and the page's main language."""
     regions: list[Leaf] = []
-    content = content.replace("\r\n", "\n").replace("\r", "\n")
+    content = _OWN.sub("", content.replace("\r\n", "\n").replace("\r", "\n"))
 
     def region(m: re.Match) -> str:
         if m["gone"] is not None:
             return "\n" if m["gone"].lower().startswith(("<head", "__")) else ""
-        for g, kind in (("fbody", "code"), ("pbody", "code"), ("vbody", "code"), ("ebody", "formula"), ("dbody", "formula"), ("bbody", "formula"), ("mbody", "formula")):
+        for g, tag in (("fbody", "fence"), ("pbody", "pre"), ("vbody", "verbatim"), ("ebody", "equation"), ("dbody", "$$"), ("bbody", "\\["), ("mbody", "math")):
             if m[g] is not None:
                 body = m[g]
                 break
-        if kind == "formula":
+        if tag == "math":
             line = content[content.rfind("\n", 0, m.start()) + 1 : m.start()]
             after = content[m.end() : (content.find("\n", m.end()) + 1 or len(content) + 1) - 1]
             aside = re.sub(r"<[^>]*>", "", line).strip(": \t") + re.sub(r"<[^>]*>", "", after).strip()
-            if aside and m["mbody"] is not None:
+            if aside:
                 return " " + body.strip() + " "
         if m["pre"] is not None:
             low = m["pt"].lower()
@@ -137,67 +201,75 @@ def leaves(content: str) -> tuple[list[Leaf], str]:
                 body = nowiki[1]
             elif low == "pre":
                 body = html.unescape(re.sub(r"</?(?:code|span|b|i|strong|em|kbd|samp)\b[^>]*>", "", body))
-        regions.append(Leaf("region", body, kind))
+        regions.append(Leaf(tag, body, True))
         return f"\n\n{_PUA}{len(regions) - 1}{_PUA}\n\n"
 
-    counts = languages(content)
-    text = _RAW.sub(region, content)
-    page = _strongest(languages(text)) if any(languages(text).values()) else _strongest(counts)
-    tex = counts["tex"] > 0
-    if re.search(r"\\begin\{document\}", text):
-        text = text[re.search(r"\\begin\{document\}", text).end() :]
-    if tex:
-        text = re.sub(r"\\end\{document\}.*", "", text, flags=re.S)
-        text = re.sub(r"^[ \t]*%.*$\n?", "", text, flags=re.M)
-        text = re.sub(r"(?<!\\)%[^\n]*rev\w*[^\n]*$", "", text, flags=re.M)
-        text = re.sub(r"^\\(?:documentclass|usepackage|title|author|date|maketitle|tableofcontents|bibliography\w*|newcommand)\b.*$", "", text, flags=re.M)
-        text = _without_commands(text, "cite[pt]?|footnote|label|ref|includegraphics|caption|index")
-        text = re.sub(r"\\(?:begin|end)\{(?:itemize|enumerate|description|quote|quotation|center|figure|table)\*?\}(?:\[[^\]]*\])?", "\n\n", text)
-        text = re.sub(r"\\item\b(?:\[[^\]]*\])?", lambda m: "\n\\item ", text)
-    while True:
-        shorter = re.sub(r"\{\{[^{}]*\}\}", "", text)
+    text = _RAW.sub(region, content) if _RAW_SIGNS.search(content) else content
+    counts = languages(text)
+    page = _strongest(counts)
+    if page == "none" and text is not content:
+        page = _strongest(languages(content))
+    if "\\" in text:
+        text = _plain_tex(text, page) if counts["tex"] else text
+    while "{{" in text:
+        shorter = _WORDS["template"].sub("", text)
         if shorter == text:
             break
         text = shorter
-    text = _without_links(text)
-    text = re.sub(r"<ref\b[^<>]*/>", "", text)
-    text = re.sub(r"<ref\b[^<>]*>.*?</ref\s*>", "", text, flags=re.S)
-    text = re.sub(r"<sup\b[^>]*class=[\"']?reference[^>]*>.*?</sup\s*>", "", text, flags=re.S | re.I)
-    text = re.sub(r"</?references\b[^>]*>|</?nowiki>", "", text, flags=re.I)
-    text = re.sub(r"^[ \t]*\[\^[^\]\s]+\]:.*$", "", text, flags=re.M)
-    text = re.sub(r"\[\^[^\]\s]+\]", "", text)
-    text = re.sub(r"!\[[^\]]*\]\([^)]*\)", "", text)
-    text = re.sub(r"<h[1-6]\b[^>]*>", f"\n\n{_MARK['h']}", text, flags=re.I)
-    text = re.sub(r"<(?:li|dt|dd)\b[^>]*>", f"\n\n{_MARK['li']}", text, flags=re.I)
-    text = re.sub(r"<(?:p|blockquote)\b[^>]*>", f"\n\n{_MARK['p']}", text, flags=re.I)
-    text = re.sub(r"</?(?:p|ul|ol|li|dl|dt|dd|h[1-6]|div|section|article|body|html|blockquote|main|tr|td|th|hr)\b[^>]*>", "\n\n", text, flags=re.I)
-    text = re.sub(r"<br\b[^>]*>", " ", text, flags=re.I)
+    if "[[" in text:
+        text = _without_links(text)
+    if "<" in text:
+        text = _WORDS["ref"].sub("", text)
+    if "[" in text:
+        text = _WORDS["note"].sub("", text)
+    if "<" in text:
+        text = _WORDS["tag"].sub(_tag, text)
+    return _tree(text, regions), page
+
+
+def _tree(text: str, regions: list[Leaf]) -> list[Leaf]:
+    """Leaves of a text whose block tags are marks, with their ancestors."""
     out: list[Leaf] = []
     open_: Leaf | None = None
+    path: list[str] = []
+    gap = True
     for line in text.split("\n"):
         s = line.strip()
-        m = re.fullmatch(rf"{_PUA}(\d+){_PUA}", s)
-        if m:
-            out.append(regions[int(m[1])])
-            open_ = None
-            continue
         if not s:
-            open_ = None
+            open_, gap = None, True
+            continue
+        first = s[0]
+        if first == _PUSH:
+            path.append(s[1:])
+            open_, gap = None, True
             continue
-        if open_ is not None and re.fullmatch(r"-{3,}|={3,}", s) and open_.prefix == "text" and "\n" not in open_.text:
-            open_.prefix, open_ = "setext", None
+        if first == _POP:
+            if s[1:] in path:
+                while path.pop() != s[1:]:
+                    pass
+            open_, gap = None, True
             continue
-        if re.fullmatch(r"[-*_=~]{3,}|\{\||\|\}", s):
-            open_ = None
+        if first == _PUA and (m := _WORDS["place"].fullmatch(s)):
+            leaf = regions[int(m[1])]
+            leaf.gap, leaf.path = gap, tuple(path)
+            out.append(leaf)
+            open_, gap = None, True
+            continue
+        if first in "-=" and open_ is not None and open_.prefix == "text" and "\n" not in open_.text and _WORDS["under"].fullmatch(s):
+            open_.prefix, open_, gap = "setext", None, False
+            continue
+        if first in "-*_=~{|" and _WORDS["rule"].fullmatch(s):
+            open_, gap = None, True
             continue
         prefix, body = _prefix(s)
         if prefix == "text" and open_ is not None:
             open_.text += "\n" + body
             continue
-        leaf = Leaf(prefix, body)
+        leaf = Leaf(prefix, body, False, gap, prefix[0] == "#" and s[-1] == "#", tuple(path))
         out.append(leaf)
-        open_ = leaf if prefix in ("text", "<p>", "<li>", "<h>", "\\item", "-", "1.", ">", "* ", "+") else None
-    return out, page
+        gap = False
+        open_ = leaf if prefix in _CONTINUES else None
+    return out
 
 
 def _prefix(s: str) -> tuple[str, str]:
@@ -235,55 +307,121 @@ def _prefix(s: str) -> tuple[str, str]:
     return "text", s
 
 
-def features(leaf: Leaf, page: str, before: Leaf | None, after: Leaf | None) -> list[str]:
-    own = _strongest(languages(leaf.text))
-    n = len(leaf.text)
-    return [
+#: Tags that mean one kind in all four languages.
+SURE = {
+    "<h>": "heading", "=": "heading", "setext": "heading", "\\section": "heading", "<li>": "item", "\\item": "item", "*": "item", "* ": "item", "**": "item", "<p>": "paragraph", "text": "paragraph", ">": "paragraph",
+    "fence": "code", "pre": "code", "verbatim": "code", "equation": "formula", "$$": "formula", "\\[": "formula", "math": "formula",
+}
+#: Prefixes of list entries that mean that where several follow one another.
+LISTED = frozenset(("-", "+", "1."))
+
+
+def described(ls: list[Leaf], page: str) -> list[tuple]:
+    """What the field may know of each leaf; equal descriptions have equal features."""
+    out = []
+    n = len(ls)
+    for i, x in enumerate(ls):
+        before, after = (ls[i - 1] if i else None), (ls[i + 1] if i + 1 < n else None)
+        t = x.text.strip()
+        first = t[:1]
+        # lines of one sign in a row, as the levels of a list are
+        run = (before is not None and not x.gap and before.prefix[0] == x.prefix[0]) + 2 * (after is not None and not after.gap and after.prefix[0] == x.prefix[0])
+        out.append(
+            (
+                x.prefix,
+                page,
+                x.gap + 2 * (after is None or after.gap),
+                run,
+                x.closed,
+                "stop" if t[-1:] in (".", "!", "?", ":", ";", "»", "…") else "open",
+                min(7, len(t).bit_length()),
+                "lower" if first.islower() else "upper" if first.isupper() else "digit" if first.isdigit() else "sign",
+                "tex" if "\\" in t else "equal" if "=" in t else "lines" if "\n" in t else "words",
+                x.path[-1] if x.path else "top",
+                before.prefix if before else "edge",
+                after.prefix if after else "edge",
+                x.region,
+            )
+        )
+    return out
+
+
+def features(d: tuple, own: bool = True) -> list[str]:
+    """Features of a described leaf; own: those of its own tag too."""
+    prefix, page, gap, run, closed, end, size, start, signs, path, before, after, region = d
+    rest = [
         "bias",
-        f"prefix={leaf.prefix}",
-        f"prefix={leaf.prefix}|page={page}",
-        f"prefix={leaf.prefix}|own={own}",
-        f"region={leaf.kind}",
-        f"long={min(6, n.bit_length())}",
-        f"end={'stop' if leaf.text.rstrip()[-1:] in '.!?:;' else 'open'}|prefix={leaf.prefix}",
-        f"before={before.prefix if before else 'edge'}|prefix={leaf.prefix}",
-        f"after={after.prefix if after else 'edge'}|prefix={leaf.prefix}",
+        f"size={size}|end={end}",
+        f"size={size}|gap={gap}",
+        f"start={start}|end={end}",
+        f"gap={gap}|run={run}|end={end}",
+        f"gap={gap}|run={run}",
+        f"region={region}|signs={signs}",
+        f"region={region}",
+        f"in={path}",
+        f"in={path}|end={end}",
+        f"in={path}|run={run}",
+        f"before={before}",
+        f"after={after}|end={end}",
     ]
+    if not own:
+        return rest
+    return rest + [f"own={prefix}", f"own={prefix}|page={page}", f"own={prefix}|gap={gap}|run={run}", f"own={prefix}|end={end}", f"own={prefix}|closed={closed}", f"own={prefix}|in={path}"]
 
 
-def sure_kind(leaf: Leaf, page: str) -> str:
-    """Label of a leaf for training, by its tag or prefix and the page's language."""
-    if leaf.kind:
-        return leaf.kind
-    if leaf.prefix in ("<h>", "=", "setext", "\\section", "##"):
-        return "item" if leaf.prefix == "##" and page == "wiki" else "heading"
-    if leaf.prefix == "# ":
-        return "heading" if page == "md" else "item"
-    if leaf.prefix in ("<li>", "\\item", "*", "* ", "**", "-", "+", "1.", "#", "##w"):
+def sure_kind(leaf: Leaf, d: tuple) -> str | None:
+    """Label of a leaf for training, if its tag is unambiguous; None where the field has to decide."""
+    if leaf.prefix in LISTED and d[3]:
         return "item"
-    return "paragraph"
+    return SURE.get(leaf.prefix)
 
 
 _ACCENTS = {"'": "\u0301", "`": "\u0300", "~": "\u0303", "^": "\u0302", '"': "\u0308", "c": "\u0327", "=": "\u0304", ".": "\u0307", "v": "\u030c"}
 
 
+_SIGNS = re.compile(r"[<\[\\&'*_~`]")
+_INLINE = {  # by the sign without which they change nothing
+    "<": ((re.compile(r"</?[a-zA-Z][a-zA-Z0-9]*\b[^<>]*>"), ""),),
+    "[": (
+        (re.compile(r"\[\[(?:[^\[\]|]*\|)?([^\[\]]*)\]\]"), r"\1"),
+        (re.compile(r"(?<!\!)\[([^\[\]]*)\]\((?:[^()\s]|\([^()]*\))*(?:\s+\"[^\"]*\")?\)"), r"\1"),
+        (re.compile(r"\[(?:https?:)?//\S+\s+([^\]]*)\]"), r"\1"),
+        (re.compile(r"\[(?:https?:)?//[^\s\]]+\]"), ""),
+    ),
+    "<h": ((re.compile(r"<(https?://[^>\s]+)>"), r"\1"),),
+}
+_EMPHASIS = (
+    ("''", re.compile(r"'{2,5}"), ""),
+    ("**", re.compile(r"\*\*(?=\S)(.+?)(?<=\S)\*\*", re.S), r"\1"),
+    ("__", re.compile(r"(?<![\w\\])__(?=\S)(.+?)(?<=\S)__(?!\w)", re.S), r"\1"),
+    ("*", re.compile(r"(?<![\w*\\])\*(?=[^\s*])(.+?)(?<=[^\s*])\*(?![\w*])", re.S), r"\1"),
+    ("_", re.compile(r"(?<![\w\\])_(?=[^\s_])([^_]+?)(?<=[^\s_])_(?!\w)", re.S), r"\1"),
+    ("~~", re.compile(r"~~(?=\S)(.+?)(?<=\S)~~"), r"\1"),
+    ("`", re.compile(r"(`+)(.+?)\1"), r"\2"),
+    ("\\", re.compile(r"\\([^A-Za-z0-9\s])"), r"\1"),
+)
+_ACCENT = re.compile(r"\\(['`~^\"=.])\s*(?:\{\s*(\\?[a-zA-Z])\s*\}|(\\i(?![a-zA-Z])|[a-zA-Z]))")
+_CEDILLA = re.compile(r"\\(c|v)\{([a-zA-Z])\}")
+_COMMAND = re.compile(r"\\(?:emph|text(?:bf|it|tt|sc|sf|rm|up|md|sl|normal)?|underline|mbox|enquote)\s*\{([^{}]*)\}")
+_SWITCH = re.compile(r"\{\\(?:bf|it|em|tt|sc|sl|rm|bfseries|itshape|small|large)\b\s*([^{}]*)\}")
+
+
 def visible(text: str, page: str) -> str:
     """What a reader sees of a leaf's text."""
     t = text
-    t = re.sub(r"</?[a-zA-Z][a-zA-Z0-9]*\b[^<>]*>", "", t)
-    t = re.sub(r"\[\[(?:[^\[\]|]*\|)?([^\[\]|]*)\]\]", r"\1", t)
-    t = re.sub(r"(?<!\!)\[([^\[\]]*)\]\((?:[^()\s]|\([^()]*\))*(?:\s+\"[^\"]*\")?\)", r"\1", t)
-    t = re.sub(r"\[(?:https?:)?//\S+\s+([^\]]*)\]", r"\1", t)
-    t = re.sub(r"\[(?:https?:)?//[^\s\]]+\]", "", t)
-    t = re.sub(r"<(https?://[^>\s]+)>", r"\1", t)
+    if page != "tex" and not _SIGNS.search(t):
+        return squeezed(t)
+    for sign, steps in _INLINE.items():
+        if sign in t:
+            for r, by in steps:
+                t = r.sub(by, t)
     if "\\" in t:
-        t = re.sub(r"\\(['`~^\"=.])\s*(?:\{\s*(\\?[a-zA-Z])\s*\}|(\\i(?![a-zA-Z])|[a-zA-Z]))", _accent, t)
-        t = re.sub(r"\\(c|v)\{([a-zA-Z])\}", lambda m: unicodedata.normalize("NFC", m[2] + _ACCENTS[m[1]]), t)
+        t = _ACCENT.sub(_accent, t)
+        t = _CEDILLA.sub(lambda m: unicodedata.normalize("NFC", m[2] + _ACCENTS[m[1]]), t)
         t = re.sub(r"\\href\{[^{}]*\}", "", t)
         t = re.sub(r"\\(?:url)\{([^{}]*)\}", r"\1", t)
-        for _ in range(6):
-            shorter = re.sub(r"\\(?:emph|text(?:bf|it|tt|sc|sf|rm|up|md|sl|normal)?|underline|mbox|enquote)\s*\{([^{}]*)\}", r"\1", t)
-            shorter = re.sub(r"\{\\(?:bf|it|em|tt|sc|sl|rm|bfseries|itshape|small|large)\b\s*([^{}]*)\}", r"\1", shorter)
+        while True:
+            shorter = _SWITCH.sub(r"\1", _COMMAND.sub(r"\1", t))
             if shorter == t:
                 break
             t = shorter
@@ -293,16 +431,10 @@ def visible(text: str, page: str) -> str:
     if page == "tex":
         t = re.sub(r"(?<!\\)~", " ", t)
         t = re.sub(r"(?<!\\)\{([^{}\\]*)\}", r"\1", t)
-    t = re.sub(r"'{2,5}", "", t)
-    t = re.sub(r"\*\*(?=\S)(.+?)(?<=\S)\*\*", r"\1", t, flags=re.S)
-    t = re.sub(r"(?<![\w\\])__(?=\S)(.+?)(?<=\S)__(?!\w)", r"\1", t, flags=re.S)
-    t = re.sub(r"(?<![\w*\\])\*(?=[^\s*])(.+?)(?<=[^\s*])\*(?![\w*])", r"\1", t, flags=re.S)
-    t = re.sub(r"(?<![\w\\])_(?=[^\s_])([^_]+?)(?<=[^\s_])_(?!\w)", r"\1", t, flags=re.S)
-    t = re.sub(r"~~(?=\S)(.+?)(?<=\S)~~", r"\1", t)
-    t = re.sub(r"(`+)(.+?)\1", r"\2", t)
-    t = re.sub(r"\\([^A-Za-z0-9\s])", r"\1", t)
-    t = html.unescape(t)
-    return squeezed(t)
+    for sign, r, by in _EMPHASIS:
+        if sign in t:
+            t = r.sub(by, t)
+    return squeezed(html.unescape(t) if "&" in t else t)
 
 
 def _accent(m: re.Match) -> str:
@@ -310,7 +442,9 @@ def _accent(m: re.Match) -> str:
 
 
 def squeezed(t: str) -> str:
-    return re.sub(r"[\s\u00a0\u2007\u202f\u200b\ufeff]+", " ", t).strip()
+    if "\u200b" in t or "\ufeff" in t:
+        t = t.replace("\u200b", " ").replace("\ufeff", " ")
+    return " ".join(t.split())
 
 
 def blocks(content: str | None, model: Crf) -> list[tuple[str, str]]:
@@ -318,26 +452,44 @@ def blocks(content: str | None, model: Crf) -> list[tuple[str, str]]:
     if not content or not content.strip():
         return []
     ls, page = leaves(content)
-    tags = model.decode([features(x, page, ls[i - 1] if i else None, ls[i + 1] if i + 1 < len(ls) else None) for i, x in enumerate(ls)])
     out = []
-    for leaf, tag in zip(ls, tags):
-        text = squeezed(leaf.text) if leaf.kind else visible(leaf.text, page)
+    for leaf, tag in zip(ls, model.decode(described(ls, page), features)):
+        text = squeezed(leaf.text) if leaf.region else visible(leaf.text, page)
         if text:
             out.append((tag, text))
     return out
 
 
-def train(contents: list[str]) -> Crf:
+def train(contents: list[str], own: bool = True) -> Crf:
+    """The field of some pages; own: with views that know the leaves' own tags beside those that don't."""
     seqs, tags = [], []
     for c in contents:
         if not c or not c.strip():
             continue
         ls, page = leaves(c)
-        seqs.append([features(x, page, ls[i - 1] if i else None, ls[i + 1] if i + 1 < len(ls) else None) for i, x in enumerate(ls)])
-        tags.append([sure_kind(x, page) for x in ls])
+        ds = described(ls, page)
+        gold = [sure_kind(x, d) for x, d in zip(ls, ds)]
+        seqs.append([features(d, False) for d in ds])
+        tags.append(gold)
+        if own:
+            seqs.append([features(d) for d in ds])
+            tags.append(gold)
     return Crf(KINDS).fit(seqs, tags)
 
 
+def accuracy_without_tags(contents: list[str], model: Crf) -> tuple[int, int]:
+    """(right, all) of the labelled leaves of pages, with their own tags withheld."""
+    right = every = 0
+    for c in contents:
+        ls, page = leaves(c)
+        ds = described(ls, page)
+        for x, d, got in zip(ls, ds, model.decode(ds, lambda d: features(d, False))):
+            want = sure_kind(x, d)
+            every += want is not None
+            right += want == got
+    return right, every
+
+
 def sample(pages: DataFrame, id_col: str, text_col: str, n: int) -> list[str]:
     """Contents of the n pages of smallest hash, in a fixed order; bounded by n."""
     rows = pages.where(F.length(F.trim(text_col)) > 0).select(F.col(text_col).alias("c"), F.xxhash64(F.col(id_col)).alias("h")).orderBy("h").limit(n).collect()
