@@ -316,6 +316,10 @@ SURE = {
 LISTED = frozenset(("-", "+", "1."))
 
 
+def _family(leaf: Leaf) -> str:
+    return "list" if leaf.prefix in LISTED or leaf.prefix[0] == "*" else leaf.prefix[0]
+
+
 def described(ls: list[Leaf], page: str) -> list[tuple]:
     """What the field may know of each leaf; equal descriptions have equal features."""
     out = []
@@ -325,7 +329,7 @@ def described(ls: list[Leaf], page: str) -> list[tuple]:
         t = x.text.strip()
         first = t[:1]
         # lines of one sign in a row, as the levels of a list are
-        run = (before is not None and not x.gap and before.prefix[0] == x.prefix[0]) + 2 * (after is not None and not after.gap and after.prefix[0] == x.prefix[0])
+        run = (before is not None and not x.gap and _family(before) == _family(x)) + 2 * (after is not None and not after.gap and _family(after) == _family(x))
         out.append(
             (
                 x.prefix,
