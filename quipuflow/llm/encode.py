@@ -3,7 +3,11 @@
 Words are cut by character classes in numpy, each distinct word of a batch is encoded once, and the
 distinct words are merged together in rounds: the symbols of all words lie in one flat array, a
 round finds for every word its pair of lowest rank by binary search over the sorted pair keys and
-merges all its occurrences.
+merges all its occurrences. Equal words are found by a hash and confirmed by their bytes; words that
+only share a hash are merged by themselves, so no text's ids depend on what is encoded with it.
+
+The tokenizer file is read on the driver, checked (a byte-level BPE of the pattern built in here,
+without normalizer, of at most MOST_BYTES) and sent to the tasks, so it need not lie on their machines.
 
 Null and empty texts give an empty list. Special tokens are never produced: their strings are
 ordinary text. Extra columns are left out; ids need not be unique.
@@ -11,6 +15,7 @@ ordinary text. Extra columns are left out; ids need not be unique.
 
 from __future__ import annotations
 
+import hashlib
 import json
 import unicodedata
 from collections.abc import Iterator
@@ -27,6 +32,8 @@ DEFAULT_PATH = "/opt/tokenizers/byte_bpe_50k.json"
 LETTER, NUMBER, SPACE, OTHER = 0, 1, 2, 3
 #: Fixed values of the tokenizer's split pattern: the endings that an apostrophe takes with it.
 ENDINGS = ("s", "t", "re", "ve", "m", "ll", "d")
+#: Fixed bound of a tokenizer file, as it is broadcast.
+MOST_BYTES = 64_000_000
 #: Distinct words that a worker remembers; when full, the memory starts anew.
 REMEMBERED = 400_000
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -59,8 +66,11 @@ def _byte_of_symbol() -> dict[str, int]:
 class BpeEncoder:
     """ids of texts by the vocabulary and merges of a tokenizer file."""
 
-    def __init__(self, path: str):
-        model = json.load(open(path, encoding="utf-8"))["model"]
+    def __init__(self, source: bytes):
+        whole = json.loads(source)
+        model, cutter = whole["model"], whole.get("pre_tokenizer") or {}
+        if model.get("type", "BPE") != "BPE" or cutter.get("type") != "ByteLevel" or cutter.get("add_prefix_space") or not cutter.get("use_regex", True) or whole.get("normalizer"):
+            raise ValueError("only byte-level BPE with the usual pattern and without normalizer is supported")
         vocab, stand_in = model["vocab"], _byte_of_symbol()
         self.of_byte = np.zeros(256, dtype=np.int32)
         for ch, b in stand_in.items():
@@ -79,6 +89,9 @@ class BpeEncoder:
         self.start = np.empty(0, dtype=np.int64)
         self.count = np.empty(0, dtype=np.int64)
         self.ids = np.empty(0, dtype=np.int32)
+        self.bytes = np.empty(0, dtype=np.uint8)  # of the known words, to compare with
+        self.byte_at = np.empty(0, dtype=np.int64)
+        self.size = np.empty(0, dtype=np.int64)
 
     def word_starts(self, c: np.ndarray, text_starts: np.ndarray) -> np.ndarray:
         """Positions in c at which a word begins."""
@@ -181,32 +194,39 @@ class BpeEncoder:
         h = np.add.reduceat((data.astype(np.uint64) + np.uint64(1)) * power[place], b0)
         h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) + blen.astype(np.uint64)
         u, sample, inverse = np.unique(h, return_index=True, return_inverse=True)
+        # words of one hash that aren't the one that stands for it
+        twin = sample[inverse]
+        odd = ~_equal(data, b0, blen, data, b0[twin], blen[twin])
         at = np.searchsorted(self.known, u)
         have = at < len(self.known)
         have[have] = self.known[at[have]] == u[have]
-        if not have.all():
-            fresh = np.flatnonzero(~have)
+        fresh = np.flatnonzero(~have)
+        if len(fresh) and len(self.known) > REMEMBERED:
+            self._forget()
+            at, fresh = np.zeros(len(u), dtype=np.int64), np.arange(len(u))
+        if len(fresh):
             w = sample[fresh]
-            take = np.repeat(b0[w] - (np.cumsum(blen[w]) - blen[w]), blen[w]) + np.arange(int(blen[w].sum()))
-            ids, n = self.merged(self.of_byte[data[take]], blen[w])
-            if len(self.known) > REMEMBERED:
-                self._forget()
-                return self.encode(texts) if len(u) <= REMEMBERED else self._without_memory(u, sample, inverse, b0, blen, data, starts, text_at, lens)
-            start = len(self.ids) + np.cumsum(n) - n
+            taken = _taken(b0[w], blen[w])
+            ids, n = self.merged(self.of_byte[data[taken]], blen[w])
             known = np.concatenate([self.known, u[fresh]])
             order = np.argsort(known, kind="stable")
-            self.known = known[order]
-            self.start = np.concatenate([self.start, start])[order]
+            self.start = np.concatenate([self.start, len(self.ids) + np.cumsum(n) - n])[order]
             self.count = np.concatenate([self.count, n])[order]
+            self.byte_at = np.concatenate([self.byte_at, len(self.bytes) + np.cumsum(blen[w]) - blen[w]])[order]
+            self.size = np.concatenate([self.size, blen[w]])[order]
             self.ids = np.concatenate([self.ids, ids])
+            self.bytes = np.concatenate([self.bytes, data[taken]])
+            self.known = known[order]
             at = np.searchsorted(self.known, u)
-        return self._laid_out(self.ids, self.start[at][inverse], self.count[at][inverse], starts, text_at, lens)
-
-    def _without_memory(self, u, sample, inverse, b0, blen, data, starts, text_at, lens):
-        w = sample
-        take = np.repeat(b0[w] - (np.cumsum(blen[w]) - blen[w]), blen[w]) + np.arange(int(blen[w].sum()))
-        ids, n = self.merged(self.of_byte[data[take]], blen[w])
-        return self._laid_out(ids, (np.cumsum(n) - n)[inverse], n[inverse], starts, text_at, lens)
+        # known words of the same hash as another one here
+        odd |= ~_equal(data, b0[sample], blen[sample], self.bytes, self.byte_at[at], self.size[at])[inverse]
+        pool, start, count = self.ids, self.start[at][inverse], self.count[at][inverse]
+        if odd.any():
+            w = np.flatnonzero(odd)
+            ids, n = self.merged(self.of_byte[data[_taken(b0[w], blen[w])]], blen[w])
+            start[w], count[w] = len(pool) + np.cumsum(n) - n, n
+            pool = np.concatenate([pool, ids])
+        return self._laid_out(pool, start, count, starts, text_at, lens)
 
     @staticmethod
     def _laid_out(ids, start, n, starts, text_at, lens):
@@ -217,18 +237,42 @@ class BpeEncoder:
         return ids[take], counts
 
 
+def _taken(at: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """Places of the bytes of words, one after another."""
+    return np.repeat(at - (np.cumsum(length) - length), length) + np.arange(int(length.sum()))
+
+
+def _equal(a: np.ndarray, a_at: np.ndarray, a_len: np.ndarray, b: np.ndarray, b_at: np.ndarray, b_len: np.ndarray) -> np.ndarray:
+    """Whether the words of a are byte by byte those of b; no word is empty."""
+    same = a_len == b_len
+    if same.any():
+        n = a_len[same]
+        equal = a[_taken(a_at[same], n)] == b[_taken(b_at[same], n)]
+        same[same] = np.logical_and.reduceat(equal, np.cumsum(n) - n)
+    return same
+
+
 _ENCODERS: dict[str, BpeEncoder] = {}
 
 
-def encoder(path: str) -> BpeEncoder:
+def read(path: str) -> bytes:
+    """A tokenizer file, if it keeps to the bound."""
+    with open(path, "rb") as f:
+        source = f.read(MOST_BYTES + 1)
+    if len(source) > MOST_BYTES:
+        raise ValueError(f"{path} is larger than {MOST_BYTES} bytes")
+    return source
+
+
+def encoder(source: bytes) -> BpeEncoder:
     """One per worker process and file."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = BpeEncoder(path)
-    return _ENCODERS[path]
+    name = hashlib.sha256(source).hexdigest()
+    if name not in _ENCODERS:
+        _ENCODERS[name] = BpeEncoder(source)
+    return _ENCODERS[name]
 
 
-def encode_batch(texts: list[str | None], path: str) -> tuple[np.ndarray, np.ndarray]:
-    enc = encoder(path)
+def encode_batch(texts: list[str | None], enc: BpeEncoder) -> tuple[np.ndarray, np.ndarray]:
     ids, counts = [np.empty(0, dtype=np.int32)], [np.empty(0, dtype=np.int64)]
     for a, b in groups(texts):
         i, n = enc.encode([t or "" for t in texts[a:b]])
@@ -241,9 +285,14 @@ def token_ids(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", pat
     """(id_col, ids array<int>) of every row; narrow, no shuffle."""
     kind = df.schema[id_col].dataType.simpleString()
 
+    source = read(path)
+    BpeEncoder(source)  # raises here rather than in the tasks
+    shared = df.sparkSession.sparkContext.broadcast(source)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enc = encoder(shared.value)
         for batch in batches:
-            ids, counts = encode_batch(batch.column(1).to_pylist(), path)
+            ids, counts = encode_batch(batch.column(1).to_pylist(), enc)
             offsets = pa.array(np.r_[0, np.cumsum(counts)].astype(np.int32))
             lists = pa.ListArray.from_arrays(offsets, pa.array(ids, type=pa.int32()))
             yield pa.RecordBatch.from_arrays([batch.column(0), lists], names=["id", "ids"])

@@ -74,3 +74,44 @@ def test_the_field_on_whole_pages_differs_from_its_labels_rule(data):
     half = markup.train(pages[: len(pages) // 2], own=False)
     right, every = markup.accuracy_without_tags(pages[len(pages) // 2 :], half)
     assert right / every > 0.97
+
+
+# 8 encoding
+
+
+def _library():
+    tokenizers = pytest.importorskip("tokenizers")
+    from quipuflow.llm import encode
+
+    try:
+        t = tokenizers.Tokenizer.from_file(encode.DEFAULT_PATH)
+    except Exception:
+        pytest.skip("no tokenizer files here")
+    t.encode_special_tokens = True
+    return t, encode
+
+
+def test_words_of_one_hash_keep_their_own_ids():
+    """A Thue-Morse word and its complement have one polynomial hash, whatever its base."""
+    t, encode = _library()
+    morse = "".join("ab"[bin(i).count("1") & 1] for i in range(2048))
+    other = morse.translate(str.maketrans("ab", "ba"))
+    want = [t.encode(x, add_special_tokens=False).ids for x in (morse, other)]
+    assert want[0] != want[1]
+    enc = encode.BpeEncoder(encode.read(encode.DEFAULT_PATH))
+    for texts in ([morse, other], [other], [morse, "x", other, morse], [other, morse]):  # together, and after one another
+        ids, n = encode.encode_batch(texts, enc)
+        at = 0
+        for x, k in zip(texts, n.tolist()):
+            assert ids[at : at + k].tolist() == t.encode(x, add_special_tokens=False).ids
+            at += k
+
+
+def test_a_full_memory_and_other_tokenizers(monkeypatch):
+    t, encode = _library()
+    monkeypatch.setattr(encode, "REMEMBERED", 3)
+    enc = encode.BpeEncoder(encode.read(encode.DEFAULT_PATH))
+    for text in ["uno dos tres cuatro cinco", "seis uno", "siete ocho nueve diez once doce", "uno"] * 2:
+        assert encode.encode_batch([text], enc)[0].tolist() == t.encode(text, add_special_tokens=False).ids
+    with pytest.raises(ValueError):
+        encode.BpeEncoder(b'{"model": {"type": "BPE", "vocab": {}, "merges": []}, "pre_tokenizer": {"type": "Whitespace"}}')

@@ -329,7 +329,7 @@ def test_ids_decode_to_the_text(texts):
         pytest.skip("no tokenizer files here")
     t.encode_special_tokens = True
     texts = [x.encode("utf-8", "ignore").decode() for x in texts]
-    ids, n = encode.encode_batch(texts, encode.DEFAULT_PATH)
+    ids, n = encode.encode_batch(texts, encode.encoder(encode.read(encode.DEFAULT_PATH)))
     at = 0
     for x, k in zip(texts, n.tolist()):
         assert ids[at : at + k].tolist() == t.encode(x, add_special_tokens=False).ids
