@@ -25,11 +25,29 @@ RECORDS = rf"""SELECT id, {_leaf('head')} AS h, {_leaf('type')} AS r, {_leaf('ta
 CASES = rf"SELECT *, min(id) OVER (PARTITION BY h, r, t) AS first_id FROM ({RECORDS}) WHERE " + " AND ".join(rf"regexp_matches({c}, '[\p{{L}}\p{{N}}]')" for c in "hrt")
 
 
-def _field(f: str) -> str:
+def _usable(f: str) -> str:
     absent = ", ".join("'" + a + "'" for a in ABSENT)
+    return rf"""coalesce(regexp_matches(a.{f}, '[\p{{L}}\p{{N}}]') AND lower(trim(a.{f})) NOT IN ({absent}) AND NOT contains(a.{f}, chr(65533)) AND NOT regexp_matches(a.{f}, '[ÂÃ][\x{{80}}-\x{{bf}}]|[\x{{80}}-\x{{9f}}]') AND NOT regexp_matches(trim(a.{f}), '(\.\.\.|…)$')
+      AND NOT EXISTS (SELECT 1 FROM triple_copies b WHERE b.group_id = a.group_id AND b.{f} <> a.{f} AND starts_with(b.{f}, a.{f})), false)"""
+
+
+def _field(f: str) -> str:
     return rf"""(SELECT arg_max(v, k) FROM (SELECT a.{f} AS v, {{'t': coalesce(l.trust, -1), 'at': a.extracted_at, 'id': -a.copy_id}} AS k FROM triple_copies a LEFT JOIN trust_levels l USING (method)
-      WHERE a.group_id = g.group_id AND regexp_matches(a.{f}, '[\p{{L}}\p{{N}}]') AND lower(trim(a.{f})) NOT IN ({absent}) AND NOT contains(a.{f}, chr(65533)) AND NOT regexp_matches(a.{f}, '[ÂÃ][\x{{80}}-\x{{bf}}]|[\x{{80}}-\x{{9f}}]') AND NOT regexp_matches(trim(a.{f}), '(\.\.\.|…)$')
-      AND NOT EXISTS (SELECT 1 FROM triple_copies b WHERE b.group_id = a.group_id AND b.{f} <> a.{f} AND starts_with(b.{f}, a.{f}))))"""
+      WHERE a.group_id = g.group_id AND {_usable(f)}))"""
+
+
+def _records() -> str:
+    first = lambda f: f"arg_min(CASE WHEN u_{f} THEN {f} END, k) FILTER (u_{f}) AS {f}"
+    fields = ("head", "head_type", "tail")
+    return rf"""WITH RECURSIVE v AS (SELECT a.*, coalesce(l.trust, -1) AS trust, {", ".join(f"{_usable(f)} AS u_{f}" for f in fields)} FROM triple_copies a LEFT JOIN trust_levels l USING (method)),
+      rep AS (SELECT *, {" + ".join(f"u_{f}::INT" for f in fields)} AS complete FROM v
+        QUALIFY row_number() OVER (PARTITION BY group_id, trust, {", ".join(f"u_{f}" for f in fields)} ORDER BY extracted_at DESC NULLS LAST, copy_id) = 1),
+      dom AS (SELECT a.copy_id AS up, b.copy_id AS down FROM rep a JOIN rep b USING (group_id) WHERE a.copy_id <> b.copy_id AND a.trust >= b.trust AND a.complete >= b.complete
+        AND (a.extracted_at > b.extracted_at OR (a.extracted_at = b.extracted_at AND a.copy_id < b.copy_id))),
+      lay AS (SELECT copy_id, 1 AS n FROM rep UNION SELECT down, n + 1 FROM lay JOIN dom ON up = copy_id),
+      l AS (SELECT *, {{'layer': layer, 'c': -complete, 't': -trust, 'at': -epoch_us(extracted_at), 'id': copy_id}} AS k FROM rep JOIN (SELECT copy_id, max(n) AS layer FROM lay GROUP BY copy_id) USING (copy_id))
+      SELECT group_id, arg_min(copy_id, k) AS copy_id, {", ".join(first(f) for f in fields)},
+        CAST(greatest({", ".join(f"coalesce(arg_min(layer, k) FILTER (u_{f}), 0)" for f in fields)}) AS INTEGER) AS deepest FROM l GROUP BY group_id"""
 
 
 def all_sql() -> dict[str, str]:
@@ -41,6 +59,7 @@ def all_sql() -> dict[str, str]:
         "p3_found": f"SELECT first_id, id AS copy_id FROM ({CASES}) WHERE id <> first_id",
         "p3_records": f"SELECT first_id, count(*) AS n_copies FROM ({CASES}) GROUP BY first_id",
         "p4_found": f"SELECT group_id, {_field('head')} AS head, {_field('head_type')} AS head_type, {_field('tail')} AS tail FROM (SELECT DISTINCT group_id FROM triple_copies) g",
+        "p4_records": _records(),
         "p9_found": f"SELECT DISTINCT doc_id, item_id FROM ({_windows('documents', 'doc_id', 10)}) d JOIN ({_windows('eval_items', 'item_id', 10)}) e USING (k)",
         "p10_found": f"""WITH g AS ({_windows('documents', 'doc_id', 8)}),
             r AS (SELECT doc_id, n, i FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, k ORDER BY i) AS rn FROM g) WHERE rn > 1),

@@ -41,6 +41,10 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
     return survivor.survivors(table(spark, d, "triple_copies"), table(spark, d, "trust_levels"))
 
 
+def p4_records(spark: SparkSession, d: str) -> DataFrame:
+    return survivor.records(table(spark, d, "triple_copies"), table(spark, d, "trust_levels"))
+
+
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return names.variants(table(spark, d, "typed_triples"))
 

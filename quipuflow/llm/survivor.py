@@ -1,15 +1,26 @@
-"""Problem 4: the best value of each field that a group of duplicate records offers.
+"""Problem 4: one surviving record of each group of duplicates.
 
 A value counts if it is usable: not absent, no word or sign for absence, not visibly broken or cut
-short, and not a mere beginning of another value of its field in the group. Of the records with a
-usable value those form the skyline that no other beats in both trust and recency; the policy takes
-of it the highest trust, then the latest. Where a record of a layer has no usable value, the next
-layer fills the gap, which is the same as layering only usable values, as done here.
+short, and not a mere beginning of another value of its field in the group.
 
-Each group is first reduced to its distinct values (partial aggregation), with the best record of
-each, so a group of a third of all rows costs its distinct values only. Beginnings are found by
-sorting, in parts where a group has many values, never by comparing values in pairs. The skyline
-needs one record per trust level: levels are few and fixed.
+Records are compared in three criteria: completeness (how many fields are usable), recency (extracted_at,
+ties by the smaller copy_id) and trust. One dominates another that is nowhere better and somewhere
+worse. Of the records of one trust and one set of usable fields only the latest stays, as it stands in
+for all of them; a group has at most 2^fields of those for each trust level. Their skyline, those that
+none dominates, is the first layer; without it the next skyline is the second, and so on.
+
+`survivors` gives each field, by itself, its best value: of the records that offer the field those on their
+skyline, of them by the policy: trust, then recency. As that policy follows the criteria, its choice always lies on
+the skyline, which narrows the choice and cannot change it.
+
+`records` builds one record a group: the policy takes the most complete, then most trusted, then latest
+record of the first layer, and what it lacks is filled from the others in the order of the
+layers. There the layers do change the choice: a value of an undominated record goes before one of
+a record that the survivor's layer dominates, though that may be more complete or more trusted.
+
+Groups of at most HOT records are gathered in one shuffle. Those of more are found by a count first; they are reduced to their
+distinct rows, their values are sorted over many tasks to find beginnings, and only the records that stand in for others are
+gathered. Both ways give the same rows.
 
 Ties in trust and time go to the smallest copy_id. A group without a usable value gives null. An
 unknown or null method counts as the lowest trust. Extra columns are left out.
@@ -17,68 +28,209 @@ unknown or null method counts as the lowest trust. Extra columns are left out.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Callable, Iterator
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quipuflow.functions.text import let
+from quipuflow.session import cut
+
 FIELDS = ("head", "head_type", "tail")
 #: Words and signs that stand for absence, in lower case.
 ABSENT = ("null", "none", "nan", "nil", "na", "n/a", "n.a.", "s/d", "s/n", "s.d.", "unk", "unknown", "undefined", "missing", "desconocido", "desconocida", "sin datos", "sin dato", "no disponible", "ninguno", "ninguna", "tbd")
 #: Two-sign traces of UTF-8 read as Latin-1 or Windows-1252.
 MOJIBAKE = "[ÂÃ][\u0080-¿ŒœŠšŸŽžƒˆ˜–—‘-„†-•…‰‹›€™]"
-#: Groups of more distinct values than HOT are sorted in parts that share their first PREFIX signs.
-HOT, PREFIX = 1000, 12
+#: Groups of more records than HOT are reduced before they are gathered.
+HOT = 500
+#: So many ids of hot groups are sent to all tasks; if there are more, they are joined.
+LISTED = 10_000
 LOWEST = -1
 
 
 def well_formed(v: Column) -> Column:
     """Usable as far as the value itself tells."""
-    t = F.trim(F.regexp_replace(v, r"^[\s ]+|[\s ]+$", ""))
+    t = F.trim(F.regexp_replace(v, r"^[\s ]+|[\s ]+$", ""))
     said = t.rlike(r"[\p{L}\p{N}]") & ~F.lower(t).isin(*ABSENT)
     broken = t.contains("�") | t.rlike(MOJIBAKE) | t.rlike(r"[\u0080-\u009f]")
-    cut = t.rlike(r"(\.\.\.|…)$")
-    return F.coalesce(said & ~broken & ~cut, F.lit(False))
+    cut_ = t.rlike(r"(\.\.\.|…)$")
+    return F.coalesce(said & ~broken & ~cut_, F.lit(False))
+
+
+# rows and groups
 
 
-def _values(copies: DataFrame, trust: DataFrame, fields: tuple[str, ...]) -> DataFrame:
-    """Distinct (group_id, field, value) with the trust, time and id of the best record; null values too."""
+def _rows(copies: DataFrame, trust: DataFrame, fields: tuple[str, ...]) -> DataFrame:
+    """(g, trust, rank(at, neg_id), v: the fields as strings, ok: whether each is well formed)."""
     levels = trust.where(F.col("method").isNotNull()).groupBy("method").agg(F.max("trust").cast("int").alias("trust"))
-    rows = copies.select("group_id", "copy_id", "method", "extracted_at", *fields).join(levels, "method", "left")
-    long = rows.select(
-        "group_id",
-        F.struct(F.coalesce("trust", F.lit(LOWEST)).alias("trust"), F.col("extracted_at").alias("at"), (-F.col("copy_id")).alias("neg_id")).alias("rank"),
-        F.explode(F.array(*[F.struct(F.lit(i).alias("field"), F.col(f).cast("string").alias("value")) for i, f in enumerate(fields)])).alias("v"),
+    src = copies.select(F.col("group_id").alias("g"), "copy_id", "method", "extracted_at", *[F.col(f).cast("string").alias(f"f{i}") for i, f in enumerate(fields)])
+    v = [F.col(f"f{i}") for i in range(len(fields))]
+    return src.join(levels, "method", "left").select(
+        "g",
+        F.coalesce("trust", F.lit(LOWEST)).alias("trust"),
+        F.struct(F.col("extracted_at").alias("at"), (-F.col("copy_id")).alias("neg_id")).alias("rank"),
+        F.array(*v).alias("v"),
+        F.array(*[well_formed(x) for x in v]).alias("ok"),
     )
-    return long.select("group_id", "v.field", "v.value", "rank").groupBy("group_id", "field", "value").agg(F.max("rank").alias("rank"))
 
 
-def _with_beginnings(values: DataFrame) -> DataFrame:
-    """values with cut: whether the value is a mere beginning of another of its field and group.
+def _hot(copies: DataFrame) -> DataFrame | None:
+    """(g) of the groups of more than HOT records, or None."""
+    hot = copies.groupBy("group_id").agg(F.count("*").alias("n")).where(F.col("n") > HOT).select(F.col("group_id").alias("g"))
+    listed = hot.limit(LISTED + 1).collect()
+    if not listed:
+        return None
+    if len(listed) > LISTED:
+        return hot
+    return F.broadcast(copies.sparkSession.createDataFrame(listed, hot.schema))
+
+
+def _value(i: int) -> Callable[[Column], Column]:
+    return lambda r: r["v"][i]
+
+
+def _usable(i: int) -> Callable[[Column], Column]:
+    return lambda r: r["ok"][i]
+
+
+def _without_beginnings(records: Column, fields: int) -> Column:
+    """records of one group, with ok false where a value begins another value of its field."""
+    values = F.array(*[F.array_distinct(F.transform(records, _value(i))) for i in range(fields)])
+
+    def marked(all_values: Column) -> Column:
+        def begins(r: Column, i: int) -> Column:
+            return F.coalesce(F.exists(all_values[i], lambda x: x.startswith(r["v"][i]) & (x != r["v"][i])), F.lit(False))
+
+        def one(r: Column) -> Column:
+            ok = F.array(*[r["ok"][i] & ~begins(r, i) for i in range(fields)])
+            return F.struct(r["trust"].alias("trust"), r["rank"].alias("rank"), r["v"].alias("v"), ok.alias("ok"))
+
+        return F.transform(records, one)
+
+    return let(values, marked)
+
+
+def _stand_ins(records: Column) -> Column:
+    """Of the records of one trust and one set of usable fields the latest."""
+    return F.filter(records, lambda a: ~F.exists(records, lambda b: (b["trust"] == a["trust"]) & (b["ok"] == a["ok"]) & ((b["rank"] > a["rank"]) | ((b["rank"] == a["rank"]) & (b["v"] > a["v"])))))
+
+
+def _gathered(rows: DataFrame, fields: int) -> DataFrame:
+    """(g, records): the records of each group that stand in for all."""
+    groups = rows.groupBy("g").agg(F.collect_list(F.struct("trust", "rank", "v", "ok")).alias("records"))
+    return groups.select("g", let(_without_beginnings(F.col("records"), fields), lambda r: F.array_distinct(_stand_ins(r))).alias("records"))
+
+
+# hot groups
+
+
+def _begun(values: DataFrame) -> DataFrame:
+    """(g, field, value) of the values that begin another one of their field and group; values: distinct.
 
-    Sorted, a value stands right before one that it begins, if there is any. Groups of more than HOT
-    distinct values are sorted in parts that share their first signs; values shorter than those are
-    looked up among the prefixes of their group's values.
+    In a sorted list a value stands right before one that it begins, if there is any. The list is sorted
+    over as many tasks as there are shuffle partitions; the first value of each, few and collected, closes the gap to the
+    one before.
     """
-    hot = values.groupBy("group_id", "field").agg(F.count("*").alias("n")).where(F.col("n") > HOT).select(F.col("group_id").alias("_g"), F.col("field").alias("_f"))
-    values = values.join(hot, F.col("group_id").eqNullSafe(F.col("_g")) & (F.col("field") == F.col("_f")), "left").withColumn("hot", F.col("_f").isNotNull()).drop("_g", "_f")
-    part = F.when(F.col("hot"), F.substring("value", 1, PREFIX)).otherwise(F.lit(""))
-    w = Window.partitionBy("group_id", "field", part).orderBy("value")
-    marked = values.withColumn("cut", F.coalesce(F.lead("value").over(w).startswith(F.col("value")), F.lit(False)))
-    crowd = values.where("hot and length(value) > 1").select("group_id", "field", F.explode(F.transform(F.sequence(F.lit(1), F.least(F.length("value"), F.lit(PREFIX)) - 1), lambda n: F.substring(F.col("value"), F.lit(1), n))).alias("value"))
-    crowd = crowd.distinct().select(F.col("group_id").alias("_g"), F.col("field").alias("_f"), F.col("value").alias("_v"))
-    same = F.col("group_id").eqNullSafe(F.col("_g")) & (F.col("field") == F.col("_f")) & (F.col("value") == F.col("_v")) & (F.length("value") < PREFIX)
-    return marked.join(crowd, same, "left").withColumn("cut", F.col("cut") | F.col("_v").isNotNull()).drop("_g", "_f", "_v")
+    spark = values.sparkSession
+    parts = cut(values.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), "g", "field", "value").sortWithinPartitions("g", "field", "value").withColumn("part", F.spark_partition_id()))
+    firsts = {r.part: (r.x.g, r.x.field, r.x.value) for r in parts.groupBy("part").agg(F.min(F.struct("g", "field", "value")).alias("x")).collect()}
+    after = {p: firsts[min(q for q in firsts if q > p)] for p in firsts if any(q > p for q in firsts)}
+    kind = values.schema["g"].dataType.simpleString()
 
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = None
+        part = None
+        for pdf in frames:
+            out = []
+            for g, f, v, part in zip(pdf["g"], pdf["field"], pdf["value"], pdf["part"]):
+                g = None if pd.isna(g) else g
+                if held and held[:2] == (g, f) and v.startswith(held[2]):
+                    out.append(held)
+                held = (g, f, v)
+            yield pd.DataFrame(out, columns=["g", "field", "value"])
+        if held and part in after and after[part][:2] == held[:2] and after[part][2].startswith(held[2]):
+            yield pd.DataFrame([held], columns=["g", "field", "value"])
 
-def skyline(candidates: Column) -> Column:
-    """Of an array of structs (trust, rank, value), those that none beats in both trust and rank."""
-    return F.filter(candidates, lambda a: ~F.exists(candidates, lambda b: (b["trust"] >= a["trust"]) & (b["rank"] >= a["rank"]) & ((b["trust"] > a["trust"]) | (b["rank"] > a["rank"]))))
+    return parts.mapInPandas(run, f"g {kind}, field int, value string")
+
+
+def _reduced(rows: DataFrame, fields: int) -> DataFrame:
+    """(g, records) of hot groups: distinct rows first, then those that stand in, then gathered."""
+    rows = cut(rows.groupBy("g", "trust", "v", "ok").agg(F.max("rank").alias("rank")))
+    values = rows.select("g", F.posexplode("v").alias("field", "value")).where("value is not null").distinct()
+    begun = _begun(values)
+    for i in range(fields):
+        own = begun.where(F.col("field") == i).select(F.col("g").alias("_g"), F.col("value").alias("_v"))
+        rows = rows.join(own, F.col("g").eqNullSafe(F.col("_g")) & (F.col("v")[i] == F.col("_v")), "left")
+        ok = F.array(*[F.col("ok")[k] & F.col("_v").isNull() if k == i else F.col("ok")[k] for k in range(fields)])
+        rows = rows.withColumn("ok", ok).drop("_g", "_v")
+    best = rows.groupBy("g", "trust", "ok").agg(F.max(F.struct("rank", "v")).alias("b"))
+    return best.groupBy("g").agg(F.collect_list(F.struct("trust", F.col("b.rank").alias("rank"), F.col("b.v").alias("v"), "ok")).alias("records"))
+
+
+def _groups(copies: DataFrame, trust: DataFrame, fields: tuple[str, ...]) -> DataFrame:
+    """(g, records): of each group the records that stand in for all; few, whatever the group's size."""
+    rows = _rows(copies, trust, fields)
+    hot = _hot(copies)
+    if hot is None:
+        return _gathered(rows, len(fields))
+    same = rows["g"].eqNullSafe(hot["g"])
+    return _gathered(rows.join(hot, same, "left_anti"), len(fields)).unionByName(_reduced(rows.join(hot, same, "left_semi"), len(fields)))
+
+
+# skylines
+
+
+def _complete(r: Column) -> Column:
+    return F.size(F.filter(r["ok"], lambda x: x))
+
+
+def dominates(a: Column, b: Column) -> Column:
+    """Whether record a is nowhere worse than b in trust, recency and completeness, and somewhere better."""
+    at_least = (a["trust"] >= b["trust"]) & (a["rank"] >= b["rank"]) & (_complete(a) >= _complete(b))
+    return at_least & ((a["trust"] > b["trust"]) | (a["rank"] > b["rank"]) | (_complete(a) > _complete(b)))
+
+
+def skyline(records: Column) -> Column:
+    """The records that none dominates."""
+    return F.filter(records, lambda a: ~F.exists(records, lambda b: dominates(b, a)))
+
+
+def layers(records: Column) -> Column:
+    """records in the order of the policy, as structs (layer, complete, trust, rank, v, ok): first the lowest layer, then the most complete, trusted, latest.
+
+    A record lies one layer below the lowest of those that dominate it, which is what taking away
+    one skyline after another comes to.
+    """
+    keyed = F.transform(records, lambda r: F.struct(r["trust"].alias("trust"), r["rank"].alias("rank"), _complete(r).alias("complete"), r["v"].alias("v"), r["ok"].alias("ok")))
+    # whoever dominates a record comes before it
+    ordered = F.reverse(F.array_sort(keyed))
+    empty = F.filter(F.transform(ordered, lambda r: F.struct(F.lit(0).alias("neg_layer"), r["complete"].alias("complete"), r["trust"].alias("trust"), r["rank"].alias("rank"), r["v"].alias("v"), r["ok"].alias("ok"))), lambda r: F.lit(False))
+
+    def place(done: Column, r: Column) -> Column:
+        above = F.array_min(F.transform(F.filter(done, lambda a: dominates(a, r)), lambda a: a["neg_layer"]))
+        return F.concat(done, F.array(F.struct((F.coalesce(above, F.lit(0)) - 1).alias("neg_layer"), r["complete"].alias("complete"), r["trust"].alias("trust"), r["rank"].alias("rank"), r["v"].alias("v"), r["ok"].alias("ok"))))
+
+    return F.reverse(F.array_sort(F.aggregate(ordered, empty, place)))
 
 
 def survivors(copies: DataFrame, trust: DataFrame, fields: tuple[str, ...] = FIELDS) -> DataFrame:
-    """(group_id, fields): one row per group."""
-    values = _with_beginnings(_values(copies, trust, fields))
-    offer = F.when(well_formed(F.col("value")) & ~F.col("cut"), F.struct(F.col("rank.at").alias("at"), F.col("rank.neg_id").alias("neg_id"), F.col("value").alias("value")))
-    # one record per trust level, so the arrays are as long as there are levels
-    best = values.groupBy("group_id", "field", F.col("rank.trust").alias("trust")).agg(F.max(offer).alias("b"))
-    layer = lambda i: F.collect_list(F.when((F.col("field") == i) & F.col("b").isNotNull(), F.struct("trust", F.struct("b.at", "b.neg_id").alias("rank"), F.col("b.value").alias("value"))))
-    return best.groupBy("group_id").agg(*[layer(i).alias(f) for i, f in enumerate(fields)]).select("group_id", *[F.array_max(skyline(F.col(f)))["value"].alias(f) for f in fields])
+    """(group_id, fields): the best value of each field by itself; one row per group."""
+
+    def best(i: int) -> Column:
+        offers = F.filter(F.col("records"), _usable(i))
+        return let(offers, lambda o: F.array_max(F.transform(skyline(o), lambda r: F.struct(r["trust"].alias("trust"), r["rank"].alias("rank"), r["v"][i].alias("value")))))["value"]
+
+    return _groups(copies, trust, fields).select(F.col("g").alias("group_id"), *[best(i).alias(f) for i, f in enumerate(fields)])
+
+
+def records(copies: DataFrame, trust: DataFrame, fields: tuple[str, ...] = FIELDS) -> DataFrame:
+    """(group_id, copy_id, fields, deepest): one record per group, filled layer by layer.
+
+    copy_id: the record that survives; deepest: the lowest layer, from 1, that gave a value, or 0 if none did.
+    """
+    found = _groups(copies, trust, fields).select("g", layers(F.col("records")).alias("r"))
+    offer = [F.get(F.filter(F.col("r"), _usable(i)), F.lit(0)) for i in range(len(fields))]
+    deepest = F.greatest(F.lit(0), *[-x["neg_layer"] for x in offer])
+    return found.select(F.col("g").alias("group_id"), (-F.get(F.col("r"), F.lit(0))["rank"]["neg_id"]).alias("copy_id"), *[x["v"][i].alias(f) for i, (f, x) in enumerate(zip(fields, offer))], deepest.alias("deepest"))

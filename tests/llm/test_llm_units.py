@@ -161,24 +161,64 @@ def plain_survivor(recs, trust, field):
     return max(ok, key=lambda r: (trust.get(r["method"], -1), r["extracted_at"], -r["copy_id"]))[field] if ok else None
 
 
+def plain_records(recs, trust, fields=("head", "head_type", "tail")):
+    """One record, by taking away one skyline after another."""
+    full = []
+    for r in recs:
+        ok = tuple(plain_survivor([r], trust, f) is not None and plain_survivor(recs, trust, f) is not None and not any(o[f] and o[f] != r[f] and o[f].startswith(r[f]) for o in recs) for f in fields)
+        full.append((trust.get(r["method"], -1), (r["extracted_at"], -r["copy_id"]), sum(ok), ok, r))
+    left = [a for a in full if not any(b[0] == a[0] and b[3] == a[3] and b[1] > a[1] for b in full)]
+    ordered, layer = [], 0
+    while left:
+        layer += 1
+        top = [a for a in left if not any(b is not a and all(x >= y for x, y in zip(b[:3], a[:3])) and b[:3] != a[:3] for b in left)]
+        ordered += sorted(((layer, -a[2], -a[0], tuple(-x for x in (a[1][0].timestamp(), a[1][1]))) + (a,) for a in top), key=lambda t: t[:4])
+        left = [a for a in left if a not in top]
+    got, deepest = [], 0
+    for i, f in enumerate(fields):
+        from_ = next(((t[0], t[4][4][f]) for t in ordered if t[4][3][i]), (0, None))
+        got.append(from_[1])
+        deepest = max(deepest, from_[0])
+    return (ordered[0][4][4]["copy_id"], *got, deepest)
+
+
 @pytest.mark.parametrize("hot", [1000, 2])
-def test_survivors_as_brute_force(spark, monkeypatch, hot):
+@pytest.mark.parametrize("listed", [10, 1])
+def test_survivors_as_brute_force(spark, monkeypatch, hot, listed):
     monkeypatch.setattr(survivor, "HOT", hot)
-    monkeypatch.setattr(survivor, "PREFIX", 6)
+    monkeypatch.setattr(survivor, "LISTED", listed)
     rng = random.Random(1)
     pool = [None, "", "null", "s/d", "-", "Ana", "Ana María", "Ana Mar…", "Beto de la Cruz", "Beto de la C", "Beto de la Cruz Alta", "x"]
     trust = {"curator": 5, "web": 2, "api": 2}
     recs = [
-        {"copy_id": i, "group_id": rng.choice([1, 1, 1, 2, 3, None]), "head": rng.choice(pool), "head_type": rng.choice(["per", None, "-"]), "tail": rng.choice(pool), "method": rng.choice([*trust, None, "other"]), "extracted_at": datetime(2024, 1, rng.randint(1, 9))}
-        for i in range(60)
+        {"copy_id": i, "group_id": rng.choice([1, 1, 1, 2, 3, 4, 5, None]), "head": rng.choice(pool), "head_type": rng.choice(["per", None, "-"]), "tail": rng.choice(pool), "method": rng.choice([*trust, None, "other"]), "extracted_at": datetime(2024, 1, rng.randint(1, 9))}
+        for i in range(80)
     ]
     df = spark.createDataFrame([tuple(r.values()) for r in recs], "copy_id long, group_id long, head string, head_type string, tail string, method string, extracted_at timestamp")
     levels = spark.createDataFrame(list(trust.items()), "method string, trust int")
     got = {r.group_id: r for r in survivor.survivors(df.withColumn("trust", F.lit(9)).withColumn("value", F.lit("x")), levels).collect()}
-    for g in {1, 2, 3}:
+    built = {r.group_id: tuple(r)[1:] for r in survivor.records(df, levels).collect()}
+    assert set(got) == set(built) == {1, 2, 3, 4, 5, None}
+    for g in got:
         own = [r for r in recs if r["group_id"] == g]
         assert (got[g].head, got[g].head_type, got[g].tail) == tuple(plain_survivor(own, trust, f) for f in ("head", "head_type", "tail"))
-    assert survivor.survivors(df.limit(0), levels).count() == 0
+        assert built[g] == plain_records(own, trust)
+    assert survivor.survivors(df.limit(0), levels).count() == survivor.records(df.limit(0), levels).count() == 0
+
+
+def test_the_layers_change_the_choice(spark):
+    """A later record without trust comes before a more complete and trusted one that the first layer dominates."""
+    day = lambda n: datetime(2024, 1, n)
+    data = [
+        (1, 7, "Ana", "per", None, "curator", day(5)),  # survives
+        (2, 7, None, "per", "Lima", "api", day(4)),  # dominated: as complete, less trusted, older
+        (3, 7, None, None, "Cuzco", None, day(9)),  # not dominated: the latest
+    ]
+    df = spark.createDataFrame(data, "copy_id long, group_id long, head string, head_type string, tail string, method string, extracted_at timestamp")
+    levels = spark.createDataFrame([("curator", 5), ("api", 2)], "method string, trust int")
+    assert rows(survivor.records(df, levels)) == [(7, 1, "Ana", "per", "Cuzco", 1)]
+    assert rows(survivor.survivors(df, levels)) == [(7, "Ana", "per", "Lima")]
+    assert rows(survivor.records(df.where("copy_id < 3"), levels)) == [(7, 1, "Ana", "per", "Lima", 2)]  # the second layer fills the gap
 
 
 def test_unusable_values(spark):
