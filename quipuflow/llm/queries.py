@@ -49,6 +49,10 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return names.variants(table(spark, d, "typed_triples"))
 
 
+def p5_classes(spark: SparkSession, d: str) -> DataFrame:
+    return names.classes(table(spark, d, "typed_triples"))
+
+
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
     return boilerplate.articles(table(spark, d, "web_pages"))
 

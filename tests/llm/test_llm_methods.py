@@ -115,3 +115,65 @@ def test_a_full_memory_and_other_tokenizers(monkeypatch):
         assert encode.encode_batch([text], enc)[0].tolist() == t.encode(text, add_special_tokens=False).ids
     with pytest.raises(ValueError):
         encode.BpeEncoder(b'{"model": {"type": "BPE", "vocab": {}, "merges": []}, "pre_tokenizer": {"type": "Whitespace"}}')
+
+
+# 5 names
+
+
+def _points(spark, rng):
+    base = ["".join(rng.choice("abcde") for _ in range(rng.randint(0, 9))) for _ in range(25)]
+
+    def typo(x):
+        i = rng.randint(0, len(x))
+        return rng.choice([x[:i] + rng.choice("abc") + x[i:], x[:i] + x[i + 1 :], x[:i] + x[i : i + 2][::-1] + x[i + 2 :]])
+
+    rows_ = {(b, typo(x) if rng.random() < 0.6 else x) for b in "uvw" for x in base for _ in range(3)} | {("solo", "x"), ("leer", "")}
+    return spark.createDataFrame(sorted(rows_), "block string, point string").withColumn("key", F.concat_ws("/", "block", "point"))
+
+
+@pytest.mark.parametrize("cell, pivots", [(2000, 16), (12, 3), (1, 2)])
+def test_the_radius_join_is_exact(spark, monkeypatch, cell, pivots):
+    """Whatever the cells, all pairs within the radius are found, each once in either direction."""
+    from quipuflow.llm import names
+
+    monkeypatch.setattr(names, "CELL", cell)
+    monkeypatch.setattr(names, "PIVOTS", pivots)
+    points = _points(spark, random.Random(8))
+
+    def distance(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            new = [i]
+            for j, y in enumerate(b, 1):
+                new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (x != y)))
+            row = new
+        return row[-1]
+
+    all_ = [(r.block, r.point) for r in points.collect()]
+    for radius in (1, 2):
+        want = sorted((f"{b}/{p}", f"{b}/{q}") for b, p in all_ for c, q in all_ if b == c and p != q and distance(p, q) <= radius)
+        assert rows(names.near_pairs(points, radius), "key", "key2") == want and want
+    assert 1.0 <= names.replication(points) <= pivots
+    assert rows(names.near_pairs(points.limit(0)), "key", "key2") == []
+
+
+def test_classes_of_names(spark):
+    from quipuflow.llm import names
+
+    same = ["Adriana Rotrabel Difagra", "Adriana Rotrabel-Difagra", "adrina rotrabel difagra", "Dra. Adriana Rotrabel Difagra"]
+    data = [(n, "per", None, None) for n in [*same, "Benita Rotrabel Difagra"]]
+    df = spark.createDataFrame(data * 2, "head string, head_type string, tail string, tail_type string")
+    assert rows(names.classes(df)) == sorted([(n, min(same), 4, 3) for n in same] + [("Benita Rotrabel Difagra", "Benita Rotrabel Difagra", 1, 0)])
+    assert rows(names.classes(df.limit(0))) == []
+
+
+def test_second_names_however_rare(spark):
+    """A second name is known by the surnames it stands with, however small its share of all names is."""
+    from quipuflow.llm import names
+
+    crowd = [f"Ana Zul{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}x Bort{chr(97 + i // 7 % 26)}o" for i in range(400)]
+    rare = [f"Luis Abel {x} Paz" for x in ("Riva", "Soto", "Mora")] + ["Juan Abel Vega"]
+    df = spark.createDataFrame([(n, ["per"]) for n in crowd + rare], "name string, kinds array<string>")
+    got = {r["name"]: (r.a, r.core, r.rest) for r in names.canonical(df).collect()}
+    assert got["Juan Abel Vega"] == ("juan abel", "vega", "") and len(got) == len(set(crowd + rare))
+    assert {r["name"]: r.a for r in names.canonical(df.where("name not like '%Mora%'")).collect()}["Juan Abel Vega"] == "juan"

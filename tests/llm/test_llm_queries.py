@@ -20,7 +20,7 @@ COLUMNS = {
 }
 
 
-@pytest.mark.parametrize("name", sorted(set(queries()) - {"p5_found"}))
+@pytest.mark.parametrize("name", sorted(queries()))
 def test_query(spark, data, con, name):
     df = queries()[name](spark, data)
     assert df.columns == COLUMNS.get(name, df.columns)
