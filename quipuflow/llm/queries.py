@@ -69,6 +69,10 @@ def p9_found(spark: SparkSession, d: str) -> DataFrame:
     return leakage.leaks(table(spark, d, "documents"), table(spark, d, "eval_items"))
 
 
+def p9_edited(spark: SparkSession, d: str) -> DataFrame:
+    return leakage.leaks(table(spark, d, "documents"), table(spark, d, "eval_items"), edits=1)
+
+
 def p10_found(spark: SparkSession, d: str) -> DataFrame:
     rules = tuple(r for r in repetition.THRESHOLDS if r.name == "repeated")
     return repetition.judge(table(spark, d, "documents").select("doc_id", "text"), rules, whole=False).where("repeated").select("doc_id")

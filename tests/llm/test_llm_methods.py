@@ -177,3 +177,56 @@ def test_second_names_however_rare(spark):
     got = {r["name"]: (r.a, r.core, r.rest) for r in names.canonical(df).collect()}
     assert got["Juan Abel Vega"] == ("juan abel", "vega", "") and len(got) == len(set(crowd + rare))
     assert {r["name"]: r.a for r in names.canonical(df.where("name not like '%Mora%'")).collect()}["Juan Abel Vega"] == "juan"
+
+
+# 9 leakage
+
+
+@pytest.mark.parametrize("edits", [1, 2])
+@pytest.mark.parametrize("kind", ["substitution", "insertion", "deletion"])
+def test_recall_of_edited_passages(kind, edits):
+    """Passages after edits of one kind, amid other words, against brute force."""
+    from quipuflow.llm import leakage
+
+    rng = random.Random(4)
+    word = lambda: f"w{rng.randrange(10**6)}"
+    items = [[word() for _ in range(10)] for _ in range(200)]
+    docs = []
+    for w in items:
+        w = list(w)
+        for _ in range(edits):
+            at = rng.randrange(1, len(w) - 1)
+            w[at : at + (kind != "insertion")] = [] if kind == "deletion" else [word()]
+        docs.append([word() for _ in range(5)] + w + [word() for _ in range(5)])
+    assert all(min(leakage.edit_distance(d[5 : 5 + n], i, edits) for n in range(10 - edits, 11 + edits)) <= edits for d, i in zip(docs, items))
+    found = leakage.ItemIndex(list(range(200)), [" ".join(i) for i in items], 10, edits, 0.99).search([" ".join(d) for d in docs])
+    assert {(a, b) for a, b in found if a == b} == found
+    assert len(found) >= 0.95 * 200
+
+
+@pytest.mark.parametrize("edits", [0, 1])
+def test_joined_items_give_the_same_leaks(spark, monkeypatch, edits):
+    from quipuflow.llm import leakage
+
+    rng = random.Random(9)
+    word = lambda: rng.choice(["uno", "dos", "Trés", "cuatro", f"w{rng.randrange(50)}"])
+    texts = [" ".join(word() for _ in range(rng.randint(0, 30))) for _ in range(30)]
+    docs = [(i, t + " . " + rng.choice(texts)) for i, t in enumerate(texts)] + [(90, None), (91, ""), (0, texts[0])]
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    e = spark.createDataFrame([(i, t) for i, t in enumerate(texts)] + [(95, None)], "item_id long, text string")
+    whole = rows(leakage.leaks(d, e, window=6, edits=edits, recall=0.999))
+    monkeypatch.setattr(leakage, "BLOCK_CHARS", 10)
+    monkeypatch.setattr(leakage, "FILTER_BITS", 1 << 10)
+    assert rows(leakage.leaks(d, e, window=6, edits=edits, recall=0.999)) == whole and whole
+    assert rows(leakage.leaks(d.limit(0), e)) == [] == rows(leakage.leaks(d, e.limit(0)))
+
+
+def test_an_index_is_that_of_its_own_search(spark):
+    """Searches one after another in the same workers don't see each other's items."""
+    from quipuflow.llm import leakage
+
+    passages = [" ".join(f"p{k}x{i}" for i in range(12)) for k in range(4)]
+    d = spark.createDataFrame(list(enumerate(passages)), "doc_id long, text string").coalesce(1)
+    for k, p in enumerate(passages * 3):
+        e = spark.createDataFrame([(7, p)], "item_id long, text string")
+        assert rows(leakage.leaks(d, e)) == [(k % 4, 7)]
