@@ -23,7 +23,6 @@ or item. Extra columns are left out.
 from __future__ import annotations
 
 import uuid
-from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -113,7 +112,7 @@ def repetitions(window: int, edits: int, recall: float = RECALL) -> tuple[int, i
     """
     if not edits:
         return 1, SAMPLED
-    sampled = max(2, SAMPLED // (1 + 2 * edits))
+    sampled = max(4, SAMPLED - 4 * edits)
     rng = np.random.default_rng(SEED)
     n, trials = 400, 60
     a = [rng.integers(1, 2**63, size=window).tolist() for _ in range(n)]
@@ -148,8 +147,38 @@ def _among(table: np.ndarray, x: np.ndarray) -> np.ndarray:
     return table[np.minimum(np.searchsorted(table, x), len(table) - 1)] == x if len(table) else np.zeros(len(x), dtype=bool)
 
 
+def within(a: np.ndarray, b: np.ndarray, edits: int) -> np.ndarray:
+    """Of each row of a and of b, hashes of words, whether they are within so many edits: a band of the table of all rows at once."""
+    n, m = a.shape[1], b.shape[1]
+    if abs(n - m) > edits:
+        return np.zeros(len(a), dtype=bool)
+    far = np.full(len(a), edits + 1, dtype=np.int16)
+    row = {o: np.full(len(a), o, dtype=np.int16) if 0 <= o <= m else far for o in range(-edits, edits + 1)}
+    for i in range(1, n + 1):
+        new: dict[int, np.ndarray] = {}
+        for o in range(-edits, edits + 1):
+            k = i + o
+            if k < 0 or k > m:
+                new[o] = far
+            elif k == 0:
+                new[o] = np.full(len(a), i, dtype=np.int16)
+            else:
+                best = row[o] + (a[:, i - 1] != b[:, k - 1])
+                if o < edits:
+                    best = np.minimum(best, row[o + 1] + 1)
+                if o > -edits:
+                    best = np.minimum(best, new[o - 1] + 1)
+                new[o] = best
+        row = new
+    return row[m - n] <= edits
+
+
+#: Pairs of windows compared at once; bounds a Python worker's memory, not what is compared.
+PAIRS_AT_ONCE = 500_000
+
+
 class ItemIndex:
-    """LSH table of the windows of some items."""
+    """LSH table of the windows of some items; equal windows are one, with the items that hold it."""
 
     def __init__(self, ids: list, texts: list[str | None], window: int, edits: int, recall: float):
         self.window, self.edits = window, edits
@@ -158,16 +187,23 @@ class ItemIndex:
         self.vocabulary = np.unique(w.hash)
         self.bits = np.zeros(1 << 22, dtype=bool)
         self.bits[self.vocabulary >> np.uint64(42)] = True
-        first = w.windows(window)
         self.intact = intact(window, edits)
         self.runs = np.unique(run_hashes(w.hash, self.intact))
-        self.found: dict[int, set[tuple]] = defaultdict(set)
-        keys = lsh_keys(w.hash, first, window, self.reps, self.sampled)
-        for k, f in enumerate(first.tolist()):
-            entry = (ids[w.text[f]], w.window(f, window) if not edits else tuple(w.list(f, window)))
-            for r in range(self.reps):
-                self.found[int(keys[r, k])].add(entry)
-        self.keys = np.sort(np.fromiter(self.found, dtype=np.uint64, count=len(self.found)))
+        number: dict[bytes, int] = {}
+        places: list[int] = []
+        self.items: list[set] = []
+        for f in w.windows(window).tolist():
+            k = number.setdefault(w.window(f, window), len(number))
+            if k == len(places):
+                places.append(f)
+                self.items.append(set())
+            self.items[k].add(ids[w.text[f]])
+        self.words = list(number)
+        first = np.array(places, dtype=np.int64)
+        self.hashes = w.hash[first[:, None] + np.arange(window)] if len(first) else np.empty((0, window), dtype=np.uint64)
+        keys = lsh_keys(w.hash, first, window, self.reps, self.sampled).ravel()
+        order = np.argsort(keys, kind="stable")
+        self.keys, self.of = keys[order], np.tile(np.arange(len(first)), self.reps)[order]
 
     def search(self, texts: list[str | None]) -> set[tuple[int, object]]:
         """(text number, item id) of all leaks."""
@@ -177,33 +213,48 @@ class ItemIndex:
             return out
         known = self.bits[w.hash >> np.uint64(42)]
         at = np.flatnonzero(known)
-        exact = np.minimum(np.searchsorted(self.vocabulary, w.hash[at]), len(self.vocabulary) - 1)
-        known[at] = self.vocabulary[exact] == w.hash[at]
+        known[at] = _among(self.vocabulary, w.hash[at])
         total = np.r_[0, np.cumsum(known)]
-        if self.edits:
-            runs = run_hashes(w.hash, self.intact)
-            alike = _among(self.runs, runs)
+        alike = _among(self.runs, run_hashes(w.hash, self.intact)) if self.edits else None
+        sure: set[tuple[int, int]] = set()  # (text, window of items)
         for length in lengths(self.window, self.edits):
             first = w.windows(length)
             first = first[total[first + length] - total[first] >= length - self.edits]
             if self.edits:
                 first = with_runs(alike, first, length, self.intact)
-            if not len(first):
-                continue
-            keys = lsh_keys(w.hash, first, self.window, self.reps, self.sampled, length)
-            for r in range(self.reps):
-                at = np.minimum(np.searchsorted(self.keys, keys[r]), len(self.keys) - 1)
-                for i in np.flatnonzero(self.keys[at] == keys[r]).tolist():
-                    f = int(first[i])
-                    own = w.window(f, length) if not self.edits else w.list(f, length)
-                    for item, theirs in self.found[int(keys[r, i])]:
-                        pair = (int(w.text[f]), item)
-                        if pair in out:
-                            continue
-                        if own == theirs if not self.edits else edit_distance(own, list(theirs), self.edits) <= self.edits:
-                            out.add(pair)
+            for a in range(0, len(first), 20_000):
+                self._confirmed(w, first[a : a + 20_000], length, sure)
+        for text, k in sure:
+            out |= {(text, item) for item in self.items[k]}
         return out
 
+    def _confirmed(self, w: Words, first: np.ndarray, length: int, sure: set[tuple[int, int]]) -> None:
+        """Adds to sure what the windows of `length` words that begin at first are within the edits of."""
+        pairs = []
+        for keys in lsh_keys(w.hash, first, self.window, self.reps, self.sampled, length):
+            low = np.searchsorted(self.keys, keys)
+            n = np.searchsorted(self.keys, keys, side="right") - low
+            hit = np.flatnonzero(n)
+            if len(hit):
+                at = np.repeat(low[hit] - (np.cumsum(n[hit]) - n[hit]), n[hit]) + np.arange(int(n[hit].sum()))
+                pairs.append(np.repeat(hit, n[hit]) * len(self.words) + self.of[at])
+        if not pairs:
+            return
+        pairs = np.sort(np.concatenate(pairs))
+        pairs = pairs[np.r_[True, pairs[1:] != pairs[:-1]]]
+        for a in range(0, len(pairs), PAIRS_AT_ONCE):
+            mine, theirs = np.divmod(pairs[a : a + PAIRS_AT_ONCE], len(self.words))
+            close = within(w.hash[first[mine][:, None] + np.arange(length)], self.hashes[theirs], self.edits)
+            for i, k in zip(first[mine[close]].tolist(), theirs[close].tolist()):
+                pair = (int(w.text[i]), k)
+                # hashes may lie: the words themselves decide
+                if pair not in sure and (w.window(i, length) == self.words[k] if not self.edits else edit_distance(w.list(i, length), _listed(self.words[k]), self.edits) <= self.edits):
+                    sure.add(pair)
+
+
+def _listed(window: bytes) -> list[str]:
+    return window.decode("utf-32-le").split("\0")
+
 
 def lengths(window: int, edits: int) -> range:
     """Words that a document's window may have to be within the edits of an item's."""
@@ -325,7 +376,7 @@ def _joined(src: DataFrame, chosen: DataFrame, window: int, edits: int, recall:
 
     def near(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in frames:
-            keep = [edit_distance(a.decode("utf-32-le").split("\0"), b.decode("utf-32-le").split("\0"), edits) <= edits for a, b in zip(pdf["own"], pdf["words"])]
+            keep = [edit_distance(_listed(a), _listed(b), edits) <= edits for a, b in zip(pdf["own"], pdf["words"])]
             yield pdf.loc[keep, ["doc", "item"]]
 
     schema = f"doc {src.schema['doc'].dataType.simpleString()}, item {chosen.schema['item'].dataType.simpleString()}"
