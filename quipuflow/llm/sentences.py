@@ -1,16 +1,20 @@
 """Problem 1: the sentences of texts in many languages and scripts.
 
 Candidate boundaries stand after the end marks of a script (with the quotes, brackets and note marks
-that follow them) and, in Thai, at blanks. A maximum-entropy model decides each one from features of
+that follow them), inside of quotes and brackets too, and, in Thai, at blanks. A maximum-entropy model decides each one from features of
 the neighbouring tokens: how often the corpus ends paragraphs with the token before and begins them
-with the token after, case, length, digits, script, quotation and brackets. The paragraph counts come
-from all texts, by partial aggregation. Those of frequent tokens go to all tasks, those of the others are
+with the token after, case, length, digits, script, quotation and brackets. No list of abbreviations is used:
+the paragraph counts tell them. They come from all texts, by partial aggregation. Those of frequent tokens go to all tasks, those of the others are
 joined to the texts that hold them, so that no token goes without its counts.
 
 The model is trained here, on reliable boundaries of a bounded sample of pages (SAMPLE_PAGES):
 paragraph ends and candidates between frequent paragraph ends and beginnings are boundaries;
 candidates after tokens that surely never end a paragraph, or before tokens that surely never begin
-one, are none.
+one, are none, nor are those inside of quotes and brackets that are closed in their paragraph, or Thai blanks beside numbers. CERTAIN holds what
+is known of any corpus, for samples without Thai or speech.
+
+The texts are read once. What each says of its paragraphs and candidates is kept in the checkpoint
+folder; the counts, the sample and the decisions read only that.
 
 A blank line always ends a sentence, a line break alone never does. Null, empty and blank texts have
 no sentences. Places are code points, 0-based, end exclusive, without white space at either end.
@@ -23,28 +27,24 @@ import copy
 import itertools
 import math
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quipuflow.session import cut, spread
 
 SAMPLE_PAGES = 600
-#: Tokens that make up less than this share of all candidates are joined to the texts; at most 1 / share go to all tasks.
-LEAST_SHARE = 2e-6
+#: Tokens that make up less than this share of all candidates are joined to the texts; at most 1 / share are sent to all tasks.
+LEAST_SHARE = 1e-5
 #: A token never ends or begins a paragraph if that would have at most this chance by luck.
 LUCK = 1e-3
-#: Abbreviations of the corpus's languages, for corpora too small to count them.
-ABBREVIATIONS = frozenset(
-    "sr sra srta dr dra prof profa ing lic arq mtro gral cap col pbro mons fr sto sta san st mt ft av avda cía cia ltda hnos núm num no nº pág pag págs vol vols art arts cap fig figs ed eds p pp cf ca aprox tel ej vs etc bs ee uu s c j m a km kg ha mr mrs ms jr sr inc ltd co corp bros dept gov gen sen rep rev hon i.e e.g u.s a.m p.m séc pç n.º eng exmo exma d डॉ रु कि.मी د م".split()
-)
-
 _CLOSE = "\"'”’»)\\]」』）》】›"
 _BREAK = re.compile(r"\r?\n[^\S\n]*\r?\n\s*|\r[^\S\r\n]*\r\s*| ")
-_CAND = re.compile(rf"(?P<mark>[.!?…。！？؟।॥۔።፧፨｡]+)(?P<tail>[{_CLOSE}]*(?:\[\d{{1,4}}\])*[{_CLOSE}]*)(?=(?P<space>\s+)|\Z|(?P<wide>))")
+_CAND = re.compile(rf"([.!?…。！？؟।॥۔።፧፨｡]+)([{_CLOSE}]*(?:\[\d{{1,4}}\])*[{_CLOSE}]*)(\s*)")
+_LAST = re.compile(rf"([.!?…。！？؟।॥۔።፧፨｡]+)[{_CLOSE}]*(?:\[\d{{1,4}}\])*[{_CLOSE}]*\Z")
 _WIDE_MARK = frozenset("。！？…｡")
 _PAIRS = {"“": "”", "«": "»", "「": "」", "『": "』", "(": ")", "（": "）", "《": "》", "‹": "›", "[": "]"}
 _THAI = re.compile(r"[฀-๿]")
@@ -109,84 +109,125 @@ class _Depth:
         return self.deep[k - 1] if k else 0
 
 
-_NOT_TOKEN = frozenset(" \t\n\r\x0b\x0c\xa0\u2028\u2029\u3000\"'“”«»(（「『《[¿¡")
+_PARTS = re.compile("[\"'“”«»(（「『《[¿¡]")
+_NUMBER = re.compile(r"[\d.,:/-]+")
+_WORD = re.compile(r"[^\s,;:]+")
+_ENDED = re.compile(r"[.!?。！？؟।…][”»」』\"’)）\]\d\[]*\s*\Z")
+_COLON = re.compile(r"[:：,，、]\s*\Z")
+_THAI_BLANK = re.compile(r"[^\S\r\n]+")
 
 
 def _before(p: str, at: int) -> str:
     """Token that ends at `at`, lower case; numbers by their shape."""
-    a = at
-    while a > 0 and at - a < 24 and p[a - 1] not in _NOT_TOKEN:
-        a -= 1
-    t = p[a:at]
-    if t and _script(t[-1]) == "wide":
+    t = p[max(0, at - 24) : at]
+    if not t or t[-1].isspace():
+        return ""
+    t = t.rsplit(None, 1)[-1]
+    if _PARTS.search(t):
+        t = _PARTS.split(t)[-1]
+        if not t:
+            return ""
+    if t[-1] > "\u2e7f" and _script(t[-1]) == "wide":
         t = t[-2:]
     t = t.lower()
-    return "0" * min(len(t), 5) if t.isdigit() else ("0.0" if t[:1].isdigit() and re.fullmatch(r"[\d.,:/-]+", t) else t)
+    if t[0].isdigit():
+        return "0" * min(len(t), 5) if t.isdigit() else "0.0" if _NUMBER.fullmatch(t) else t
+    return t
 
 
 def _after(p: str, at: int) -> str:
     """Token that begins at `at`: wide scripts by two signs, capitalised words by their shape."""
-    rest = p[at : at + 24]
-    lead = re.match(rf"[{re.escape(_OPEN)}]*", rest)[0]
-    body = rest[len(lead) :]
-    if not body:
-        return lead[:1]
-    if lead:
-        return lead[:1]
-    if _script(body[0]) == "wide":
-        return body[:2]
-    word = re.match(r"[^\s,;:]+", body)
-    word = word[0] if word else body[:1]
-    if word[0].isupper():
+    ch = p[at : at + 1]
+    if not ch or ch in _OPEN:
+        return ch
+    if ch > "\u2e7f" and _script(ch) == "wide":
+        return p[at : at + 2]
+    if ch.isupper():
         return "Aa"
-    return "0" if word[0].isdigit() else word
+    if ch.isdigit():
+        return "0"
+    word = _WORD.match(p[at : at + 24])
+    return word[0] if word else ch
+
 
+#: What is said of a candidate: end, next, token before with its mark, token after, shape. Without tokens it isn't counted.
+Candidate = tuple[int, int, str, str, str]
+
+
+def _shape(p: str, mark: str, before: str, nxt: int, quote: int | None) -> str:
+    """What else a candidate shows: mark, case, length and script of its neighbours, and the quotes it closes."""
+    ch = p[nxt]
+    case = "lower" if ch.islower() else "upper" if ch.isupper() else "digit" if ch.isdigit() else "open" if ch in _OPEN else "none" if ch.isalpha() else "sign"
+    word = before.rstrip(".")
+    short = "letter" if len(word) == 1 and word.isalpha() else "inner" if "." in word else "digits" if word[:1].isdigit() else f"len{min(len(word), 5)}"
+    kind = "period" if mark == "." else "dots" if mark[0] == "…" or mark[0] == "." else mark[-1]
+    if quote is None:
+        speech = "no"
+    else:
+        ahead = p[:quote]
+        speech = "whole" if not ahead.strip() or _ENDED.search(ahead) else "colon" if _COLON.search(ahead) else "within"
+    return f"{kind} {case} {short} {_script(ch)} {speech}"
 
-def candidates(p: str) -> Iterator[dict]:
+
+def candidates(p: str) -> Iterator[Candidate]:
     """Candidate boundaries inside a paragraph; the paragraph's end isn't one."""
     deep = _Depth(p)
     opener = deep.opener
+    n = len(p)
     for m in _CAND.finditer(p):
-        end = m.end("tail")
-        wide = m["mark"][-1] in _WIDE_MARK and (m["space"] is None)
-        if end >= len(p) or (m["space"] is None and not (wide and (m["mark"][-1] != "…" or _script(p[end]) == "wide"))):
+        mark, tail, space = m.groups()
+        end, nxt = m.end(2), m.end(3)
+        if end >= n or nxt >= n:
             continue
-        tail = m["tail"]
-        # inside of quotes or brackets nothing ends; the closers at hand are left behind
-        inside = deep[end - 1] if end - 1 >= 0 else 0
-        if inside > 0 and not (tail and deep[end] == 0):
+        if not space and not (mark[-1] in _WIDE_MARK and (mark[-1] != "…" or _script(p[end]) == "wide")):
             continue
-        nxt = m.end("space") if m["space"] else end
-        closer = next((i for i in range(m.end("mark"), end) if i in opener and p[i] in "\"”»」』’"), None)
-        yield {"end": end, "next": nxt, "mark": m["mark"], "tail": tail, "quote": opener.get(closer, -1) if closer is not None else None, "before": _before(p, m.start("mark")), "after": _after(p, nxt), "thai": False}
+        quote = None
+        if opener:
+            # inside of quotes or brackets; the closers at hand are left behind
+            if deep[end - 1] > 0 and not (tail and deep[end] == 0):
+                yield end, nxt, "", "", "inside"
+                continue
+            if tail:
+                closer = next((i for i in range(m.end(1), end) if i in opener and p[i] in "\"”»」』’"), None)
+                quote = None if closer is None else opener[closer]
+        before = _before(p, m.start())
+        yield end, nxt, before + mark[0], _after(p, nxt), _shape(p, mark, before, nxt, quote)
     if _THAI.search(p):
-        for m in re.finditer(r"[^\S\r\n]+", p):
+        for m in _THAI_BLANK.finditer(p):
             a, b = p[m.start() - 1 : m.start()], p[m.end() : m.end() + 1]
-            if not a or not b or a.isdigit() or b.isdigit() or a in "\r\n" or b in "\r\n" or not (_THAI.match(a) or _THAI.match(b)):
-                continue
-            if deep[m.start()] == 0:
-                yield {"end": m.start(), "next": m.end(), "mark": "", "tail": "", "quote": None, "before": "", "after": "", "thai": True}
+            if a and b and a not in "\r\n" and b not in "\r\n" and (_THAI.match(a) or _THAI.match(b)):
+                yield m.start(), m.end(), "", "", "thai inside" if deep[m.start()] > 0 else "thai number" if a.isdigit() or b.isdigit() else "thai"
+
+
+def described(text: str | None) -> tuple[list[int], list[int], list[int], list[int], list[str], list[str], list[str], list[str]]:
+    """begin and end of each paragraph; end, next, before, after and shape of each candidate; tokens at paragraph edges (a or b before them)."""
+    begins, ends, edges = [], [], []
+    out: list[Candidate] = []
+    for a, b in paragraphs(text or ""):
+        p = text[a:b]
+        begins.append(a)
+        ends.append(b)
+        edges.append("a" + _after(p, 0))
+        if last := _LAST.search(p, max(0, len(p) - 40)):
+            edges.append("b" + _before(p, last.start(1)) + last[1][0])
+        found = list(candidates(p))
+        if found and found[-1][4][:4] == "thai":
+            found.sort(key=lambda c: c[0])
+        out += found if not a else [(e + a, n + a, x, y, z) for e, n, x, y, z in found]
+    e, n, x, y, z = map(list, zip(*out)) if out else ([], [], [], [], [])
+    return begins, ends, e, n, x, y, z, edges
 
 
 def counts(text: str) -> list[tuple[str, str, int, int]]:
     """(side, token, times at a candidate or paragraph edge, times at a paragraph edge) of a text."""
+    *_, before, after, _, edges = described(text)
     seen: dict[tuple[str, str], list[int]] = {}
-
-    def add(side: str, token: str, edge: int) -> None:
-        x = seen.setdefault((side, token), [0, 0])
-        x[0] += 1
-        x[1] += edge
-
-    for a, b in paragraphs(text):
-        p = text[a:b]
-        add("after", _after(p, 0), 1)
-        last = re.search(rf"([.!?…。！？؟।॥۔።፧፨｡]+)[{_CLOSE}]*(?:\[\d{{1,4}}\])*[{_CLOSE}]*\Z", p)
-        if last:
-            add("before", _before(p, last.start(1)) + last[1][:1], 1)
-        for c in candidates(p):
-            if not c["thai"]:
-                add("before", c["before"] + c["mark"][:1], 0)
-                add("after", c["after"], 0)
+    for side, tokens, edge in (("before", before, 0), ("after", after, 0), ("before", [t[1:] for t in edges if t[0] == "b"], 1), ("after", [t[1:] for t in edges if t[0] == "a"], 1)):
+        for t in tokens:
+            if t:
+                x = seen.setdefault((side, t), [0, 0])
+                x[0] += 1
+                x[1] += edge
     return [(s, t, n, e) for (s, t), (n, e) in seen.items()]
 
 
@@ -207,10 +248,10 @@ class Vocabulary:
                 n, e = totals.get(side, (0, 0))
             self.rate[side] = min(0.9, max(0.01, e / n)) if n else 0.2
 
-    def plus(self, rows: Iterable[tuple[str, str, int, int]]) -> "Vocabulary":
+    def plus(self, more: dict[tuple[str, str], tuple[int, int]]) -> "Vocabulary":
         """The same with the counts of further tokens; rates stay."""
         v = copy.copy(self)
-        v.more = {(s, t): (n, e) for s, t, n, e in rows}
+        v.more = more
         return v
 
     def least_never(self, side: str) -> int:
@@ -227,42 +268,44 @@ class Vocabulary:
         return "some" if e else "unseen"
 
 
-def features(c: dict, p: str, v: Vocabulary) -> list[str]:
-    before, after = c["before"], c["after"]
-    word = before.rstrip(".")
-    nxt = p[c["next"]]
-    case = "lower" if nxt.islower() else "upper" if nxt.isupper() else "digit" if nxt.isdigit() else "open" if nxt in _OPEN else "none" if nxt.isalpha() else "sign"
-    period = c["mark"] == "."
-    end, start = v.standing("before", before + c["mark"][:1]), v.standing("after", after)
-    short = "known" if word in ABBREVIATIONS else "letter" if len(word) == 1 and word.isalpha() else "inner" if "." in word else "digits" if word[:1].isdigit() else f"len{min(len(word), 5)}"
-    quote = "no" if c["quote"] is None else "whole" if not p[: max(c["quote"], 0)].strip() or re.search(r"[.!?。！？؟।…][”»」』\"’)）\]\d\[]*\s*\Z", p[: max(c["quote"], 0)]) else "colon" if re.search(r"[:：,，、]\s*\Z", p[: max(c["quote"], 0)]) else "within"
-    mark = "period" if period else "dots" if c["mark"][:1] in ".…" and len(c["mark"]) > 1 or c["mark"][:1] == "…" else c["mark"][-1]
+def features(before: str, after: str, shape: str, v: Vocabulary) -> list[str]:
+    if not before and not after:
+        return ["bias", f"place={shape}"]
+    end, start = v.standing("before", before), v.standing("after", after)
+    mark, case, short, script, quote = shape.split(" ")
+    kind = "period" if mark == "period" else "other"
     return [
         "bias",
         f"mark={mark}",
-        f"end={end}|{'period' if period else 'other'}",
+        f"end={end}|{kind}",
         f"start={start}",
         f"case={case}",
         f"case={case}|start={start}",
-        f"short={short}|{'period' if period else 'other'}",
-        f"short={short}|end={end}" if period else "other mark",
-        f"script={_script(nxt)}",
+        f"short={short}|{kind}",
+        f"short={short}|end={end}" if mark == "period" else "other mark",
+        f"script={script}",
         f"quote={quote}|start={start}",
         f"quote={quote}|case={case}",
     ]
 
 
-def label(c: dict, p: str, v: Vocabulary) -> int | None:
+#: Labels of candidates without tokens, as they hold in all corpora.
+CERTAIN = {"inside": 0, "thai inside": 0, "thai number": 0, "thai": 1}
+
+
+def label(before: str, after: str, shape: str, v: Vocabulary) -> int | None:
     """1 or 0 for reliable boundaries and what is none; None where it isn't sure."""
-    end, start = v.standing("before", c["before"] + c["mark"][:1]), v.standing("after", c["after"])
-    nxt = p[c["next"]]
-    if start == "never" or (nxt.islower() and start != "often"):
+    if not before and not after:
+        return CERTAIN[shape]
+    end, start = v.standing("before", before), v.standing("after", after)
+    mark, case, *_ = shape.split(" ")
+    if start == "never" or (case == "lower" and start != "often"):
         return 0
-    if c["mark"] == "." and end == "never":
+    if mark == "period" and end == "never":
         return 0
     if end in ("often", "some") and start == "often":
         return 1
-    if c["mark"] != "." and start == "often":
+    if mark != "period" and start == "often":
         return 1
     return None
 
@@ -307,45 +350,88 @@ class MaxEnt:
         return self.scores[key]
 
 
-def split(text: str | None, v: Vocabulary, model: MaxEnt) -> list[tuple[int, int]]:
-    """Places of a text's sentences."""
-    if not text:
-        return []
+class Decider:
+    """The model with the counts; remembers what it decided on candidates that look alike."""
+
+    def __init__(self, v: Vocabulary, model: MaxEnt):
+        self.v, self.model = v, model
+        self.known: dict[tuple[str, str, str], bool] = {}
+
+    def __call__(self, before: str, after: str, shape: str, more: dict | None = None) -> bool:
+        if more and (("before", before) in more or ("after", after) in more):
+            return self.model.score(features(before, after, shape, self.v.plus(more))) > 0
+        k = (before, after, shape)
+        if k not in self.known:
+            if len(self.known) > 500_000:
+                self.known.clear()
+            self.known[k] = self.model.score(features(before, after, shape, self.v)) > 0
+        return self.known[k]
+
+
+def pieces(begins, ends, cuts, nexts, before, after, shape, decide: Callable, more: dict | None = None) -> list[tuple[int, int]]:
+    """Places of a described text's sentences."""
     out = []
-    for a, b in paragraphs(text):
-        p = text[a:b]
-        at = 0
-        for c in sorted(candidates(p), key=lambda c: c["end"]):
-            if c["end"] > at and (c["thai"] or model.score(features(c, p, v)) > 0):
-                out.append((a + at, a + c["end"]))
-                at = c["next"]
-        if at < len(p):
-            out.append((a + at, b))
+    k, n = 0, len(cuts)
+    for a, b in zip(begins, ends):
+        at = a
+        while k < n and cuts[k] < b:
+            if cuts[k] > at and decide(before[k], after[k], shape[k], more):
+                out.append((at, cuts[k]))
+                at = nexts[k]
+            k += 1
+        if at < b:
+            out.append((at, b))
     return out
 
 
-def train(texts: list[str], v: Vocabulary) -> MaxEnt:
+def split(text: str | None, v: Vocabulary, model: MaxEnt) -> list[tuple[int, int]]:
+    """Places of a text's sentences."""
+    *said, _ = described(text)
+    return pieces(*said, Decider(v, model))
+
+
+def train(seen: Iterable[tuple[str, str, str]], v: Vocabulary) -> MaxEnt:
+    """The model of candidates (before, after, shape)."""
     rows, labels = [], []
-    for t in texts:
-        for a, b in paragraphs(t):
-            p = t[a:b]
-            for c in candidates(p):
-                if not c["thai"] and (y := label(c, p, v)) is not None:
-                    rows.append(features(c, p, v))
-                    labels.append(y)
+    for c in [*(("", "", s) for s in CERTAIN for _ in range(20)), *seen]:
+        if (y := label(*c, v)) is not None:
+            rows.append(features(*c, v))
+            labels.append(y)
     return MaxEnt().fit(rows, labels)
 
 
-def tallies(pages: DataFrame, text_col: str = "content") -> DataFrame:
-    """(side, token, n, edge): the counts of all tokens over all texts."""
+SAID = "row long, begin array<int>, end array<int>, cut array<int>, next array<int>, before array<string>, after array<string>, shape array<string>, edge array<string>"
+
+
+def lines_of(pages: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, row, what described gives) of the texts that aren't blank; row tells rows of one id apart."""
+    kind = pages.schema[id_col].dataType.simpleString()
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in frames:
-            rows = [r for t in pdf["text"] if t for r in counts(t)]
-            yield pd.DataFrame(rows, columns=["side", "token", "n", "edge"]).groupby(["side", "token"], as_index=False).sum()
+            said = [described(t) for t in pdf["text"]]
+            out = pdf[["id", "row"]].copy()
+            for k, name in enumerate(("begin", "end", "cut", "next", "before", "after", "shape", "edge")):
+                out[name] = [x[k] for x in said]
+            yield out
 
-    votes = spread(pages.select(F.col(text_col).cast("string").alias("text"))).mapInPandas(run, "side string, token string, n long, edge long")
-    return votes.groupBy("side", "token").agg(F.sum("n").alias("n"), F.sum("edge").alias("edge"))
+    src = spread(pages.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).where(F.col("text").rlike(r"\S")))
+    return src.select("id", F.monotonically_increasing_id().alias("row"), "text").mapInPandas(run, f"id {kind}, {SAID}")
+
+
+def _tokens() -> Column:
+    """The tokens of a described text's candidates, with a or b before them."""
+    told = lambda side, tokens: F.transform(F.filter(tokens, lambda t: t != ""), lambda t: F.concat(F.lit(side), t))
+    return F.concat(told("b", F.col("before")), told("a", F.col("after")))
+
+
+def tallies(said: DataFrame) -> DataFrame:
+    """(side, token, n, edge): the counts of all tokens over all texts."""
+    each = said.select(F.explode(F.concat(F.transform(_tokens(), lambda t: F.concat(F.lit("0"), t)), F.transform("edge", lambda t: F.concat(F.lit("1"), t)))).alias("t"))
+    votes = each.groupBy("t").agg(F.count("*").alias("n"))
+    side = F.when(F.substring("t", 2, 1) == "a", "after").otherwise("before")
+    edge = F.when(F.substring("t", 1, 1) == "1", F.col("n")).otherwise(F.lit(0))
+    return votes.select(side.alias("side"), F.expr("substring(t, 3)").alias("token"), "n", edge.alias("edge")).groupBy("side", "token").agg(F.sum("n").alias("n"), F.sum("edge").alias("edge"))
 
 
 def vocabulary(votes: DataFrame, least_share: float = LEAST_SHARE) -> tuple[Vocabulary, DataFrame | None]:
@@ -365,54 +451,43 @@ def vocabulary(votes: DataFrame, least_share: float = LEAST_SHARE) -> tuple[Voca
     return v, used.where(F.col("n") < least) if least > 2 else None
 
 
-def asked(text: str, v: Vocabulary) -> set[tuple[str, str]]:
-    """(side, token) of a text's candidates that aren't among the frequent ones."""
-    out = set()
-    for a, b in paragraphs(text):
-        for c in candidates(text[a:b]):
-            if not c["thai"]:
-                out |= {("before", c["before"] + c["mark"][:1]), ("after", c["after"])}
-    return out - v.seen.keys()
-
-
-def looked_up(texts: DataFrame, v: Vocabulary, rare: DataFrame) -> DataFrame:
-    """(key, more): the counts of the rarer tokens of each text of (key, text); a rare token joins few rows."""
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in frames:
-            rows = [(k, s, t) for k, text in zip(pdf["key"], pdf["text"]) for s, t in asked(text, v)]
-            yield pd.DataFrame(rows, columns=["key", "side", "token"])
-
-    wanted = texts.mapInPandas(run, "key binary, side string, token string")
-    return wanted.join(rare, ["side", "token"]).groupBy("key").agg(F.collect_set(F.struct("side", "token", "n", "edge")).alias("more"))
+def looked_up(said: DataFrame, rare: DataFrame) -> DataFrame:
+    """(row, more): the counts of the rarer tokens of each text."""
+    wanted = said.select("row", F.explode(F.array_distinct(_tokens())).alias("t"))
+    keyed = rare.select(F.concat(F.substring("side", 1, 1), "token").alias("t"), F.struct("side", "token", "n", "edge").alias("x"))
+    return wanted.join(keyed, "t").groupBy("row").agg(F.collect_list("x").alias("more"))
 
 
-def sample(pages: DataFrame, id_col: str, text_col: str, n: int) -> list[str]:
-    """Texts of the n pages of smallest hash; bounded by n."""
-    rows = pages.where(F.length(F.trim(text_col)) > 0).select(F.col(text_col).alias("c"), F.xxhash64(F.col(id_col)).alias("h")).orderBy("h").limit(n).collect()
-    return [r.c for r in rows]
+def sample(said: DataFrame, n: int) -> list[tuple[str, str, str]]:
+    """The candidates of the n texts of smallest hash; bounded by n."""
+    rows = said.select("before", "after", "shape", F.xxhash64("id", "begin").alias("h")).orderBy("h").limit(n).collect()
+    return [c for r in rows for c in zip(r.before, r.after, r["shape"])]
 
 
 def sentences(pages: DataFrame, id_col: str = "page_id", text_col: str = "content", sample_pages: int = SAMPLE_PAGES, least_share: float = LEAST_SHARE) -> DataFrame:
     """(page_id, char_start, char_end), one row per sentence."""
-    v, rare = vocabulary(cut(tallies(pages, text_col)), least_share)
-    texts = sample(pages, id_col, text_col, sample_pages)
+    spark = pages.sparkSession
+    said = cut(lines_of(pages, id_col, text_col))
+    v, rare = vocabulary(cut(tallies(said)), least_share)
+    seen = sample(said, sample_pages)
     known = v
     if rare is not None:
-        tokens = pages.sparkSession.createDataFrame(sorted(set().union(*(asked(t, v) for t in texts))), "side string, token string")
-        known = v.plus(tuple(r) for r in tokens.join(rare, ["side", "token"]).select("side", "token", "n", "edge").collect())
-    model = train(texts, known)
+        tokens = spark.createDataFrame(sorted({x for b, a, _ in seen for x in (("before", b), ("after", a))}), "side string, token string")
+        known = v.plus({(r.side, r.token): (r.n, r.edge) for r in tokens.join(rare, ["side", "token"]).collect()})
+    shared = spark.sparkContext.broadcast((v, train(seen, known)))
     kind = pages.schema[id_col].dataType.simpleString()
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        decide = Decider(*shared.value)
         for pdf in frames:
+            rows = []
             more = pdf["more"] if "more" in pdf else itertools.repeat(None)
-            rows = [(i, a, b) for i, t, m in zip(pdf["id"], pdf["text"], more) for a, b in split(t, v if m is None else v.plus((x["side"], x["token"], x["n"], x["edge"]) for x in m), model)]
+            for i, *x, m in zip(pdf["id"], *(pdf[c] for c in ("begin", "end", "cut", "next", "before", "after", "shape")), more):
+                rare_ = None if m is None else {(r["side"], r["token"]): (r["n"], r["edge"]) for r in m}
+                rows += [(i, a, b) for a, b in pieces(*(y.tolist() for y in x), decide, rare_)]
             yield pd.DataFrame(rows, columns=["id", "char_start", "char_end"])
 
-    src = spread(pages.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")))
+    src = said.drop("edge")
     if rare is not None:
-        # equal texts ask for the same tokens, so the key is the text's digest
-        src = src.where("text <> ''").withColumn("key", F.unhex(F.sha2("text", 256)))
-        src = src.join(looked_up(src.select("key", "text"), v, rare), "key", "left").drop("key")
+        src = src.join(looked_up(said, rare), "row", "left")
     return src.mapInPandas(run, f"id {kind}, char_start int, char_end int").withColumnRenamed("id", id_col)

@@ -60,13 +60,14 @@ def test_no_token_goes_without_its_counts(spark):
     v = sentences.Vocabulary([(*k, *c) for k, c in summed.items()])
     assert v.standing("before", "qvt.") == "never"
     df = spark.createDataFrame(list(enumerate(texts)), "page_id long, content string")
-    model = sentences.train(sentences.sample(df, "page_id", "content", 600), v)
+    seen = [c for t in texts for c in zip(*sentences.described(t)[4:7])]
+    model = sentences.train(seen, v)
     want = sorted((i, a, b) for i, t in enumerate(texts) for a, b in sentences.split(t, v, model))
     assert len(want) == 2 * sum(t.count("Qvt.") for t in texts if t)
     for share in (0, 0.05, 1):  # all tokens go to all tasks, some, none
         assert rows(sentences.sentences(df, least_share=share)) == want
     none = sentences.Vocabulary([])
-    model = sentences.train([t for t in texts if t], none)
+    model = sentences.train(seen, none)
     assert sorted((i, a, b) for i, t in enumerate(texts) for a, b in sentences.split(t, none, model)) != want
 
 
