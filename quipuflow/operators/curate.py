@@ -89,8 +89,3 @@ def distinct_triples(df: DataFrame, ord_col: str = "ord") -> DataFrame:
     k = [F.coalesce(F.col(c), F.lit("")).alias(c) for c in ("head", "type", "tail")]
     first = df.select(*k, F.col(ord_col).alias("_o")).groupBy("head", "type", "tail").agg(F.min("_o").alias("_o")).select("_o")
     return df.join(first, df[ord_col] == first["_o"], "left_semi")
-
-
-def repeated(df: DataFrame) -> Column:
-    """Rows beyond the first of each triple, as an aggregate."""
-    return F.count("*") - F.count_distinct(*[F.coalesce(F.col(c), F.lit("")) for c in ("head", "type", "tail")])

@@ -51,8 +51,11 @@ def extended(df: DataFrame) -> DataFrame:
     return df.select(*[F.coalesce(shown(c), F.lit("")).alias(n) for c, n in names])
 
 
-def entity_report(df: DataFrame, ord_col: str = "ord") -> DataFrame:
-    """Per entity: first-seen type, appearances as head and as value, distinct relations of either role."""
+def entity_report(df: DataFrame, ord_col: str = "ord", placed: bool = False) -> DataFrame:
+    """Per entity: first-seen type, appearances as head and as value, distinct relations of either role.
+
+    placed: with _o, where the entity appears first, a head before the tail of its triple.
+    """
     rel = F.coalesce(F.col("type"), F.lit(""))
     role = lambda c, t, k: F.struct(strip(F.coalesce(F.col(c), F.lit(""))).alias("e"), F.coalesce(F.col(t), F.lit("")).alias("t"), F.lit(k).alias("k"))
     rows = df.select(F.col(ord_col).alias("o"), rel.alias("rel"), F.explode(F.array(role("head", "head_type", 0), role("tail", "tail_type", 1))).alias("x"))
@@ -68,31 +71,33 @@ def entity_report(df: DataFrame, ord_col: str = "ord") -> DataFrame:
         F.count_if(F.col("tails") > 0).alias("relaciones_unicas_como_valor"),
         F.count("*").alias("total_relaciones_unicas"),
     )
-    return out.select(F.col("e").alias("entidad"), F.col("first.t").alias("tipo"), "como_entidad", "como_valor", "apariciones_totales", "relaciones_unicas_como_entidad", "relaciones_unicas_como_valor", "total_relaciones_unicas")
-
+    cols = [F.col("e").alias("entidad"), F.col("first.t").alias("tipo"), "como_entidad", "como_valor", "apariciones_totales", "relaciones_unicas_como_entidad", "relaciones_unicas_como_valor", "total_relaciones_unicas"]
+    return out.select(*cols, F.struct("first.o", "first.k").alias("_o")) if placed else out.select(*cols)
 
-def _modal(df: DataFrame, value: Column, name: str) -> DataFrame:
-    """(type, name): each relation's most frequent value, ties by first appearance."""
-    n = df.groupBy("type", value.alias(name)).agg(F.count("*").alias("n"), F.min("o").alias("o"))
-    return n.groupBy("type").agg(F.max_by(name, F.struct(F.col("n"), (-F.col("o")).alias("o"))).alias(name))
 
+def relation_report(df: DataFrame, ord_col: str = "ord", placed: bool = False) -> DataFrame:
+    """Per relation: count, share of all triples in percent, most common types. Blank relations are left out.
 
-def relation_report(df: DataFrame, ord_col: str = "ord") -> DataFrame:
-    """Per relation: count, share of all triples in percent, most common types. Blank relations are left out."""
+    placed: with _o, where the relation appears first.
+    """
     text = lambda c: F.coalesce(F.col(c), F.lit(""))
     rows = df.select(F.col(ord_col).alias("o"), strip(text("type")).alias("type"), text("head_type").alias("ht"), text("tail_type").alias("tt"))
-    # all modes come from the counts of (relation, types), which are few
+    # all counts at once, of sets of columns; then one row per relation, and the total of all from the empty relation up
+    sets = [["type", "ht"], ["type", "tt"], ["type", "ht", "tt"], ["type"]]
     some = rows.groupBy("type", "ht", "tt").agg(F.count("*").alias("n"), F.min("o").alias("o"))
-
-    def modal(cols: list[str], name: str, value: Column) -> DataFrame:
-        n = some.groupBy("type", *cols).agg(F.sum("n").alias("n"), F.min("o").alias("o"))
-        return n.groupBy("type").agg(F.max_by(value, F.struct(F.col("n"), (-F.col("o")).alias("o"))).alias(name))
-
-    per = some.groupBy("type").agg(F.sum("n").alias("cantidad"))
-    total = some.agg(F.sum("n").alias("total"))
-    out = per.where("type <> ''").join(modal(["ht"], "tipo_entidad_mas_comun", F.col("ht")), "type").join(modal(["tt"], "tipo_valor_mas_comun", F.col("tt")), "type")
-    out = out.join(modal(["ht", "tt"], "par_tipos_mas_comun", F.concat_ws(" -> ", "ht", "tt")), "type").join(F.broadcast(total))
-    return out.select(F.col("type").alias("relacion"), "cantidad", F.bround(F.col("cantidad") * 100.0 / F.col("total"), 2).alias("porcentaje"), "tipo_entidad_mas_comun", "tipo_valor_mas_comun", "par_tipos_mas_comun")
+    counted = some.groupingSets([[F.col(c) for c in s] for s in sets], "type", "ht", "tt").agg(F.sum("n").alias("n"), F.min("o").alias("o"), F.grouping_id().alias("of"))
+    first = F.struct(F.col("n"), (-F.col("o")).alias("o"))
+    mode = lambda of, value: F.max_by(F.when(F.col("of") == of, value), F.when(F.col("of") == of, first))
+    per = counted.groupBy("type").agg(
+        F.max(F.when(F.col("of") == 3, F.col("n"))).alias("cantidad"),
+        F.min("o").alias("_o"),
+        mode(1, F.col("ht")).alias("tipo_entidad_mas_comun"),
+        mode(2, F.col("tt")).alias("tipo_valor_mas_comun"),
+        mode(0, F.concat_ws(" -> ", "ht", "tt")).alias("par_tipos_mas_comun"),
+    )
+    out = per.join(F.broadcast(per.agg(F.sum("cantidad").alias("total")))).where("type <> ''")
+    cols = [F.col("type").alias("relacion"), "cantidad", F.bround(F.col("cantidad") * 100.0 / F.col("total"), 2).alias("porcentaje"), "tipo_entidad_mas_comun", "tipo_valor_mas_comun", "par_tipos_mas_comun"]
+    return out.select(*cols, "_o") if placed else out.select(*cols)
 
 
 def country_report(df: DataFrame, ord_col: str = "ord") -> DataFrame:

@@ -3,7 +3,8 @@
 The similarity of two normal forms is 0.6 of their tokens' Jaccard index and 0.4 of their matching
 ratio. At a threshold t, two different names need a Jaccard index of at least (t - 0.4) / 0.6, so
 pairs are found by an equi-join on their rarest tokens and never by comparing a block with itself.
-Blocks with more than four windows' entities compare neighbours in (length, name) order only.
+All similar pairs are found. With a window given, blocks with more than four windows' entities compare
+neighbours in (length, name) order only, which loses pairs; the original does so with WINDOW.
 
 Leaders are the greedy choice in that order: an entity that isn't similar to an earlier leader leads.
 This is the first maximal independent set of the similarity graph, found in rounds over its edges.
@@ -25,6 +26,7 @@ from quipuflow.functions.text import normalize_entity, strip
 from quipuflow.session import cut
 
 THRESHOLD = 0.85
+#: The original's window; none is the default here.
 WINDOW = 50
 #: Words of formal names.
 FORMAL = ("república", "estado", "ciudad", "provincia", "departamento")
@@ -57,7 +59,8 @@ def entities(triples: DataFrame) -> DataFrame:
 
 def exact_map(ents: DataFrame) -> DataFrame:
     """(entity, norm, representative): the best name of each normal form, by partial aggregation."""
-    e = ents.withColumn("norm", normalize_entity(F.col("entity")))
+    # one shuffle for the groups and the join, behind which names aren't normalized anew
+    e = ents.withColumn("norm", normalize_entity(F.col("entity"))).repartition("norm")
     best = e.groupBy("norm").agg(F.min_by("entity", F.struct(-name_score(F.col("entity")), F.length("entity"), F.lower("entity"), F.col("entity"))).alias("representative"))
     return e.join(best, "norm")
 
@@ -89,7 +92,7 @@ def _ratio(pairs: DataFrame, threshold: float) -> DataFrame:
     return pairs.select("block", "a", "b", "na", "nb", "jaccard").mapInPandas(run, "block string, a long, b long, similarity double")
 
 
-def candidates(ents: DataFrame, threshold: float = THRESHOLD, window: int = WINDOW) -> tuple[DataFrame, DataFrame]:
+def candidates(ents: DataFrame, threshold: float = THRESHOLD, window: int | None = None) -> tuple[DataFrame, DataFrame]:
     """(positions, pairs) of exact representatives: block, pos, entity, norm; block, a < b, na, nb, jaccard.
 
     All pairs of a block, within the window, whose Jaccard index lets them reach the threshold.
@@ -99,7 +102,6 @@ def candidates(ents: DataFrame, threshold: float = THRESHOLD, window: int = WIND
     reps = exact_map(ents).where("entity = representative").select("entity", "norm")
     reps = reps.withColumn("block", F.coalesce(F.nullif(F.substring("norm", 1, 1), F.lit("")), F.lit("z"))).withColumn("len", F.length("norm"))
     pos = cut(ranked(reps, ["block"], ["len", "norm"]))
-    size = pos.groupBy("block").agg(F.count("*").alias("size"))
     toks = F.array_distinct(F.filter(F.split("norm", r"[^\p{L}\p{N}_]+"), lambda t: t != ""))
     need = (threshold - 0.4) / 0.6
     # prefix filter: two sets with a Jaccard index of j share one of the first n - ceil(j n) + 1 tokens, rarest first
@@ -108,14 +110,16 @@ def candidates(ents: DataFrame, threshold: float = THRESHOLD, window: int = WIND
     order = long.join(freq, "t").groupBy("block", "pos", "n").agg(F.sort_array(F.collect_list(F.struct("f", "t"))).alias("ts"))
     pre = order.select("block", "pos", F.explode(F.slice("ts", F.lit(1), (F.col("n") - F.ceil(F.col("n") * need) + 1).cast("int"))).alias("x")).select("block", "pos", "x.t")
     met = pre.select("block", "t", F.col("pos").alias("a")).join(pre.select("block", "t", F.col("pos").alias("b")), ["block", "t"]).where("a < b").select("block", "a", "b").distinct()
-    met = met.join(size, "block").where((F.col("size") <= 4 * window) | (F.col("b") - F.col("a") <= window))
+    if window is not None:
+        size = pos.groupBy("block").agg(F.count("*").alias("size"))
+        met = met.join(size, "block").where((F.col("size") <= 4 * window) | (F.col("b") - F.col("a") <= window))
     side = pos.select("block", "pos", "norm", toks.alias("toks"))
     met = met.join(side.select("block", F.col("pos").alias("a"), F.col("norm").alias("na"), F.col("toks").alias("ta")), ["block", "a"]).join(side.select("block", F.col("pos").alias("b"), F.col("norm").alias("nb"), F.col("toks").alias("tb")), ["block", "b"])
     j = F.size(F.array_intersect("ta", "tb")) / F.size(F.array_union("ta", "tb"))
     return pos, met.withColumn("jaccard", j).where(F.col("jaccard") >= need)
 
 
-def similar(ents: DataFrame, threshold: float = THRESHOLD, window: int = WINDOW) -> tuple[DataFrame, DataFrame]:
+def similar(ents: DataFrame, threshold: float = THRESHOLD, window: int | None = None) -> tuple[DataFrame, DataFrame]:
     """(positions, edges) of exact representatives: block, pos, entity, norm; block, a < b, similarity."""
     pos, pairs = candidates(ents, threshold, window)
     return pos, _ratio(pairs, threshold)
@@ -138,7 +142,7 @@ def leaders(edges: DataFrame) -> DataFrame:
     return member.groupBy("block", "b").agg(F.min("a").alias("a"))
 
 
-def entity_map(triples: DataFrame, threshold: float = THRESHOLD, window: int = WINDOW) -> DataFrame:
+def entity_map(triples: DataFrame, threshold: float = THRESHOLD, window: int | None = None) -> DataFrame:
     """(original, representative) of the entities whose name changes; single lookups, not transitive."""
     ents = cut(entities(triples))
     exact = exact_map(ents).where("entity <> representative").select(F.col("entity").alias("original"), "representative")

@@ -120,7 +120,7 @@ def valid(df: DataFrame, cfg: RuleConfig = RuleConfig()) -> DataFrame:
 
 
 def strict_valid(cfg: RuleConfig = RuleConfig(min_confidence=0.5)) -> Column:
-    """The stricter yes-or-no validator: nothing stripped, and dates of implausible centuries rejected."""
+    """The stricter yes-or-no validator: nothing stripped but in comparing head and tail, and dates of implausible centuries rejected."""
     h, t = F.coalesce(F.col("head"), F.lit("")), F.coalesce(F.col("tail"), F.lit(""))
     r = F.coalesce(F.col("type"), F.lit(""))
     ht, tt = F.coalesce(F.col("head_type"), F.lit("")), F.coalesce(F.col("tail_type"), F.lit(""))
@@ -134,7 +134,7 @@ def strict_valid(cfg: RuleConfig = RuleConfig(min_confidence=0.5)) -> Column:
     if cfg.incompatible_pairs:
         ok &= ~pair.isin(*["\u001f".join(p) for p in cfg.incompatible_pairs])
     if cfg.self_pairs:
-        ok &= ~((F.lower(h) == F.lower(t)) & pair.isin(*["\u001f".join(p) for p in cfg.self_pairs]))
+        ok &= ~((strip(F.lower(h)) == strip(F.lower(t))) & pair.isin(*["\u001f".join(p) for p in cfg.self_pairs]))
     for rel, allowed in cfg.compatibility.items():
-        ok &= ~((r == rel) & ~ht.isin(*allowed) & ~tt.isin(*allowed))
+        ok &= ~((r == rel) & (ht != "") & (tt != "") & ~ht.isin(*allowed) & ~tt.isin(*allowed))
     return ok & ~((tt == "date") & t.rlike(r"(?U)\b(1[2-4][0-9]{2}|21[1-9][0-9]|22[0-9]{2})\b"))

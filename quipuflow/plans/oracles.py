@@ -170,11 +170,22 @@ OBJECT = """regexp_full_match(trim(line, chr(9) || chr(10) || chr(13) || ' '), '
 
 
 def all_sql() -> dict[str, str]:
+    from quipuflow.operators.resolve import WINDOW
     from quipuflow.operators.rules import RuleConfig
-    from quipuflow.plans.queries import CONFIGURED
+    from quipuflow.plans.queries import CONFIGURED, STRICT
 
-    strict = RuleConfig(min_confidence=0.5, generic_entities=("mimbre", "cal"))
+    strict = STRICT
+    pairs = lambda ps: "(" + " OR ".join(f"(head_type = {q(a)} AND tail_type = {q(b)})" for a, b in ps) + ")"
     told = reasons_sql(CONFIGURED)
+    similar = rf"""WITH r AS (SELECT norm, coalesce(nullif(substring(norm, 1, 1), ''), 'z') AS b, length(norm) AS n, list_distinct(list_filter(regexp_split_to_array(norm, '[^\p{{L}}\p{{N}}_]+'), lambda t: t <> '')) AS t
+        FROM (SELECT DISTINCT {norm('entity')} AS norm FROM ({ENTITIES}))),
+      o AS (SELECT *, row_number() OVER (PARTITION BY b ORDER BY n, norm) AS nth, count(*) OVER (PARTITION BY b) AS size FROM r),
+      p AS (SELECT x.norm AS na, y.norm AS nb, x.nth AS nth_a, y.nth AS nth_b, x.size AS size, len(list_intersect(x.t, y.t)) AS i, len(x.t) + len(y.t) AS u FROM o x JOIN o y ON x.b = y.b AND x.nth < y.nth WHERE len(x.t) > 0 AND len(y.t) > 0)
+      SELECT na, nb, round(i / (u - i)::DOUBLE, 6) AS jaccard FROM p WHERE i / (u - i)::DOUBLE >= (0.85::DOUBLE - 0.4::DOUBLE) / 0.6::DOUBLE"""
+    curated = f"""WITH ok AS (SELECT t.* FROM triples t JOIN ({reasons_sql(RuleConfig())}) r USING (triple_id) WHERE r.reasons = ''),
+      m AS ({EXACT.replace('FROM triples', 'FROM ok')}), k AS (SELECT * FROM m WHERE entity <> representative),
+      n AS (SELECT triple_id, {norm('coalesce(a.representative, ok.head)')} AS head, type, {norm('coalesce(b.representative, ok.tail)')} AS tail, confidence FROM ok LEFT JOIN k a ON a.entity = ok.head LEFT JOIN k b ON b.entity = ok.tail),
+      u AS ({fold_sql(FOLD.replace('FROM triples', 'FROM n'))})"""
     text = lambda c: f"coalesce({c}, '')"
     modal = lambda cols, value: f"(SELECT type, arg_max({value}, [n, -o]) AS v FROM (SELECT type, {cols}, sum(n) AS n, min(o) AS o FROM grouped GROUP BY type, {cols}) GROUP BY type)"
     names = "[" + ", ".join(q(c) for c in COUNTRIES) + "]"
@@ -189,6 +200,9 @@ def all_sql() -> dict[str, str]:
         "strict_valid": f"""SELECT triple_id FROM triples WHERE NOT (confidence IS NOT NULL AND NOT isnan(confidence) AND confidence < 0.5::DOUBLE)
             AND length({text('head')}) BETWEEN 2 AND 100 AND length({text('tail')}) BETWEEN 2 AND 100
             AND lower({text('head')}) NOT IN {inlist(strict.generic_entities)} AND lower({text('tail')}) NOT IN {inlist(strict.generic_entities)}
+            AND lower({text('type')}) NOT IN {inlist(strict.filtered_relations)} AND NOT coalesce({pairs(strict.incompatible_pairs)}, false)
+            AND NOT coalesce({strip(f"lower({text('head')})")} = {strip(f"lower({text('tail')})")} AND {pairs(strict.self_pairs)}, false)
+            AND {" AND ".join(f"NOT ({text('type')} = {q(rel)} AND {text('head_type')} <> '' AND {text('tail_type')} <> '' AND head_type NOT IN {inlist(ok)} AND tail_type NOT IN {inlist(ok)})" for rel, ok in strict.compatibility.items())}
             AND NOT ({text('tail_type')} = 'date' AND regexp_matches({text('tail')}, '(^|[^\\p{{L}}\\p{{N}}_])(1[2-4][0-9]{{2}}|21[1-9][0-9]|22[0-9]{{2}})($|[^\\p{{L}}\\p{{N}}_])'))""",
         "normalized_entities": f"SELECT entity, {norm('entity')} AS norm FROM ({ENTITIES})",
         "exact_entity_map": EXACT,
@@ -214,17 +228,15 @@ def all_sql() -> dict[str, str]:
             SELECT c, count(*) AS n, (SELECT count(DISTINCT z) FROM (SELECT head AS z FROM r i WHERE i.c = r.c UNION ALL SELECT tail FROM r i WHERE i.c = r.c) WHERE z <> '') AS e,
             count(DISTINCT type) FILTER (type <> '') AS l, arg_min({{'h': {text('head')}, 'r': {text('type')}, 't': {text('tail')}}}, triple_id) AS x FROM r WHERE c IS NOT NULL GROUP BY c)""",
         "export_basic": f"""SELECT * FROM (SELECT {strip(text('head'))} AS entidad, {strip(text('type'))} AS relacion, {strip(text('tail'))} AS valor FROM triples) WHERE entidad <> '' AND relacion <> '' AND valor <> ''""",
-        "export_extended": f"""SELECT {text('head')} AS entidad, {text('head_type')} AS tipo_entidad, {text('type')} AS relacion, {text('tail')} AS valor, {text('tail_type')} AS tipo_valor, '' AS confianza,
+        "export_extended": f"""SELECT {text('head')} AS entidad, {text('head_type')} AS tipo_entidad, {text('type')} AS relacion, {text('tail')} AS valor, {text('tail_type')} AS tipo_valor, coalesce(confidence::VARCHAR, '') AS confianza,
             {text('source_file')} AS archivo_fuente, coalesce(chunk_index::VARCHAR, '') AS indice_chunk FROM triples""",
         "export_filtered": f"""SELECT triple_id FROM triples WHERE NOT isnan(coalesce(confidence, 0)) AND coalesce(confidence, 0) >= 0.6::DOUBLE AND (head_type IN ('per', 'org') OR tail_type IN ('per', 'org'))
             AND type IN ('country', 'spouse', 'capital', 'country of citizenship') AND (""" + " OR ".join(f"contains(lower({text(c)}), {q(n)})" for n in ("méxico", "perú", "chile", "cuba") for c in ("head", "tail")) + ")",
         "source_counts": "SELECT source_file, count(*) AS n FROM triples GROUP BY source_file",
         "category_counts": "SELECT replace(c, 'Categoría:', '') AS category, count(*) AS n FROM (SELECT unnest(categories) AS c FROM raw_pages) GROUP BY 1",
         "graph_nodes": "SELECT id, min(label) AS label FROM (SELECT head AS id, head_type AS label FROM triples UNION ALL SELECT tail, tail_type FROM triples) WHERE id IS NOT NULL GROUP BY id",
-        "quality_stats": f"""WITH ok AS (SELECT t.* FROM triples t JOIN ({reasons_sql(RuleConfig())}) r USING (triple_id) WHERE r.reasons = ''),
-            m AS ({EXACT.replace('FROM triples', 'FROM ok')}), k AS (SELECT * FROM m WHERE entity <> representative),
-            n AS (SELECT triple_id, {norm('coalesce(a.representative, ok.head)')} AS head, type, {norm('coalesce(b.representative, ok.tail)')} AS tail, confidence FROM ok LEFT JOIN k a ON a.entity = ok.head LEFT JOIN k b ON b.entity = ok.tail),
-            u AS ({fold_sql(FOLD.replace('FROM triples', 'FROM n'))}),
+        "quality_triples": f"{curated} SELECT triple_id, head, type, tail FROM n JOIN u ON u.o = n.triple_id QUALIFY row_number() OVER (PARTITION BY coalesce(head, ''), coalesce(type, ''), coalesce(tail, '') ORDER BY triple_id) = 1",
+        "quality_stats": f"""{curated},
             f AS (SELECT DISTINCT coalesce(head, ''), coalesce(type, ''), coalesce(tail, '') FROM n JOIN u ON u.o = n.triple_id)
             SELECT (SELECT count(*) FROM triples) AS initial, (SELECT count(*) FROM ok) AS validated, (SELECT count(*) FROM k) AS entity_mappings, (SELECT count(*) FROM u) AS after_uniqueness, (SELECT count(*) FROM f) AS final,
             round(((SELECT count(*) FROM triples) - (SELECT count(*) FROM f)) * 100.0::DOUBLE / (SELECT count(*) FROM triples), 2) AS reduction_percent""",
@@ -240,17 +252,15 @@ def all_sql() -> dict[str, str]:
         "simple_chunks": simple_chunk_sql(),
         "interim_chunks": f"""SELECT source AS source_file, CAST(i - 1 AS INTEGER) AS chunk_index, chunks[i] AS chunk FROM (SELECT source, chunks, unnest(range(1, len(chunks) + 1)) AS i FROM interim_docs) WHERE {strip("coalesce(chunks[i], '')")} <> ''""",
         "long_documents": f"SELECT doc_id FROM documents WHERE length({strip('text')}) >= 100",
-        "pending_pages": "SELECT page_id FROM raw_pages WHERE title IS NOT NULL AND title NOT IN (SELECT metadata.title FROM interim_docs WHERE metadata.title IS NOT NULL AND metadata.text_length >= 200)",
+        "pending_pages": "SELECT page_id FROM raw_pages WHERE title IS NULL OR title NOT IN (SELECT metadata.title FROM interim_docs WHERE metadata.title IS NOT NULL AND metadata.text_length >= 200)",
         "parsed_lines": "SELECT line_id, line->>'head' AS head, line->>'type' AS type, line->>'tail' AS tail FROM triple_lines WHERE json_valid(line) AND json_type(line) = 'OBJECT'",
         "parsed_triples": f"SELECT triple_id, head, head_type, type, tail, tail_type FROM triples WHERE {clean_cols}",
         "take_while": "SELECT c_custkey AS k FROM (SELECT *, max((c_mktsegment = 'BUILDING')::INT) OVER (PARTITION BY c_nationkey ORDER BY c_custkey) AS stopped FROM customer) WHERE stopped = 0",
         "capped_per_group": "SELECT o_orderkey FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS n FROM orders) WHERE n <= 3",
         "merged_sources": """WITH a AS (SELECT DISTINCT metadata.title AS source FROM interim_docs WHERE metadata.title IS NOT NULL), h AS (SELECT DISTINCT title AS source FROM web_pages WHERE title IS NOT NULL)
             SELECT source, 'api' AS origin FROM a UNION ALL SELECT source, 'html' FROM h WHERE source NOT IN (SELECT source FROM a)""",
-        "similar_tokens": rf"""WITH r AS (SELECT norm, coalesce(nullif(substring(norm, 1, 1), ''), 'z') AS b, length(norm) AS n, list_distinct(list_filter(regexp_split_to_array(norm, '[^\p{{L}}\p{{N}}_]+'), lambda t: t <> '')) AS t
-              FROM (SELECT DISTINCT {norm('entity')} AS norm FROM ({ENTITIES}))),
-            p AS (SELECT x.norm AS na, y.norm AS nb, len(list_intersect(x.t, y.t)) AS i, len(x.t) + len(y.t) AS u FROM r x JOIN r y ON x.b = y.b AND (x.n < y.n OR (x.n = y.n AND x.norm < y.norm)) WHERE len(x.t) > 0 AND len(y.t) > 0)
-            SELECT na, nb, round(i / (u - i)::DOUBLE, 6) AS jaccard FROM p WHERE i / (u - i)::DOUBLE >= (0.85::DOUBLE - 0.4::DOUBLE) / 0.6::DOUBLE""",
+        "similar_tokens": similar,
+        "similar_tokens_window": similar + f" AND (size <= {4 * WINDOW} OR nth_b - nth_a <= {WINDOW})",
         "chosen_content": f"""SELECT page_id, CASE WHEN length(w) > 200 THEN w ELSE e END AS text FROM (SELECT m.page_id, {plain('m.content')} AS w, {squeeze(sub(sub('r.content', chr(92) + '[.*?' + chr(92) + ']', ' '), '==+ .*? ==+', ' '))} AS e
             FROM markup_pages m LEFT JOIN raw_pages r USING (page_id))""",
         "interim_documents": f"SELECT doc_id::VARCHAR AS source, count(*)::INTEGER AS num_chunks, max(length(text))::INTEGER AS text_length FROM ({chunk_sql()}) c JOIN documents USING (doc_id) WHERE length({strip('text')}) >= 100 GROUP BY doc_id",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,6 +27,7 @@ CONFIGURED = rules.RuleConfig(
     temporal_relations=("winner", "participant", "performer"),
     year_patterns=(r"^\d{4}$", r"^\w+ \d{4}$"),
 )
+STRICT = replace(CONFIGURED, min_confidence=0.5, generic_entities=("mimbre", "cal"))
 UNIT = "\u001f"
 
 
@@ -46,7 +48,7 @@ def reason_histogram(spark, d):
 
 
 def strict_valid(spark, d):
-    return triples(spark, d).where(rules.strict_valid(rules.RuleConfig(min_confidence=0.5, generic_entities=("mimbre", "cal")))).select("triple_id")
+    return triples(spark, d).where(rules.strict_valid(STRICT)).select("triple_id")
 
 
 def normalized_entities(spark, d):
@@ -109,12 +111,7 @@ def export_basic(spark, d):
 
 
 def export_extended(spark, d):
-    """Only the part that its SQL states, without confidences; export_extended_whole is the export."""
-    return reports.extended(triples(spark, d).withColumn("confidence", F.lit(None).cast("double")))
-
-
-def export_extended_whole(spark, d):
-    """All eight columns of all triples; SQL prints doubles otherwise."""
+    """All eight columns of all triples."""
     return reports.extended(triples(spark, d))
 
 
@@ -141,6 +138,11 @@ def quality_pipeline(spark, d):
     return pipeline.quality(triples(spark, d)).triples.select("triple_id", "head", "type", "tail")
 
 
+def quality_triples(spark, d):
+    """The same with exact names only."""
+    return pipeline.quality(triples(spark, d), fuzzy=False).triples.select("triple_id", "head", "type", "tail")
+
+
 def quality_stats(spark, d):
     return pipeline.quality(triples(spark, d), fuzzy=False).stats
 
@@ -195,13 +197,6 @@ def long_documents(spark, d):
 
 
 def pending_pages(spark, d):
-    """Only the pages with a title, as its SQL states; pending_pages_whole has all."""
-    have = table(spark, d, "interim_docs").select(F.col("metadata.title").alias("title"), F.col("metadata.text_length").alias("cleaned_length"))
-    want = table(spark, d, "raw_pages").where("title is not null").select("page_id", "title")
-    return files.pending(want, have.where("title is not null"), "title").select("page_id")
-
-
-def pending_pages_whole(spark, d):
     """Pages of the raw table that no valid segmented document has yet; one without a title has none."""
     have = table(spark, d, "interim_docs").select(F.col("metadata.title").alias("title"), F.col("metadata.text_length").alias("cleaned_length"))
     return files.pending(table(spark, d, "raw_pages").select("page_id", "title"), have, "title").select("page_id")
@@ -254,7 +249,13 @@ def merged_sources(spark, d):
 
 def similar_tokens(spark, d):
     """Pairs of names similar enough by their tokens to be compared in full."""
-    pairs = resolve.candidates(resolve.entities(triples(spark, d)), window=1_000_000)[1]
+    pairs = resolve.candidates(resolve.entities(triples(spark, d)))[1]
+    return pairs.select("na", "nb", F.round("jaccard", 6).alias("jaccard"))
+
+
+def similar_tokens_window(spark, d):
+    """The same among the neighbours that the original compares."""
+    pairs = resolve.candidates(resolve.entities(triples(spark, d)), window=resolve.WINDOW)[1]
     return pairs.select("na", "nb", F.round("jaccard", 6).alias("jaccard"))
 
 
@@ -291,10 +292,10 @@ def relaxed_reasons(spark, d):
 def queries() -> dict[str, Query]:
     fs = (
         triple_reasons, triple_reasons_configured, reason_histogram, strict_valid, normalized_entities, exact_entity_map, entity_resolution, unique_triples, unique_events,
-        entity_degree, degree_summary, degree_histogram, connected_triples, distinct_triples, entity_report, relation_report, country_report, export_basic, export_extended, export_extended_whole,
-        export_filtered, source_counts, category_counts, graph_nodes, quality_pipeline, quality_stats, iso_dates, file_names, clean_pages, clean_extracts, wikitext_plain,
-        page_text, sentences, chunks, simple_chunks, interim_chunks, long_documents, pending_pages, pending_pages_whole, parsed_lines, parsed_triples, parsed_triples_whole, take_while, capped_per_group, merged_sources,
-        similar_tokens, chosen_content, interim_documents, chunk_previews, relation_percent, quoted_titles, relaxed_reasons,
+        entity_degree, degree_summary, degree_histogram, connected_triples, distinct_triples, entity_report, relation_report, country_report, export_basic, export_extended,
+        export_filtered, source_counts, category_counts, graph_nodes, quality_pipeline, quality_triples, quality_stats, iso_dates, file_names, clean_pages, clean_extracts, wikitext_plain,
+        page_text, sentences, chunks, simple_chunks, interim_chunks, long_documents, pending_pages, parsed_lines, parsed_triples, parsed_triples_whole, take_while, capped_per_group, merged_sources,
+        similar_tokens, similar_tokens_window, chosen_content, interim_documents, chunk_previews, relation_percent, quoted_titles, relaxed_reasons,
     )
     return {f.__name__: f for f in fs}
 

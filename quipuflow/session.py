@@ -34,13 +34,15 @@ def ship(spark: SparkSession) -> None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir; a temporary one only where the cluster names none."""
+    """The folder of spark.checkpoint.dir; where none is named, a temporary one on a local master, and an error on a cluster."""
     sc = spark.sparkContext
     current = sc._jsc.sc().getCheckpointDir()
     if current.isDefined():
         return current.get()
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         named = tempfile.mkdtemp(prefix="quipuflow-checkpoint-")
     sc.setCheckpointDir(named)
     return named

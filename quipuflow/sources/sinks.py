@@ -47,10 +47,12 @@ def exported(df: DataFrame, kind: str, path: str) -> None:
     from quipuflow.operators import reports
 
     made = {"basic": reports.basic, "extended": reports.extended, "entities": reports.entity_report, "relations": reports.relation_report, "countries": reports.country_report}
-    order = {"entities": [F.desc("apariciones_totales"), "entidad"], "relations": [F.desc("cantidad"), "relacion"], "countries": ["pais"]}
-    if kind in made:
+    order = {"entities": [F.desc("apariciones_totales"), "_o"], "relations": [F.desc("cantidad"), "_o"]}
+    if kind in order:  # ties in the order of first appearance
+        csv(made[kind](df, placed=True).orderBy(*order[kind]).drop("_o"), path)
+    elif kind in made:
         out = made[kind](df)
-        csv(out.orderBy(*order[kind]) if kind in order else out, path)
+        csv(out.orderBy("pais") if kind == "countries" else out, path)
     elif kind == "parquet":
         parquet(df, path)
     elif kind == "graph":
