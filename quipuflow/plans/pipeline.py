@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quipuflow.functions import text
 from quipuflow.functions.text import strip
 from quipuflow.operators import clean, curate, extract, reports, resolve, rules, segment
 from quipuflow.session import cut
@@ -20,13 +21,13 @@ def long_enough(df: DataFrame, col: str, least: int = LEAST_DOCUMENT) -> DataFra
     return df.where(F.length(strip(F.col(col))) >= least)
 
 
-def interim(docs: DataFrame, source: str, text: str, method: str, budget: int = CHUNK_CHARS, improved: bool = True, extra: dict | None = None) -> DataFrame:
+def interim(docs: DataFrame, source: str, text_col: str, method: str, budget: int = CHUNK_CHARS, improved: bool = True, extra: dict | None = None) -> DataFrame:
     """Segmented documents; short ones and ones without chunks are left out."""
-    df = long_enough(docs, text).withColumn("_chunks", segment.segment(F.col(text), budget, improved)).where(F.size("_chunks") > 0)
+    df = long_enough(docs, text_col).withColumn("_chunks", segment.segment(F.col(text_col), budget, improved)).where(F.size("_chunks") > 0)
     extra = extra or {}
     meta = F.struct(
-        extra.get("original_length", F.length(text)).cast("int").alias("original_length"),
-        F.length(text).cast("int").alias("text_length"),
+        extra.get("original_length", F.length(text_col)).cast("int").alias("original_length"),
+        F.length(text_col).cast("int").alias("text_length"),
         F.size("_chunks").alias("num_chunks"),
         F.lit(method).alias("processing_method"),
         extra.get("title", F.lit(None)).cast("string").alias("title"),
@@ -36,6 +37,46 @@ def interim(docs: DataFrame, source: str, text: str, method: str, budget: int =
     return df.select(F.col(source).alias("source"), F.col("_chunks").alias("chunks"), meta.alias("metadata"))
 
 
+def wiki(spark: SparkSession, mode: str, options: dict[str, str], **more: str) -> DataFrame:
+    from quipuflow.sources.wiki import WikiSource
+
+    spark.dataSource.register(WikiSource)
+    return spark.read.format("wiki").options(mode=mode, **options, **more).load()
+
+
+def ingest(spark: SparkSession, categories: list[str], out: str, limit: int = 300, method: str = "api", options: dict[str, str] | None = None) -> DataFrame:
+    """Pages of categories, at most `limit` of each, that `out` doesn't hold yet, added to it; gives the rows that failed.
+
+    method api: cleaned content of at least 200 characters; html: the page's HTML, of at least 50. The
+    titles asked for are listed on the driver; they are as many as the limit of each category allows.
+    """
+    options = options or {}
+    told = cut(wiki(spark, "members", options, categories="|".join(categories), limit=str(limit)))
+    wanted = told.where("error is null").groupBy("title").agg(F.min("category").alias("category"))
+    if exists(spark, out):
+        have = spark.read.parquet(out)
+        wanted = files.pending(wanted, have.select("title", F.coalesce(F.col("metadata.cleaned_length") if method == "api" else F.length("html"), F.lit(0)).alias("cleaned_length")), "title", least=200 if method == "api" else 50)
+    wanted = cut(wanted)
+    pages = cut(wiki(spark, "pages", options, titles="|".join(r.title for r in wanted.select("title").collect())))
+    good = pages.where("error is null").join(wanted, "title")
+    if method == "html":
+        good = good.where(F.length("html") >= 50).select("title", text.safe_filename(F.col("title")).alias("stem"), "html")
+    else:
+        raw = clean.chosen_content(F.col("wikitext"), F.col("extract"))
+        good = good.withColumn("_raw", raw).withColumn("content", clean.clean_extract(F.col("_raw"))).where(F.length("content") >= 200)
+        meta = F.struct(
+            F.lit("wikipedia_api_clean").alias("source"),
+            F.lit(options.get("lang", "es")).alias("language"),
+            F.col("category").alias("category_source"),
+            F.length("_raw").alias("original_length"),
+            F.length("content").alias("cleaned_length"),
+            F.date_format(F.current_timestamp(), "yyyy-MM-dd HH:mm:ss").alias("extraction_date"),
+        )
+        good = good.select("title", text.file_key(F.col("title")).alias("stem"), "url", "content", "categories", meta.alias("metadata"))
+    good.write.mode("append").parquet(out)
+    return told.where("error is not null").select(F.col("category").alias("asked"), "error").unionByName(pages.where("error is not null").select(F.col("title").alias("asked"), "error"))
+
+
 def preprocess(html: DataFrame, api: DataFrame, budget: int = CHUNK_CHARS) -> DataFrame:
     """Interim documents of HTML pages (stem, html) and API pages; of two with one key the API's stays."""
     a = interim(html.withColumn("_text", clean.html_to_text(F.col("html"))), "stem", "_text", "html_parser", budget, extra={"original_length": F.length("html")})

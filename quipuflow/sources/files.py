@@ -50,6 +50,12 @@ def triple_lines(lines: DataFrame, col: str = "line", schema: str = TRIPLE) -> D
     return df.select(*[c for c in df.columns if c != "_t"], *[F.col(f"_t.{f.split()[0]}").alias(f.split()[0]) for f in schema.split(", ") if f.split()[0] not in have])
 
 
+def invalid_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(reason, n): how many lines that aren't blank are no JSON object."""
+    lines = spark.read.text(path).where(strip(F.col("value")) != "").select(parse_lines(F.col("value")).alias("t"))
+    return lines.agg(F.count_if(F.col("t").isNull() | F.col("t._corrupt").isNotNull()).alias("n")).select(F.lit("invalid_format").alias("reason"), "n")
+
+
 def read_triples(spark: SparkSession, path: str) -> DataFrame:
     """Triples of the JSONL files of a path."""
     return triple_lines(spark.read.text(path).withColumnRenamed("value", "line"))

@@ -5,7 +5,9 @@
 
 mode members: titles of a category, with continuation; search: titles of a full-text search; index: the
 categories of the alphabetical index from a name on, as long as they contain it; pages: wiki text, extract, HTML and categories of titles. A partition is one category, query or
-block of titles. A failed request gives no rows of its partition's part and doesn't stop the others.
+block of titles. A failed request doesn't stop the others: it gives a row whose error says what
+failed, with what was asked for and nulls else; rows read have a null error. Continuations are followed, those of a
+page's categories too.
 
 The transport is a function of a URL that gives the decoded JSON; option transport names it as
 module:function, so that tests and other clients need no network.
@@ -24,10 +26,10 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 PAUSE_S = 0.2
 SCHEMAS = {
-    "members": "category string, position int, title string",
-    "index": "prefix string, position int, title string",
-    "search": "query string, position int, title string",
-    "pages": "title string, pageid long, url string, wikitext string, extract string, html string, categories array<string>",
+    "members": "category string, position int, title string, error string",
+    "index": "prefix string, position int, title string, error string",
+    "search": "query string, position int, title string, error string",
+    "pages": "title string, pageid long, url string, wikitext string, extract string, html string, categories array<string>, error string",
 }
 
 
@@ -63,6 +65,7 @@ class WikiReader(DataSourceReader):
         self.api = options.get("api", f"https://{options.get('lang', 'es')}.wikipedia.org/w/api.php")
         self.limit = int(options.get("limit", "500"))
         self.pause = float(options.get("pause", str(PAUSE_S)))
+        self.plain = options.get("extract", "text") != "html"  # whether extracts come as text
         self.transport = options.get("transport", "quipuflow.sources.wiki:http")
         key = {"members": "categories", "index": "prefixes", "search": "queries", "pages": "titles"}[self.mode]
         self.values = [v for v in options.get(key, "").split("|") if v.strip()]
@@ -111,22 +114,29 @@ class WikiReader(DataSourceReader):
                     yield from self._page(value)
                 else:
                     for i, t in enumerate(self._titles(value)):
-                        yield (value, i, t)
-            except Exception:
-                continue
+                        yield (value, i, t, None)
+            except Exception as e:
+                why = f"{type(e).__name__}: {e}"
+                yield (value, *[None] * 6, why) if self.mode == "pages" else (value, None, None, why)
 
     def _page(self, title: str):
-        r = self._ask(titles=title, prop="revisions|extracts|categories|info", rvprop="content", rvslots="main", explaintext=1, inprop="url", cllimit="max")
+        asked = {"titles": title, "prop": "revisions|extracts|categories|info", "rvprop": "content", "rvslots": "main", "inprop": "url", "cllimit": "max"} | ({"explaintext": 1} if self.plain else {})
+        r = self._ask(**asked)
+        more, further = [], r
+        while further.get("continue", {}).get("clcontinue"):
+            time.sleep(self.pause)
+            further = self._ask(titles=title, prop="categories", cllimit="max", **further["continue"])
+            more += [c for p in further.get("query", {}).get("pages", []) for c in p.get("categories", [])]
         for p in r.get("query", {}).get("pages", []):
             if p.get("missing"):
                 continue
             rev = (p.get("revisions") or [{}])[0]
             text = rev.get("slots", {}).get("main", {}).get("content") or rev.get("content") or ""
-            html = ""
+            html, why = "", None
             try:
                 got = self._get()(self.api + "?" + urlencode({"action": "parse", "format": "json", "formatversion": "2", "prop": "text", "page": title}))
                 html = got.get("parse", {}).get("text", "")
-            except Exception:
-                pass
-            cats = [c["title"].replace("Categoría:", "") for c in p.get("categories", [])]
-            yield (p.get("title", title), p.get("pageid"), p.get("fullurl", ""), text, p.get("extract", ""), html, cats)
+            except Exception as e:
+                why = f"{type(e).__name__}: {e}"
+            cats = [c["title"].replace("Categoría:", "") for c in [*p.get("categories", []), *more]]
+            yield (p.get("title", title), p.get("pageid"), p.get("fullurl", ""), text, p.get("extract", ""), html, cats, why)

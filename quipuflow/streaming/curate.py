@@ -3,6 +3,8 @@
 The uniqueness rule is a keyed state: the triple kept for each (head, type), which a later one
 replaces only if its confidence is more than the margin higher. Within a micro-batch rows are taken in
 the order of `ord`; across batches in order of arrival, as the state can't know what comes later.
+What comes out are changes: a row whenever a key's triple is kept or replaced, with the number of its batch in a table
+of changes; `kept` gives the state of such a table, each key's latest.
 """
 
 from __future__ import annotations
@@ -33,8 +35,14 @@ def unique_stream(stream: DataFrame, margin: float = 0.05, cfg: RuleConfig | Non
     def keep(key: tuple, frames: Iterator[pd.DataFrame], state: Any) -> Iterator[pd.DataFrame]:
         kept = state.get if state.exists else None
         before = kept
-        rows = pd.concat(list(frames)).sort_values("ord")
-        for tail, conf, at in zip(rows["tail"], rows["confidence"], rows["ord"]):
+        # frame by frame, of which only rows above all earlier ones of their frame can win
+        rising: list[tuple] = []
+        for pdf in frames:
+            pdf = pdf.sort_values("ord")
+            top = pdf["confidence"].cummax().shift(fill_value=-float("inf"))
+            won = pdf[(pdf["confidence"] > top) | (pdf["ord"] == pdf["ord"].min())]
+            rising += zip(won["ord"].tolist(), won["tail"].tolist(), won["confidence"].tolist())
+        for at, tail, conf in sorted(rising, key=lambda r: r[0]):
             if kept is None or conf > kept[1] + margin:
                 kept = (tail, float(conf), int(at))
         state.update(kept)
@@ -50,5 +58,19 @@ def windowed_counts(stream: DataFrame, time_col: str, by: str, width: str = "5 m
 
 
 def into_table(stream: DataFrame, path: str, checkpoint: str):
-    """Each micro-batch appended to a parquet table; gives the running query."""
-    return stream.writeStream.outputMode("update").option("checkpointLocation", checkpoint).foreachBatch(lambda df, _: df.write.mode("append").parquet(path)).start()
+    """The changes of each micro-batch as a part of a parquet table, with its number as batch; gives the running query.
+
+    A batch that is repeated after a failure replaces its part.
+    """
+
+    def write(df: DataFrame, batch: int) -> None:
+        df.write.mode("overwrite").parquet(f"{path}/batch={batch}")
+
+    return stream.writeStream.outputMode("update").option("checkpointLocation", checkpoint).foreachBatch(write).start()
+
+
+def kept(changes: DataFrame, keys: tuple[str, ...] = ("head", "type"), version: str = "batch") -> DataFrame:
+    """The latest row of each key of a table of changes."""
+    rest = [c for c in changes.columns if c not in keys]
+    latest = changes.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.col(version)).alias("_r"))
+    return latest.select(*keys, *[F.col(f"_r.{c}").alias(c) for c in rest if c != version])

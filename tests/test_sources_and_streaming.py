@@ -31,9 +31,13 @@ def fake(url):
         return {"query": {"search": [{"title": q["srsearch"].upper()}]}}
     if q.get("action") == "parse":
         return {"parse": {"text": "<p>hola</p>"}}
+    if q["titles"] == "Mal":
+        raise OSError("down")
+    if "clcontinue" in q:
+        return {"query": {"pages": [{"title": q["titles"], "categories": [{"title": "Categoría:Y"}]}]}}
     if q["titles"] == "Nada":
         return {"query": {"pages": [{"title": "Nada", "missing": True}]}}
-    return {"query": {"pages": [{"title": q["titles"], "pageid": 7, "fullurl": "u", "extract": "e", "categories": [{"title": "Categoría:X"}], "revisions": [{"slots": {"main": {"content": "'''w'''"}}}]}]}}
+    return {"continue": {"clcontinue": "1"}, "query": {"pages": [{"title": q["titles"], "pageid": 7, "fullurl": "u", "extract": "e", "categories": [{"title": "Categoría:X"}], "revisions": [{"slots": {"main": {"content": "'''w'''"}}}]}]}}
 
 
 def test_jsonl_lines(spark, tmp_path):
@@ -46,10 +50,11 @@ def test_jsonl_lines(spark, tmp_path):
 def test_wiki_source(spark):
     read = lambda **o: WikiSource(o | {"transport": "test_sources_and_streaming:fake", "pause": "0"}).reader(None)
     every = lambda r: [x for p in r.partitions() for x in r.read(p)]
-    assert len(every(read(mode="members", categories="A|rota|B", limit="70"))) == 140
-    assert every(read(mode="search", queries="q")) == [("q", 0, "Q")]
-    assert every(read(mode="index", prefixes="Chile")) == [("Chile", 0, "Chile"), ("Chile", 1, "Chile antiguo")]
-    assert every(read(mode="pages", titles="P|Nada")) == [("P", 7, "u", "'''w'''", "e", "<p>hola</p>", ["X"])]
+    members = every(read(mode="members", categories="A|rota|B", limit="70"))
+    assert len([r for r in members if r[3] is None]) == 140 and [r for r in members if r[3]] == [("rota", None, None, "OSError: down")]
+    assert every(read(mode="search", queries="q")) == [("q", 0, "Q", None)]
+    assert every(read(mode="index", prefixes="Chile")) == [("Chile", 0, "Chile", None), ("Chile", 1, "Chile antiguo", None)]
+    assert every(read(mode="pages", titles="P|Nada|Mal")) == [("P", 7, "u", "'''w'''", "e", "<p>hola</p>", ["X", "Y"], None), ("Mal", None, None, None, None, None, None, "OSError: down")]
     assert every(read(mode="members")) == []
     with pytest.raises(ValueError):
         read(mode="other")
@@ -108,3 +113,57 @@ def test_stream_keeps_what_the_batch_keeps(spark, tmp_path):
     q.stop()
     kept = spark.read.parquet(str(tmp_path / "out")).orderBy("confidence").collect()
     assert kept[-1].tail == "t4"
+    assert rows(stream.kept(spark.read.parquet(str(tmp_path / "out"))), "head", "type", "tail", "ord") == [("a", "r", "t4", 4)]
+
+
+def long_wiki(url):
+    """A wiki whose pages have long texts, for the commands."""
+    r = fake(url)
+    for p in r.get("query", {}).get("pages", []):
+        if "revisions" in p:
+            p["revisions"] = [{"slots": {"main": {"content": f"'''{p['title']}''' es una ciudad de Perú. " * 12}}}]
+    return r
+
+
+def test_commands(spark, tmp_path, capsys):
+    from quipuflow import cli
+
+    env = spark.sparkContext.environment  # so that workers find this module
+    env["PYTHONPATH"] = os.pathsep.join((os.path.dirname(os.path.abspath(__file__)), env["PYTHONPATH"]))
+    at = lambda x: str(tmp_path / x)
+    options = ["--option", "transport=test_sources_and_streaming:long_wiki", "pause=0"]
+    cli.main(["scrape-categories", "--from", "Chile", "--output", at("cats"), *options], spark)
+    assert sorted(r.value for r in spark.read.text(at("cats")).collect()) == ["Chile", "Chile antiguo"]
+    ingest = ["ingest", "--input", at("cats"), "--output", at("pages"), "--limit", "5", *options]
+    cli.main(ingest, spark)
+    pages = spark.read.parquet(at("pages"))
+    assert rows(pages, "title") == [(f"T{i}",) for i in range(5)]
+    assert pages.select("metadata.cleaned_length", "metadata.category_source").first()[0] >= 200
+    cli.main(ingest, spark)  # nothing is pending
+    assert spark.read.parquet(at("pages")).count() == 5
+    cli.main(["ingest", "--input", at("cats"), "--output", at("html"), "--method", "html", "--limit", "2", *options], spark)
+    assert spark.read.parquet(at("html")).count() == 0  # HTML of under 50 characters
+    docs = spark.createDataFrame([("d", ["Lima es capital de Perú. Quito es capital de Ecuador."])], "source string, chunks array<string>")
+    docs.write.parquet(at("interim"))
+    cli.main(["extract", "--input", at("interim"), "--output", at("triples")], spark)
+    assert files.read_triples(spark, at("triples")).count() == 2
+    (tmp_path / "triples" / "mala.json").write_text("no\n\n", encoding="utf-8")
+    cli.main(["pipeline", "--input", at("triples"), "--output", at("canon")], spark)
+    assert files.read_triples(spark, at("canon")).count() == 2
+    bad = tmp_path / "bad"
+    bad.mkdir()
+    (bad / "x.jsonl").write_text('{"head":"A","type":"r","tail":"Lima"}\n[1]\n{"head":"Quito","type":"r","tail":"Lima"}\n', encoding="utf-8")
+    capsys.readouterr()
+    cli.main(["filter", "--input", at("bad"), "--output", at("kept"), "--explain", "5", "--rejected", at("refused")], spark)
+    shown = capsys.readouterr().out
+    assert "head_too_short" in shown and "invalid_format" in shown
+    assert files.read_triples(spark, at("kept")).count() == 1 and spark.read.json(at("refused")).count() == 1
+    with pytest.raises(SystemExit):
+        cli.main(["other"], spark)
+
+
+def test_exports_break_ties_by_first_appearance(spark, tmp_path):
+    t = spark.createDataFrame([(1, "Zoe", "per", "z", "Ana", "per", 0.9), (2, "Beto", "per", "b", "Zoe", "per", 0.9), (3, "Ana", "per", "a", "Beto", "per", 0.9)], "ord long, head string, head_type string, type string, tail string, tail_type string, confidence double")
+    for kind, col, want in (("entities", "entidad", ["Zoe", "Ana", "Beto"]), ("relations", "relacion", ["z", "b", "a"])):
+        sinks.exported(t, kind, str(tmp_path / kind))
+        assert [r[col] for r in spark.read.option("header", True).csv(str(tmp_path / kind)).collect()] == want
