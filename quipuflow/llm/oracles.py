@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from quipuflow.llm.repetition import STOP_WORDS, THRESHOLDS
 from quipuflow.llm.survivor import ABSENT
 
 
@@ -19,6 +20,10 @@ def _leaf(x: str) -> str:
     return rf"regexp_replace(nfc_normalize(lower({x})), '[^\p{{L}}\p{{N}}\p{{M}}]+', '', 'g')"
 
 
+def _told(x: str) -> str:
+    return rf"CASE WHEN regexp_matches({_leaf(x)}, '[\p{{L}}\p{{N}}]') THEN {_leaf(x)} ELSE '' END"
+
+
 RECORDS = rf"""SELECT id, {_leaf('head')} AS h, {_leaf('type')} AS r, {_leaf('tail')} AS t FROM (
     SELECT triple_id AS id, head, type, tail FROM triples
     UNION ALL SELECT line_id, line->>'head', line->>'type', line->>'tail' FROM triple_lines WHERE json_valid(line) AND json_type(line) = 'OBJECT')"""
@@ -50,6 +55,24 @@ def _records() -> str:
         CAST(greatest({", ".join(f"coalesce(arg_min(layer, k) FILTER (u_{f}), 0)" for f in fields)}) AS INTEGER) AS deepest FROM l GROUP BY group_id"""
 
 
+def _profile() -> str:
+    stop = ", ".join("'" + w + "'" for w in STOP_WORDS)
+    rules = {r.name: r.at_least for r in THRESHOLDS}
+    shares = {
+        "repeated": "coalesce(c.sum, 0) / w::DOUBLE",
+        "repeated_lines": "CASE WHEN len(lines) > 0 THEN (len(lines) - len(list_distinct(lines))) / len(lines)::DOUBLE ELSE 0 END",
+        "symbols": rf"CASE WHEN length(text) > 0 THEN length(regexp_replace(text, '[\p{{L}}\p{{M}}\p{{N}}\p{{P}}\s\x0b]+', '', 'g')) / length(text)::DOUBLE ELSE 0 END",
+        "few_stop_words": f"CASE WHEN len(l) > 0 THEN 1 - len(list_filter(l, lambda x: x IN ({stop}))) / len(l)::DOUBLE ELSE 0 END",
+    }
+    shown = ", ".join(f"coalesce({x}, 0) AS {n}_share, coalesce({x}, 0) >= {rules[n]}::DOUBLE AS {n}" for n, x in shares.items())
+    return rf"""WITH d AS (SELECT doc_id, coalesce(text, '') AS text, {_words("coalesce(text, '')")} AS l FROM documents),
+      g AS ({_windows('documents', 'doc_id', 8)}),
+      r AS (SELECT doc_id, n, i FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, k ORDER BY i) AS rn FROM g) WHERE rn > 1),
+      c AS (SELECT doc_id, sum(x) AS sum FROM (SELECT doc_id, n, least(8, coalesce(lead(i) OVER (PARTITION BY doc_id ORDER BY i) - i, 8)) AS x FROM r) GROUP BY doc_id),
+      t AS (SELECT doc_id, text, l, nullif(len(l), 0) AS w, list_filter(regexp_split_to_array(text, '[\r\n]+'), lambda x: trim(x, ' ') <> '') AS lines FROM d)
+      SELECT doc_id, {shown} FROM t LEFT JOIN c USING (doc_id)"""
+
+
 def all_sql() -> dict[str, str]:
     return {
         "p2_found": """
@@ -58,9 +81,12 @@ def all_sql() -> dict[str, str]:
             UNION ALL SELECT 'raw_pages', CAST(page_id AS VARCHAR), CAST(-1 AS INTEGER) FROM raw_pages WHERE length(content) > 2048""",
         "p3_found": f"SELECT first_id, id AS copy_id FROM ({CASES}) WHERE id <> first_id",
         "p3_records": f"SELECT first_id, count(*) AS n_copies FROM ({CASES}) GROUP BY first_id",
+        "p3_pages": f"""SELECT min(page_id) AS first_id, count(*) AS n_copies FROM raw_pages GROUP BY {_told('title')}, {_told('content')}, list_transform(coalesce(categories, []), lambda c: {_told('c')}),
+            {", ".join(_told(f"CAST(metadata.{f} AS VARCHAR)") for f in ("source", "language", "category_source", "original_length", "cleaned_length", "extraction_date"))}""",
         "p4_found": f"SELECT group_id, {_field('head')} AS head, {_field('head_type')} AS head_type, {_field('tail')} AS tail FROM (SELECT DISTINCT group_id FROM triple_copies) g",
         "p4_records": _records(),
         "p9_found": f"SELECT DISTINCT doc_id, item_id FROM ({_windows('documents', 'doc_id', 10)}) d JOIN ({_windows('eval_items', 'item_id', 10)}) e USING (k)",
+        "p10_profile": _profile(),
         "p10_found": f"""WITH g AS ({_windows('documents', 'doc_id', 8)}),
             r AS (SELECT doc_id, n, i FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, k ORDER BY i) AS rn FROM g) WHERE rn > 1),
             c AS (SELECT doc_id, n, least(8, coalesce(lead(i) OVER (PARTITION BY doc_id ORDER BY i) - i, 8)) AS x FROM r)

@@ -37,6 +37,11 @@ def p3_records(spark: SparkSession, d: str) -> DataFrame:
     return g.select("first_id", "n_copies")
 
 
+def p3_pages(spark: SparkSession, d: str) -> DataFrame:
+    """Pages that are the same but for formatting in title, content, categories and the nested metadata."""
+    return structdedup.tree_groups(table(spark, d, "raw_pages"), ["title", "content", "categories", "metadata"], "page_id")
+
+
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
     return survivor.survivors(table(spark, d, "triple_copies"), table(spark, d, "trust_levels"))
 

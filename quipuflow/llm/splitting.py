@@ -3,7 +3,7 @@
 Every position of an item is a legal end of a piece; its level says how natural it is (after a
 paragraph, a line, a sentence, a clause, a word, or anywhere). A table gives for each end the best
 end of the piece after it: of the ends within reach, those of the best level present in the second
-half of the piece, and of them the farthest. By squaring this table (pointer doubling) all cuts that
+half of the piece, or else in the first, so long as the piece goes on beyond the one before, and of them the farthest; anywhere only where there is no other. By squaring this table (pointer doubling) all cuts that
 follow from the first are marked in a logarithmic number of steps, without walking along them.
 
 A piece begins `overlap` characters before the end of the one before it and holds at most `limit`
@@ -41,7 +41,7 @@ def levels(c: np.ndarray) -> np.ndarray:
     space = np.isin(c, _SPACE)
     out[1:][space] = 1
     nl = c == 10
-    here = np.arange(n)
+    here = np.arange(n, dtype=np.int32)
     solid = np.maximum.accumulate(np.where(space, -1, here))  # last position that isn't blank
     before = np.where(solid >= 0, c[np.maximum(solid, 0)], 0)
     closing = np.isin(before, _CLOSING)
@@ -82,13 +82,13 @@ def cuts(text: str, limit: int = LIMIT, overlap: int = OVERLAP) -> np.ndarray:
     half = np.maximum(origin + limit // 2, end + 1)
     succ = reach.copy()
     open_ = reach < n
-    for level in range(5, -1, -1):
+    for level, floor in [*((x, half) for x in range(5, 0, -1)), *((x, end + 1) for x in range(5, 0, -1)), (0, half)]:
         at = np.flatnonzero(lev >= level)
         if not len(at):
             continue
         k = np.searchsorted(at, reach, side="right") - 1
         best = at[np.maximum(k, 0)]
-        fits = open_ & (k >= 0) & (best >= half)
+        fits = open_ & (k >= 0) & (best >= floor)
         succ[fits] = best[fits]
         open_ &= ~fits
     marked = np.zeros(n + 1, dtype=bool)

@@ -1,9 +1,10 @@
 """Problem 3: records that differ only in case, white space, punctuation or the order of fields.
 
-A record is a small tree. Leaves are normalised to their letters and digits, each leaf's digest is
-bound to its field's name, the digests of an unordered node's children are sorted before they are
-hashed, and records are grouped by the digest of the root. The normal form itself is part of the
-grouping key, so that equal digests of unequal records don't join them.
+A record is a tree of any depth, as its schema tells: structs and maps are nodes whose children have no order,
+arrays are nodes whose children have one. From the leaves up, leaves are normalised to their letters and digits, each child's digest is
+bound to its name or key, the digests of an unordered node's children are sorted before they are
+hashed, and records are grouped by the digest of the root. The normal form of the whole tree is part of the
+grouping key: that is the full comparison, so that equal digests of unequal records don't join them.
 
 Groups are built with partial aggregation. To give every copy its group's first id, only groups of
 two or more are joined back, and both sides are salted, so that one group of a third of all rows is
@@ -15,7 +16,9 @@ object neither. Ids that repeat count as copies of themselves. Extra columns are
 
 from __future__ import annotations
 
+import json
 import unicodedata
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -39,7 +42,7 @@ def _composed() -> dict[str, str]:
 
 def leaf(value: Column) -> Column:
     """Letters, digits and accents of a value, in lower case; one form for either spelling of an accent."""
-    pairs = F.create_map(*[F.lit(x) for kv in _composed().items() for x in kv])
+    pairs = F.from_json(F.lit(json.dumps(_composed())), "map<string,string>")  # folded into one literal
     bare = F.regexp_replace(F.lower(value), r"[^\p{L}\p{N}\p{M}]+|[︀-️]+", "")
 
     def composed(t: Column) -> Column:
@@ -64,6 +67,45 @@ def root(children: list[Column], ordered: bool = False) -> Column:
     return F.xxhash64(arr if ordered else F.array_sort(arr))
 
 
+def tree(value: Column, kind: T.DataType) -> Column:
+    """struct<d: digest, c: normal form> of a value of any type, from the leaves up.
+
+    Null and what has no letter or digit are one. The normal form of an unordered node lists its children
+    sorted, each with its name; signs that the leaves can't hold part them, so that different trees differ.
+    """
+    if isinstance(kind, T.StructType):
+        children = [let(tree(value[f.name], f.dataType), _named(F.lit(f.name))) for f in kind.fields]
+        return _node(F.array(*children), sort=True, open_="\u0003")
+    if isinstance(kind, T.ArrayType):
+        return _node(F.transform(value, lambda x: tree(x, kind.elementType)), sort=False, open_="\u0004")
+    if isinstance(kind, T.MapType):
+
+        def entry(e: Column) -> Column:
+            return let(tree(e["key"], kind.keyType), lambda k: let(tree(e["value"], kind.valueType), lambda v: F.struct(F.xxhash64(k["d"], v["d"]).alias("d"), F.concat(k["c"], F.lit("\u0002"), v["c"]).alias("c"))))
+
+        return _node(F.transform(F.map_entries(value), entry), sort=True, open_="\u0005")
+    normal = let(leaf(value.cast("string")), lambda x: F.when(usable(x), x).otherwise(F.lit("")))
+    return let(normal, lambda x: F.struct(F.xxhash64(x).alias("d"), x.alias("c")))
+
+
+def _named(name: Column) -> Callable[[Column], Column]:
+    return lambda t: F.struct(F.xxhash64(name, t["d"]).alias("d"), F.concat(name, F.lit("\u0002"), t["c"]).alias("c"))
+
+
+def _node(children: Column, sort: bool, open_: str) -> Column:
+    known = F.coalesce(children, F.array().cast("array<struct<d:bigint,c:string>>"))
+    shown = lambda o: F.concat(F.lit(open_), F.array_join(F.transform(o, lambda x: x["c"]), "\u0006"), F.lit("\u0007"))
+    return let(F.array_sort(known) if sort else known, lambda o: F.struct(F.xxhash64(F.lit(open_), F.transform(o, lambda x: x["d"])).alias("d"), shown(o).alias("c")))
+
+
+def tree_groups(df: DataFrame, fields: list[str], id_col: str) -> DataFrame:
+    """(first_id, n_copies) of each distinct record of some columns of any types."""
+    part = T.StructType([df.schema[f] for f in fields])
+    # exploding one struct keeps the tree from being computed anew
+    rows = df.select(F.col(id_col).alias("id"), F.explode(F.array(tree(F.struct(*fields), part))).alias("n"))
+    return rows.groupBy("n.d", "n.c").agg(F.min("id").alias("first_id"), F.count("*").alias("n_copies")).select("first_id", "n_copies")
+
+
 def parsed_lines(lines: DataFrame, line_col: str = "line", id_col: str = "line_id", fields: tuple[str, ...] = FIELDS) -> DataFrame:
     """(id, fields) of the lines that are one JSON object and nothing else; the parser goes 1,000 levels deep."""
     schema = T.StructType([T.StructField(f, T.StringType()) for f in (*fields, "_corrupt")])

@@ -230,3 +230,31 @@ def test_an_index_is_that_of_its_own_search(spark):
     for k, p in enumerate(passages * 3):
         e = spark.createDataFrame([(7, p)], "item_id long, text string")
         assert rows(leakage.leaks(d, e)) == [(k % 4, 7)]
+
+
+# 3 structural duplicates
+
+
+def test_nested_records(spark):
+    """Fields and map entries have no order, array elements do, at any depth; names and levels count."""
+    from quipuflow.llm import structdedup
+
+    kind = "id long, r struct<a:string, b:struct<c:array<string>, d:map<string,string>>>"
+    data = [
+        (1, ("La Paz", (["x", "Y"], {"k": "v", "l": "w"}))),
+        (2, ("la-paz", (["X.", "y"], {"l": "W", "K": "v"}))),  # the same
+        (3, ("La Paz", (["Y", "x"], {"k": "v", "l": "w"}))),  # another order
+        (4, ("La Paz", (["x", "Y"], {"k": "w", "l": "v"}))),  # other pairs
+        (5, ("La Paz", (["xY"], {"k": "v", "l": "w"}))),  # other elements
+        (6, ("", (None, None))),
+        (7, None),
+        (8, (None, ([], {}))),
+        (9, ("La Paz", (["x", "Y", None], {"k": "v", "l": "w"}))),
+    ]
+    df = spark.createDataFrame(data, kind)
+    got = rows(structdedup.tree_groups(df, ["r"], "id"), "first_id", "n_copies")
+    assert got == [(1, 2), (3, 1), (4, 1), (5, 1), (6, 3), (9, 1)]
+    assert rows(structdedup.tree_groups(df.limit(0), ["r"], "id")) == []
+    swapped = df.select("id", F.struct(F.col("r.b").alias("b"), F.col("r.a").alias("a")).alias("r"))
+    one = lambda x: structdedup.tree(F.col("r"), x.schema["r"].dataType)["d"]
+    assert df.select(one(df).alias("d")).collect() == swapped.select(one(swapped).alias("d")).collect()

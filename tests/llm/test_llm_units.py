@@ -94,7 +94,9 @@ def plain_cuts(text, limit, overlap):
         if start + limit >= n:
             return ends + [n]
         floor = max(start + limit // 2, (ends[-1] + 1) if ends else 1)
-        best = max((e for e in range(floor, start + limit + 1) if lev[e] >= 0), key=lambda e: (lev[e], e), default=start + limit)
+        reach = range(floor, start + limit + 1)
+        natural = [e for e in reach if lev[e] > 0] or [e for e in range((ends[-1] + 1) if ends else 1, start + limit + 1) if lev[e] > 0]
+        best = max(natural or [e for e in reach if lev[e] >= 0], key=lambda e: (lev[e], e), default=start + limit)
         ends.append(best)
         start = best - overlap
 
