@@ -55,21 +55,24 @@ _LABEL = re.compile(r"\s*[:|>»·]")
 _END = (".", "!", "?", "…", ";")
 
 
-def _accents() -> dict[int, str | None]:
+def _accents() -> dict[str, str]:
     """Signs to their letters without marks; marks that stand alone to nothing."""
-    table: dict[int, str | None] = {i: None for i in range(0x300, 0x370)}
+    table = {chr(i): "" for i in range(0x300, 0x370)}
     for i in range(0xC0, 0x2000):
         d = unicodedata.normalize("NFD", chr(i))
         if len(d) > 1:
-            table[i] = "".join(c for c in d if unicodedata.category(c) != "Mn")
+            table[chr(i)] = "".join(c for c in d if unicodedata.category(c) != "Mn")
     return table
 
 
 _ACCENTS = _accents()
+_OTHER = re.compile(r"[\u00c0-\u1fff]")
+#: Longer lines are nobody's label or date.
+SHORT = 60
 
 
 def _bare(t: str) -> str:
-    return t.lower().translate(_ACCENTS)
+    return _OTHER.sub(lambda m: _ACCENTS.get(m[0], m[0]), t.lower())
 
 
 def host_of(url: str | None) -> str:
@@ -82,19 +85,22 @@ def site_of(host: str) -> str:
     return re.sub(r"\d+$", "", parts[0]) if parts else ""
 
 
-def generalised(content: str, site: str) -> list[str]:
-    """Generalised path of each line; '' for a blank one."""
-    t = _BLANKS.sub(" ", _BULLET.sub("", _bare(content)))
-    t = _CALENDAR.sub(lambda m: "0day" if m[1] else "0month", _NUMBER.sub("0", t))
+def _calendar(m: re.Match) -> str:
+    return "0day" if m[1] else "0month"
+
+
+def generalised(bare: str, site: str) -> list[str]:
+    """Generalised path of each line of a text without accents; '' for a blank one. Calendar words count in short lines."""
+    t = _NUMBER.sub("0", _BLANKS.sub(" ", _BULLET.sub("", bare)))
     if site:
         t = re.sub(rf"\b{re.escape(_bare(site))}\b", "0site", t)
-    return [x.strip() for x in t.split("\n")]
+    return [_CALENDAR.sub(_calendar, x) if len(x) <= SHORT else x for x in (y.strip() for y in t.split("\n"))]
 
 
 def labels(path: str) -> tuple[str, str]:
     """What a path begins with up to a sign that parts labels, and what it ends with from one on; '' where none is."""
     m = _LABEL.search(path, 1)
-    if not m or m.end() > 60:
+    if not m or m.end() > SHORT:
         return "", ""
     last = max(path.rfind(x) for x in "|·")
     return path[: m.end()], path[last:] if last > 0 else ""
@@ -120,17 +126,18 @@ _NONE = key("")
 def described(content: str, title: str | None, url: str | None) -> tuple[list[int], list[int], list[int], list[int]]:
     """Of each line the keys of its path and of its labels, and its flags."""
     raw = [x.strip() for x in content.split("\n")]
-    paths = generalised(content, site_of(host_of(url)))
+    bare = _bare(content)
+    paths = generalised(bare, site_of(host_of(url)))
     names = {_bare(t.strip()) for t in (title, slug_title(url)) if t and t.strip()}
     flags = []
     # whether text follows, right away or after a heading; what stands before a colon makes a link or a comment of it
     follows = after_next = False
-    for x, p in zip(reversed(raw), reversed(paths)):
+    for x, p, b in zip(reversed(raw), reversed(paths), reversed(bare.split("\n"))):
         if not x:
             flags.append(BLANK)
             continue
         text, labelled = _text_like(x), labels(p)[0] != ""
-        flags.append((TEXT if text else 0) | (TITLE if _bare(x) in names else 0) | (OPEN if follows or after_next else 0))
+        flags.append((TEXT if text else 0) | (TITLE if b.strip() in names else 0) | (OPEN if follows or after_next else 0))
         after_next = follows and not text and not labelled
         follows = text and not labelled
     flags.reverse()
