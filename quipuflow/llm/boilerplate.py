@@ -179,11 +179,27 @@ def article(flags: list[int], inserts: list[bool], closing: list[bool], error: b
     return out
 
 
-LINES = "id {}, host long, mark long, path array<long>, label array<long>, tail array<long>, flag array<int>"
+def votes_of(paths: list[int], heads: list[int], tails: list[int], flags: list[int]) -> tuple[list[int], list[int], list[int]]:
+    """The keys of a page, that of '' for the page itself; in how many places each is, and after how many text follows."""
+    seen: dict[int, list[int]] = {_NONE: [1, 0]}
+    for p, a, b, f in zip(paths, heads, tails, flags):
+        open_ = 1 if f & OPEN else 0
+        for k in {p, a, b}:
+            if k != _NONE:
+                x = seen.get(k)
+                if x is None:
+                    seen[k] = [1, open_]
+                else:
+                    x[0] += 1
+                    x[1] += open_
+    return list(seen), [x[0] for x in seen.values()], [x[1] for x in seen.values()]
+
+
+LINES = "id {}, host long, mark long, path array<long>, label array<long>, tail array<long>, flag array<int>, vote array<long>, places array<int>, opens array<int>"
 
 
 def lines_of(pages: DataFrame, id_col: str) -> DataFrame:
-    """(id, host, mark of the content, path, label, tail, flag): what each page says of its lines."""
+    """(id, host, mark of the content, path, label, tail, flag, vote, places, opens): what each page says of its lines."""
     kind = pages.schema[id_col].dataType.simpleString()
     host = F.xxhash64(F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^\s*(?:[A-Za-z][A-Za-z0-9+.\-]*:)?//([^/?#]+)", 1)))
     src = pages.where(F.col("content").rlike(r"\S")).select(F.col(id_col).alias("id"), host.alias("host"), F.xxhash64("content").alias("mark"), "title", "url", "content")
@@ -191,8 +207,9 @@ def lines_of(pages: DataFrame, id_col: str) -> DataFrame:
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in frames:
             said = [described(c, t, u) for c, t, u in zip(pdf["content"], pdf["title"], pdf["url"])]
+            said = [(*x, *votes_of(*x)) for x in said]
             out = pdf[["id", "host", "mark"]].copy()
-            for k, name in enumerate(("path", "label", "tail", "flag")):
+            for k, name in enumerate(("path", "label", "tail", "flag", "vote", "places", "opens")):
                 out[name] = [x[k] for x in said]
             yield out
 
@@ -204,12 +221,10 @@ def frame_paths(said: DataFrame, host_share: float = HOST_SHARE, pooled_share: f
 
     said: rows of lines_of.
     """
-    once = said.select("host", "mark", "path", "label", "tail", "flag").dropDuplicates(["host", "mark"])
-    # each path of a page once, with whether text follows its first place; the key of '' stands for the page
-    line = F.explode(F.arrays_zip("path", "label", "tail", F.transform("flag", lambda f: f.bitwiseAND(OPEN)).alias("open")))
-    each = once.select("host", "mark", line.alias("x")).select("host", "mark", (F.col("x.open") > 0).cast("int").alias("open"), F.explode(F.array_distinct(F.array("x.path", "x.label", "x.tail", F.lit(_NONE)))).alias("path"))
-    seen = each.groupBy("host", "mark", "path").agg(F.count("*").alias("places"), F.sum("open").alias("opens"))
-    votes = seen.groupBy("host", "path").agg(F.count("*").alias("n"), F.sum("places").alias("places"), F.sum("opens").alias("opens"))
+    each = said.select("host", "mark", F.explode(F.arrays_zip("vote", "places", "opens")).alias("x")).select("host", "mark", F.col("x.vote").alias("path"), "x.places", "x.opens")
+    # pages of equal content say the same, so the largest is any of them
+    seen = each.groupBy("host", "mark", "path").agg(F.max("places").alias("places"), F.max("opens").alias("opens"))
+    votes = cut(seen.groupBy("host", "path").agg(F.count("*").alias("n"), F.sum("places").alias("places"), F.sum("opens").alias("opens")))
     page = F.col("path") == _NONE
     size = votes.where(page).select("host", F.col("n").alias("pages"))
     votes = votes.where(~page).join(size, "host")
