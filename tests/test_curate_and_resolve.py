@@ -75,7 +75,7 @@ def test_extended_export_keeps_confidences(spark, tmp_path):
     df.write.parquet(str(tmp_path / "triples.parquet"))
     want = sorted(("h", "per", "r", "", "loc", "" if c is None else repr(c), "f", str(i)) for i, c in enumerate(cs))
     assert sorted(map(tuple, reports.extended(df).collect())) == want
-    assert sorted(map(tuple, queries.queries()["export_extended_whole"](spark, str(tmp_path)).collect())) == want
+    assert sorted(map(tuple, queries.queries()["export_extended"](spark, str(tmp_path)).collect())) == want
 
 
 def test_parser(spark):
@@ -144,7 +144,7 @@ def test_pages_without_a_title_are_pending(spark, tmp_path):
 
     spark.createDataFrame([(1, "x"), (2, "y"), (3, None)], "page_id long, title string").write.parquet(str(tmp_path / "raw_pages.parquet"))
     spark.createDataFrame([(("x", 500),), (("y", 10),), ((None, 500),)], "metadata struct<title:string,text_length:int>").write.parquet(str(tmp_path / "interim_docs.parquet"))
-    assert rows(queries.queries()["pending_pages_whole"](spark, str(tmp_path))) == [(2,), (3,)]
+    assert rows(queries.queries()["pending_pages"](spark, str(tmp_path))) == [(2,), (3,)]
 
 
 def test_extraction_with_a_stand_in(spark):
