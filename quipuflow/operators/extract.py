@@ -5,9 +5,10 @@ Null and empty outputs give no triples.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import Protocol
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -82,6 +83,72 @@ class PatternExtractor:
         return out
 
 
+class Backend(Protocol):
+    """A sequence model with its tokenizer, on one worker."""
+
+    special: frozenset[int]
+
+    def encode(self, text: str, most: int) -> list[int]: ...
+
+    def generate(self, ids: list[int], most: int, beams: int) -> tuple[list[int], list[list[float]]]:
+        """The best sequence and, step by step, the logits from which each token after the first was taken."""
+        ...
+
+    def decode(self, ids: list[int]) -> str: ...
+
+
+class BeamExtractor:
+    """A sequence-to-sequence model: chunks cut to `max_tokens` tokens, the best of `beams` beams, its mean token probability.
+
+    backend: makes the backend; it is called once per worker, so it must be importable there. Special tokens don't count
+    for the confidence; without any other token it is 0.95.
+    """
+
+    def __init__(self, backend: Callable[[], Backend], max_tokens: int = 256, beams: int = 3):
+        self.make, self.max_tokens, self.beams, self.backend = backend, max_tokens, beams, None
+
+    def load(self) -> None:
+        self.backend = self.backend or self.make()
+
+    def run(self, chunks: list[str]) -> list[tuple[str, float]]:
+        b = self.backend
+        out = []
+        for c in chunks:
+            sequence, logits = b.generate(b.encode(c, self.max_tokens), self.max_tokens, self.beams)
+            told = [(np.asarray(x, dtype=float), t) for x, t in zip(logits, sequence[1:]) if t not in b.special]
+            chance = [float(np.exp(x[t] - x.max()) / np.exp(x - x.max()).sum()) for x, t in told]
+            out.append((b.decode(sequence), sum(chance) / len(chance) if chance else 0.95))
+        return out
+
+
+class TransformersBackend:
+    """A backend of the library transformers, where it is installed; model: a name or a folder."""
+
+    def __init__(self, model: str, source: str = "en_XX", target: str = "tp_XX"):
+        import torch
+        from transformers import AutoModelForSeq2SeqLM, AutoTokenizer
+
+        self.torch, self.target = torch, target
+        self.tokenizer = AutoTokenizer.from_pretrained(model, src_lang=source, tgt_lang=target)
+        self.device = "cuda" if torch.cuda.is_available() else "cpu"
+        self.model = AutoModelForSeq2SeqLM.from_pretrained(model).to(self.device)
+        names = ("<s>", "</s>", "<pad>", "__en__", target)
+        self.special = frozenset(self.tokenizer.convert_tokens_to_ids(n) for n in names)
+
+    def encode(self, text: str, most: int) -> list[int]:
+        return self.tokenizer(text, max_length=most, truncation=True)["input_ids"]
+
+    def generate(self, ids: list[int], most: int, beams: int) -> tuple[list[int], list[list[float]]]:
+        x = self.torch.tensor([ids], device=self.device)
+        start = self.tokenizer.convert_tokens_to_ids(self.target)
+        with self.torch.inference_mode():
+            got = self.model.generate(x, attention_mask=self.torch.ones_like(x), decoder_start_token_id=start, max_length=most, num_beams=beams, length_penalty=0, forced_bos_token_id=None, return_dict_in_generate=True, output_scores=True)
+        return got.sequences[0].tolist(), [s[0].tolist() for s in got.scores]
+
+    def decode(self, ids: list[int]) -> str:
+        return self.tokenizer.decode(ids, skip_special_tokens=False)
+
+
 def sequence_confidence(scores: Column, special: Column) -> Column:
     """Mean probability of the generated tokens that aren't special; 0.95 where there is none.
 

@@ -126,19 +126,27 @@ def similar(ents: DataFrame, threshold: float = THRESHOLD, window: int | None =
 
 
 def leaders(edges: DataFrame) -> DataFrame:
-    """(block, b, a): each member and its earliest similar leader; leaders and lone entities don't appear."""
-    both = cut(edges.select("block", "a", "b"))
-    open_ = cut(both.select("block", F.col("a").alias("v")).union(both.select("block", F.col("b").alias("v"))).distinct())
-    lead = None
-    while True:
-        waiting = both.join(open_.withColumnRenamed("v", "a"), ["block", "a"], "left_semi").select("block", F.col("b").alias("v")).distinct()
-        new = open_.join(waiting, ["block", "v"], "left_anti")
-        lead = cut(new if lead is None else lead.union(new))
-        taken = both.join(lead.withColumnRenamed("v", "a"), ["block", "a"], "left_semi").select("block", F.col("b").alias("v")).distinct()
-        open_ = cut(open_.join(lead, ["block", "v"], "left_anti").join(taken, ["block", "v"], "left_anti"))
-        if not open_.limit(1).count():
-            break
-    member = both.join(lead.withColumnRenamed("v", "a"), ["block", "a"], "left_semi").join(lead.withColumnRenamed("v", "b"), ["block", "b"], "left_anti")
+    """(block, b, a): each member and its earliest similar leader; leaders and lone entities don't appear.
+
+    A round takes the entities that no open one stands before as leaders and covers their neighbours; only
+    edges between open entities go on. There are as many rounds as the longest chain of entities that wait for one
+    another, each with one checkpoint of what is left.
+    """
+    every = left = cut(edges.select("block", "a", "b"))
+    covered = None
+    while left.limit(1).count():
+        waiting = left.select("block", F.col("b").alias("a")).distinct()
+        told = left.join(waiting, ["block", "a"], "left_anti").select("block", F.col("b").alias("v")).distinct()
+        covered = told if covered is None else covered.union(told)
+        open_ = left
+        for end in ("a", "b"):
+            open_ = open_.join(told.withColumnRenamed("v", end), ["block", end], "left_anti")
+        # the edges of the new leaders end in covered entities, so they are gone too
+        left = cut(open_)
+    if covered is None:
+        return every
+    covered = cut(covered)
+    member = every.join(covered.withColumnRenamed("v", "b"), ["block", "b"], "left_semi").join(covered.withColumnRenamed("v", "a"), ["block", "a"], "left_anti")
     return member.groupBy("block", "b").agg(F.min("a").alias("a"))
 
 

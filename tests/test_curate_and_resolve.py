@@ -1,7 +1,10 @@
 import difflib
+import importlib.util
 import random
 import re
 
+import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from helpers import rows
@@ -205,3 +208,46 @@ def test_html(spark):
     df = spark.createDataFrame([(html,), (None,), ("<p>x",)], "h string")
     got = [tuple(r) for r in df.select(clean.main_text(F.col("h")), clean.paragraph_text(F.col("h"))).collect()]
     assert got == [("Uno dos tres cuatro cinco seis", "Uno dos tres cuatro cinco seis\nUno dos tres cuatro cinco seis"), ("", ""), ("", "x")]
+
+
+def test_main_content_of_html(spark):
+    text = "Lima es la capital de Perú y su ciudad más grande. " * 5
+    links = '<ul><li><a href="/a">Inicio</a><li><a href="/b">Noticias</a> |</ul>'
+    pages = [
+        f"<body>{links}<div>Aviso de cookies</div><main><h1>Lima</h1><p>{text}</p>{links}<p>Véase <a>Quito</a>, al norte.</p></main><p>Pie</p></body>",
+        f"<body><div>Sin marco</div><p>{text}</p>{links}<article>corto</article></body>",
+    ]
+    df = spark.createDataFrame([(i, p) for i, p in enumerate(pages)], "i int, h string")
+    got = dict(rows(df.select("i", clean.main_text(F.col("h")))))
+    assert got[0].split("\n") == ["Lima", text.strip(), "Véase Quito, al norte."]
+    assert got[1].split("\n") == ["Sin marco", text.strip(), "corto"]
+
+
+class Echo:
+    """A model of letters: gives its input back, with a beam count as the first token."""
+
+    special = frozenset((0, 99))
+
+    def encode(self, text, most):
+        return [ord(c) % 50 + 1 for c in text][:most]
+
+    def generate(self, ids, most, beams):
+        sequence = [99, *ids, 0]
+        logits = [[3.0 if k == t else 0.0 for k in range(100)] for t in sequence[1:]]
+        assert len(ids) <= most and beams == 3
+        return sequence, logits
+
+    def decode(self, ids):
+        return f"<triplet> {len(ids)} <per> Lima <loc> r</s>"
+
+
+def test_a_model_behind_the_adapter():
+    e = extract.BeamExtractor(Echo, max_tokens=4)
+    e.load()
+    (a, p), (b, q) = e.run(["abcdefgh", ""])
+    want = float(np.exp(3) / (np.exp(3) + 99))
+    assert a == "<triplet> 6 <per> Lima <loc> r</s>" and p == pytest.approx(want)
+    assert b == "<triplet> 2 <per> Lima <loc> r</s>" and q == 0.95
+    if importlib.util.find_spec("transformers") is None:
+        with pytest.raises(ImportError):
+            extract.TransformersBackend("none")
