@@ -17,7 +17,8 @@ LEAST_CHUNK = 50
 
 def sentence_array(c: Column) -> Column:
     """Sentences: cut after . ! ? before white space, not after an abbreviation."""
-    pattern = rf"(?iu)(?<!(?<!{WORD})(?:{'|'.join(ABBREVIATIONS)})\.)(?<=[.!?]){WS}"
+    # the cheap test first, as it is made at every sign
+    pattern = rf"(?iu)(?<=[.!?])(?<!(?<!{WORD})(?:{'|'.join(ABBREVIATIONS)})\.){WS}"
     return F.filter(F.transform(F.split(strip(c), pattern), strip), lambda s: s != "")
 
 
