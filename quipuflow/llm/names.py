@@ -4,23 +4,27 @@ Names are brought to a canonical form of three parts (given name, first and seco
 name and place), which already joins reordered parts, titles, abbreviated kinds, legal forms, case and
 accents. What is left are typos, initials, dropped parts and nicknames.
 
-Typos are linked in the metric space of the Levenshtein distance, in which neighbours that changed places are 2 apart. Names
-are partitioned first by an equal surname (or place), once by the first and once by the second, which leaves two parts
-that may differ, and inside of those blocks by pivots: of each block at most PIVOTS names are sampled by
-their hashes, every name is assigned to its nearest pivot's cell and replicated to all cells whose pivot is
-within its nearest distance and twice the radius. By the triangle inequality two names within the
-radius meet in the home cell of either. In a cell they are joined where their distances from
+Typos are linked where two names differ by at most one edit a part, an exchange of neighbours being one. First the
+distinct surnames (or names and places of bodies) within an edit of each other are found: they share what is left
+without one sign. A name then stands in the block of its own two surnames and visits those of surnames that are near its
+own and as frequent or more so, which for a typo are few and for a frequent surname hardly any. So any two names whose
+surnames are near each other, in one or in both, meet in just one block, and only their given names (or kinds) are left to compare.
+
+That is done in the metric space of the Levenshtein distance, in which neighbours that changed places are 2 apart, by pivots: of
+each block at most PIVOTS names are sampled by their hashes, every name is assigned to its nearest pivot's cell and
+replicated to all cells whose pivot is within its nearest distance and twice the radius. By the triangle inequality
+two names within the radius meet in the home cell of either. In a cell they are joined where their distances from
 the pivot differ by no more than the radius, by the metric itself. Cells of more than CELL names are partitioned
 again, with pivots of their own. Pivots of the whole corpus would not do: random names lie so close
 to equally far from all of them that each would be replicated to most cells; inside of the blocks
 `replication` measures how many cells hold a name.
 
-Of the pairs within the radius those stay that differ by one edit a part, an exchange of neighbours being one. Links between
-two given names that are both common are refused, as those are different names. The typos of a name
+Links between two given names that are both common are refused, as those are different names. The typos of a name
 then go with its best-attested form.
 
 Names with an initial, a dropped part or a nickname are linked to the one entity that they fit, if
-there is exactly one.
+there is exactly one. Those with an initial or a dropped part that fit none are linked with each other by the same edits, where two
+of their parts are full; initials and parts of one sign must be equal.
 
 Everything joins on keys; no group of names is collected into one task, and nothing but scalars to the driver. Null and blank names, and
 names of other types, have no links; equal strings are one name. Extra columns are left out.
@@ -254,7 +258,7 @@ def _cells(points: DataFrame, radius: int, point: Point = _told) -> DataFrame:
 def near_pairs(points: DataFrame, radius: int = RADIUS, point: Point = _told) -> DataFrame:
     """Pairs of points of one block within the radius: what points hold, once as it is and once with a 2 behind.
 
-    points: block and others, of which `point` makes the point. An exact radius join: whatever the pivots, none is lost.
+    points: block and others, of which `point` makes the point, no two rows alike. An exact radius join: whatever the pivots, none is lost.
     """
     cells = cut(_cells(points.withColumn("home", F.lit(True)), radius, point))
     for _ in range(LEVELS):
@@ -267,8 +271,10 @@ def near_pairs(points: DataFrame, radius: int = RADIUS, point: Point = _told) ->
         cells = finer
     theirs = cells.where("home").select("block", *[F.col(c).alias(c + "2") for c in cells.columns if c not in ("block", "home")])
     met = cells.join(theirs, "block").where(F.abs(F.col("from") - F.col("from2")) <= radius)
+    others = [c for c in points.columns if c != "block"]
+    itself = F.struct(*others).eqNullSafe(F.struct(*[c + "2" for c in others]))
     # with a threshold the distance is -1 beyond it
-    return met.where((point("") != point("2")) & (F.levenshtein(point(""), point("2"), radius) >= 0)).drop("block", "home", "from", "from2")
+    return met.where(~itself & (F.levenshtein(point(""), point("2"), radius) >= 0)).drop("block", "home", "from", "from2")
 
 
 def replication(points: DataFrame, radius: int = RADIUS, point: Point = _told) -> float:
@@ -278,16 +284,90 @@ def replication(points: DataFrame, radius: int = RADIUS, point: Point = _told) -
     return n["all"] / n["home"] if n["home"] else 0.0
 
 
+def _one_edit(x: str, y: str) -> bool:
+    """Whether the distance is at most 1, in linear time."""
+    if abs(len(x) - len(y)) > 1:
+        return False
+    i, n, m = 0, len(x), len(y)
+    while i < min(n, m) and x[i] == y[i]:
+        i += 1
+    while i < min(n, m) and x[n - 1] == y[m - 1]:
+        n, m = n - 1, m - 1
+    return max(n, m) - i <= 1 or n - i == m - i == 2 and x[i:n] == y[i:m][::-1]
+
+
+def _initials(a: str) -> bool:
+    return len(a.replace(" ", "")) == len(a.split())
+
+
 def _one_edit_each(x: str, y: str) -> bool:
-    """Whether two keys differ by at most one edit in each part."""
+    """Whether two keys differ by at most one edit in each part; initials and parts of one sign must be equal."""
     a, b = x.split("|"), y.split("|")
-    return len(a) == len(b) and all(p == q or distance(p, q, 1) <= 1 for p, q in zip(a, b))
+    if a[0] == "per" and a[1] != b[1] and (_initials(a[1]) or _initials(b[1])):
+        return False
+    return a[0] == b[0] and len(a) == len(b) and all(p == q or min(len(p), len(q)) > 1 and _one_edit(p, q) for p, q in zip(a[1:], b[1:]))
+
+
+def _omissions(of: str, value: str) -> set[int]:
+    """Hashes of a value and of what is left of it without any one sign, in linear time; of: what it is a value of."""
+    mod, base = (1 << 61) - 1, 1_000_003_019
+    to, powers = [sum(ord(c) << 7 * i for i, c in enumerate(of)) % mod], [1]
+    for c in value:
+        to.append((to[-1] * base + ord(c) + 1) % mod)
+        powers.append(powers[-1] * base % mod)
+    return {to[-1]} | {(to[-1] + (to[i] - to[i + 1]) * powers[-2 - i]) % mod for i in range(len(value))}
+
+
+def near_values(keys: DataFrame) -> DataFrame:
+    """(value, others): for type|part|value, part being core or rest, the values an edit away that as many keys or more have.
+
+    Values of two signs or more. Of two near ones that as many keys have the larger one is the other's.
+    Two strings an edit apart share what is left of either without some sign; a sign more or less
+    makes but so many strings of it as there are signs and places, so no value has many partners.
+    """
+
+    def omit(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in frames:
+            rows = [(h, v, n) for v, n in zip(pdf["value"], pdf["n"]) for h in _omissions(*_of(v))]
+            yield pd.DataFrame(rows, columns=["left", "value", "n"])
 
+    def exact(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in frames:
+            yield pdf.loc[[_of(x)[0] == _of(y)[0] and _one_edit(_of(x)[1], _of(y)[1]) for x, y in zip(pdf["value"], pdf["other"])]]
+
+    both = keys.select(F.explode(F.array(*[F.when(F.length(p) > 1, F.concat_ws("|", "type", F.lit(p), p)) for p in ("core", "rest")])).alias("value"))
+    seen = both.where("value is not null").groupBy("value").agg(F.count("*").alias("n"))
+    left = cut(seen.mapInPandas(omit, "left bigint, value string, n bigint"))
+    met = left.join(left.select("left", F.col("value").alias("other"), F.col("n").alias("n2")), "left").where(F.struct("n", "value") < F.struct("n2", "other"))
+    return met.select("value", "other").distinct().mapInPandas(exact, "value string, other string").groupBy("value").agg(F.collect_set("other").alias("others"))
+
+
+def _of(value: str) -> tuple[str, str]:
+    """(type|part, value)."""
+    t, part, v = value.split("|")
+    return f"{t}|{part}", v
+
+
+def blocks(keys: DataFrame) -> DataFrame:
+    """(block, key, cores, own_core, own_rest): keys by their two surnames or places and by near ones that are as frequent or more so.
 
-def blocks(whole: DataFrame) -> DataFrame:
-    """(block, key, cores): whole keys by either surname or place; the key, type|a|core|rest, has all else."""
-    by = [F.concat_ws("|", "type", F.lit(k), same) for k, same in (("core", "core"), ("rest", "rest"))]
-    return whole.select(F.explode(F.array(*by)).alias("block"), F.col("key"), F.col("cores").cast("int").alias("cores"), F.col("core")).select("block", "key", "cores", (F.substring_index(F.substring_index("block", "|", 2), "|", -1) == "core").alias("by_core"))
+    Two keys with surnames that are equal or near meet in the block of the more frequent first and the
+    more frequent second one, which for either surname is at least one key's own; in no other block that is so.
+    If neither is a key's own both are the other key's, so only blocks that are some key's are visited so.
+    """
+    near = cut(near_values(keys))
+    told = keys.select("key", F.col("cores").cast("int").alias("cores"), "type", "core", "rest")
+    for p in ("core", "rest"):
+        others = F.transform(F.coalesce("others", F.array().cast("array<string>")), lambda x: F.substring_index(x, "|", -1))
+        told = told.withColumn("value", F.concat_ws("|", "type", F.lit(p), p)).join(near, "value", "left").withColumn(f"near_{p}", others).drop("value", "others")
+    told = cut(told)
+    block = lambda core, rest: F.concat_ws("|", "type", core, rest)
+    visits = lambda of, own_core, own_rest: told.select(F.explode(of).alias("block"), "key", "cores", F.lit(own_core).alias("own_core"), F.lit(own_rest).alias("own_rest"))
+    home = visits(F.array(block("core", "rest")), True, True)
+    by_core = visits(F.transform("near_core", lambda c: block(c, "rest")), False, True)
+    by_rest = visits(F.transform("near_rest", lambda r: block("core", r)), True, False)
+    both = visits(F.flatten(F.transform("near_core", lambda c: F.transform("near_rest", lambda r: block(c, r)))), False, False)
+    return home.unionByName(by_core).unionByName(by_rest).unionByName(both.join(home.select("block").distinct(), "block", "left_semi"))
 
 
 def _part(key: Column, n: int) -> Column:
@@ -295,39 +375,42 @@ def _part(key: Column, n: int) -> Column:
 
 
 def varying(suffix: str) -> Column:
-    """What of a key may differ in its block: the given name or kind, and the other surname or place."""
-    key = F.col("key" + suffix)
-    return F.concat_ws("|", _part(key, 2), F.when(F.col("by_core" + suffix), _part(key, 4)).otherwise(_part(key, 3)))
+    """What of a key is left to compare in its block: the given name or kind."""
+    return _part(F.col("key" + suffix), 2)
 
 
-def edges(whole: DataFrame) -> DataFrame:
-    """(key, other), both ways: whole keys of an equal surname or place that differ by an edit a part.
+def edges(keys: DataFrame) -> DataFrame:
+    """(key, other), both ways: keys that differ by an edit a part.
 
-    whole: key, type, a, core, rest, cores (with how many first surnames the given name a stands).
+    keys: key, type, a, core, rest, cores (with how many first surnames the given name a stands).
     """
 
     def exact(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in frames:
             yield pdf.loc[[_one_edit_each(x, y) for x, y in zip(pdf["key"], pdf["key2"])], ["key", "key2"]].rename(columns={"key2": "other"})
 
-    # names that differ in the given name only meet in both blocks
-    met = near_pairs(blocks(whole), RADIUS, varying).where(~F.col("by_core") | (_part(F.col("key"), 4) != _part(F.col("key2"), 4)))
+    met = near_pairs(blocks(keys), RADIUS, varying).where("(own_core or own_core2) and (own_rest or own_rest2)")
     few, many = F.least("cores", "cores2"), F.greatest("cores", "cores2")
-    met = met.where((_part(F.col("key"), 2) == _part(F.col("key2"), 2)) | ~((few >= COMMON) & (few >= TYPO_SHARE * many)))
+    met = met.where((varying("") == varying("2")) | ~((few >= COMMON) & (few >= TYPO_SHARE * many)))
     return met.select("key", "key2").mapInPandas(exact, "key string, other string")
 
 
 def hubs(keys: DataFrame, links: DataFrame) -> DataFrame:
     """(key, entity): each key's best-attested neighbour, and that one's.
 
-    Attested best is the key with most spellings, then with most neighbours, then the smallest; so the
-    correct form is the hub of its typos, and two hops lead to it.
+    Attested best is a key known otherwise, then the one with most spellings, then with most neighbours; of several that are
+    better than the key itself, the one that differs from it in the fewest parts; then the smallest. So the
+    correct form is the hub of its typos, and two hops lead to it. keys: key, spellings, known.
     """
     degree = links.groupBy("key").agg(F.count("*").alias("degree"))
-    rank = F.struct((-F.col("spellings")).alias("s"), (-F.coalesce("degree", F.lit(0))).alias("d"), F.col("key").alias("k"))
-    scored = cut(keys.join(degree, "key", "left").select("key", rank.alias("rank")))
-    best = links.join(scored.withColumnRenamed("key", "other"), "other").groupBy("key").agg(F.min("rank").alias("best"))
-    up = cut(scored.join(best, "key", "left").select("key", F.least("rank", F.coalesce("best", "rank"))["k"].alias("up")))
+    worth = F.struct((~F.col("known")).alias("u"), (-F.col("spellings")).alias("s"), (-F.coalesce("degree", F.lit(0))).alias("d"))
+    scored = cut(keys.join(degree, "key", "left").select("key", worth.alias("worth")))
+    parts = F.size(F.filter(F.zip_with(F.split("key", r"\|"), F.split("other", r"\|"), lambda x, y: x != y), lambda differs: differs))
+    met = links.join(scored.withColumnRenamed("key", "other"), "other")
+    best = met.groupBy("key").agg(F.min(F.struct("worth", F.col("other").alias("k"))).alias("first"), F.min(F.struct("worth", parts.alias("n"), F.col("other").alias("k"))).alias("nearest"))
+    own = F.struct("worth", F.col("key").alias("k"))
+    better = F.when(F.col("nearest.worth") < F.col("worth"), F.col("nearest.k")).otherwise(F.least(own, F.coalesce("first", own))["k"])
+    up = cut(scored.join(best, "key", "left").select("key", better.alias("up")))
     return up.join(up.select(F.col("key").alias("up"), F.col("up").alias("entity")), "up").select("key", "entity")
 
 
@@ -382,8 +465,10 @@ def sets(triples: DataFrame) -> DataFrame:
     common = keys.where("type = 'per'").groupBy("a").agg(F.count_distinct("core").alias("cores"))
     keys = cut(keys.join(common, "a", "left").withColumn("cores", F.when(F.col("type") == "per", F.col("cores")).otherwise(F.lit(0))))
     single = F.length(F.replace("a", F.lit(" "), F.lit(""))) == F.size(F.split("a", " "))
-    whole = keys.where((F.least(F.length("a"), F.length("core"), F.length("rest")) > 1) & ~((F.col("type") == "per") & single))
-    entity = cut(hubs(whole.select("key", "spellings"), cut(edges(whole))))
+    full = [(F.length("a") > 1) & ~((F.col("type") == "per") & single), F.length("core") > 1, F.length("rest") > 1]
+    whole, partial = keys.where(full[0] & full[1] & full[2]), keys.where(~(full[0] & full[1] & full[2]))
+    links = cut(edges(keys.where(sum(x.cast("int") for x in full) >= 2)))  # none between whole keys and others
+    entity = cut(hubs(whole.select("key", "spellings", F.lit(False).alias("known")), links))
 
     # a nickname goes with the one name it fits, and takes the typos of which it is the hub with it
     # both have the same surnames, so keys that are alone with theirs neither ask nor offer
@@ -392,18 +477,26 @@ def sets(triples: DataFrame) -> DataFrame:
     nick = _fits(_views(namesakes, _nick_asks), _views(namesakes, _nick_offers), entity)
     moved = nick.join(entity, "key").groupBy("entity").agg(F.min("meant").alias("moved"))
     entity = cut(entity.join(moved, "entity", "left").select("key", F.coalesce("moved", "entity").alias("entity")))
-    # initials and dropped parts likewise
-    short = _fits(_views(keys, _asks), _views(whole, _offers), entity)
-    linked = entity.unionByName(short.withColumnRenamed("meant", "entity"))
+    # initials and dropped parts likewise; those that fit none go with one that they are a typo of, and with what that one fits
+    fits = cut(_fitted(_views(keys, _asks), _views(whole, _offers), entity))
+    known = partial.join(fits.select("key", F.lit(True).alias("known")), "key", "left").select("key", "spellings", F.coalesce("known", F.lit(False)).alias("known"))
+    hub = hubs(known, links.join(fits, "key", "left_anti"))
+    short = hub.join(fits.where("n = 1").select(F.col("key").alias("entity"), "meant"), "entity", "left")
+    linked = entity.unionByName(short.select("key", F.coalesce("meant", "entity").alias("entity")))
     return forms.join(linked, "key", "left").select("name", F.coalesce("entity", "key").alias("entity"))
 
 
-def _fits(asks: DataFrame, offers: DataFrame, entity: DataFrame) -> DataFrame:
-    """(key, meant): the entity that a key's views fit, other than its own, where it is one only."""
+def _fitted(asks: DataFrame, offers: DataFrame, entity: DataFrame) -> DataFrame:
+    """(key, n, meant): how many entities a key's views fit, other than its own, and the smallest of them."""
     own = entity.withColumnRenamed("entity", "own")
     met = asks.join(own, "key", "left").join(offers.join(entity, "key").select("view", F.col("entity").alias("meant")), "view")
     met = met.where("own is null or own <> meant").select("key", "meant").distinct()
-    return met.groupBy("key").agg(F.count("*").alias("n"), F.min("meant").alias("meant")).where("n = 1").select("key", "meant")
+    return met.groupBy("key").agg(F.count("*").alias("n"), F.min("meant").alias("meant"))
+
+
+def _fits(asks: DataFrame, offers: DataFrame, entity: DataFrame) -> DataFrame:
+    """(key, meant): the entity that a key's views fit, other than its own, where it is one only."""
+    return _fitted(asks, offers, entity).where("n = 1").select("key", "meant")
 
 
 def variants(triples: DataFrame) -> DataFrame:

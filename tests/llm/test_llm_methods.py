@@ -179,6 +179,46 @@ def test_second_names_however_rare(spark):
     assert {r["name"]: r.a for r in names.canonical(df.where("name not like '%Mora%'")).collect()}["Juan Abel Vega"] == "juan"
 
 
+def test_an_edit_in_any_part(spark):
+    """Names an edit a part apart are linked though they share no part, or an edit is an exchange; names of two parts as well."""
+    from quipuflow.llm import names
+
+    sets = [
+        ["Adriana Rotrabel Difagra", "Adriana Rotrabl Difgra"],
+        ["Benita Mucresi Lotanfe", "Bentia Mucersi Lotnafe"],
+        ["Museo Hodrepal de Zipanu", "Museo Hodrpeal de Zpanu"],
+        ["Clarisa Podrilan", "Calrisa Podirlan"],
+        ["D. Sundrebal Tofrina", "D. Sundrbeal Tofrnia"],
+        ["E. Sundrebal Tofrina"],
+        ["Gilda Gentrepo Alvunda", "Gilda Gentrepo", "Gidla Gentrepo"],
+        ["Gilda Gentrego Marquina", "Gilda Gentrego"],  # fits a whole name, so it is no typo of Gentrepo
+        ["Onorio"],
+        ["Onoria"],
+    ]
+    data = [(n, "org" if n[:2] == "Mu" else "per", None, None) for s in sets for n in s]
+    df = spark.createDataFrame(data, "head string, head_type string, tail string, tail_type string")
+    assert set(rows(names.variants(df))) == {tuple(sorted(p)) for s in sets for p in itertools.combinations(s, 2)}
+
+
+def test_edges_are_all_pairs_an_edit_a_part(spark):
+    """Short parts of few signs, so that most blocks are visited, against brute force."""
+    from quipuflow.llm import names
+
+    rng = random.Random(3)
+    word = lambda signs, least: "".join(rng.choice(signs) for _ in range(rng.randint(least, 4)))
+    keys = sorted({(rng.choice(["per", "org"]), word("abñ中", 1), word("abc", 1), word("abc", 0)) for _ in range(250)})
+
+    def near(t, x, y):
+        initials = t == "per" and min(len(x[1]), len(y[1])) == 1 and x[1] != y[1]
+        return not initials and all(p == q or min(len(p), len(q)) > 1 and names.distance(p, q, 1) <= 1 for p, q in zip(x[1:], y[1:]))
+
+    df = spark.createDataFrame([("|".join(k), *k, 1) for k in keys], "key string, type string, a string, core string, rest string, cores long")
+    want = sorted(("|".join(x), "|".join(y)) for x, y in itertools.permutations(keys, 2) if x[0] == y[0] and near(x[0], x, y))
+    assert any(x.split("|")[2] != y.split("|")[2] and x.split("|")[3] != y.split("|")[3] for x, y in want)
+    assert rows(names.edges(df)) == want
+    assert rows(names.edges(df.limit(0))) == []
+
+
 # 9 leakage
 
 

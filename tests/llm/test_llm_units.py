@@ -240,6 +240,16 @@ def test_distance_is_a_metric():
     assert names.distance("ab", "ba") == 1 and names.distance("casa", "caas") == 1 and names.distance("abcd", "x", 1) == 2
 
 
+def test_one_edit():
+    pool = ["".join(p) for n in range(5) for p in itertools.product("abc", repeat=n)]
+    for a, b in itertools.product(pool, pool):
+        near = names.distance(a, b, 1) <= 1
+        assert names._one_edit(a, b) == near
+        assert not near or names._omissions("x", a) & names._omissions("x", b)
+    assert not names._omissions("per|core", "ana") & names._omissions("per|rest", "ana")
+    assert len(names._omissions("x", "ab" * 50_000)) == 1 + 100_000
+
+
 def test_names_parsed():
     per, org = {"per"}, {"org"}
     assert names.parse("Dr. Ana Ruiz Peña", per) == names.parse("RUIZ PENA, ANA", per) == names.parse("Ana Ruiz-Peña", per) == ("per", "ana", "ruiz", "pena")
